@@ -122,7 +122,7 @@ def linreg_from_gram(gram: Gram, features: Sequence[str], label: str, constant:
         spread = variance * (1.0 / n + float(center @ inverse @ center))
         fitted[CONSTANT_TERM] = (level, p_value(level, spread))
     names = tuple(sorted(fitted))
-    r2 = 1.0 - left / syy if syy > 0 else None
+    r2 = float(1.0 - left / syy) if syy > 0 else None
     return LinearModel(
         names, tuple(fitted[f][0] for f in names), tuple(fitted[f][1] for f in names), 0.0, r2
     )

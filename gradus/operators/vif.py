@@ -16,6 +16,9 @@ EXACT_COLLINEARITY = 1e100
 # A determination within this of one counts as exact.
 EXACT_TOLERANCE = 1e-10
 
+# Factors this close count as equal, and the first feature in order is taken.
+TIE = 1e-9
+
 STEP_SCHEMA = "step int, feature_w_max_vif string, vif double, discarded boolean"
 
 
@@ -64,7 +67,8 @@ def vif_steps(
         scores = _factors(corr[np.ix_(rows, rows)], left)
         if not scores:
             break
-        worst = max(scores, key=lambda name: scores[name])
+        largest = max(scores.values())
+        worst = next(name for name, score in scores.items() if score >= largest * (1 - TIE))
         found.append((len(found), worst, scores[worst], scores[worst] > threshold))
         if scores[worst] < threshold:
             break

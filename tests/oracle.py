@@ -115,7 +115,7 @@ def main(folder: str, wanted: list[str]) -> int:
         except Exception as error:  # report and go on with the next query
             problem = f"{type(error).__name__}: {str(error)[:600]}"
         failed += problem is not None
-        print(f"{'FAIL' if problem else 'ok  '} {name:32s} {time.time() - start:6.2f}s {problem or size}", flush=True)
+        print(f"\n{"FAIL" if problem else 'ok  '} {name:32s} {time.time() - start:6.2f}s {problem or size}", flush=True)
     print(f"{failed} failed")
     return failed
 

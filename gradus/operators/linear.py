@@ -16,6 +16,9 @@ from gradus.functions import balanced_sum
 from gradus.operators.gram import Gram, gram_matrix
 from gradus.operators.prep import CONSTANT_TERM
 
+# Most features the trainer's normal-equation solver takes. Fixed value.
+WIDEST_NORMAL = 4096
+
 MODEL_SCHEMA = (
     "names array<string>, coef array<double>, p_values array<double>, intercept double, r2 double"
 )
@@ -146,13 +149,17 @@ def elastic_net_train(
     """Gaussian elastic net with penalty λ(α·|b| + (1−α)/2·b²) on unscaled columns.
 
     Spark divides the ridge part by the label's deviation, so both parameters
-    are converted first to give the penalty named here.
+    are converted first to give the penalty named here. Up to ``WIDEST_NORMAL``
+    features one pass gathers the normal equations and the iterations run on
+    those, with the population deviation; beyond, every iteration reads the data
+    and the sample deviation applies.
     """
     plain = sorted(f for f in features if f != CONSTANT_TERM)
     assembled = VectorAssembler(inputCols=plain, outputCol="_x", handleInvalid="skip").transform(
         df.select(*plain, F.col(label).cast("double").alias("_y")).where(F.col("_y").isNotNull())
     )
-    sd = assembled.agg(F.stddev_samp("_y")).first()[0]
+    one_pass = len(plain) <= WIDEST_NORMAL
+    sd = assembled.agg((F.stddev_pop if one_pass else F.stddev_samp)("_y")).first()[0]
     if not sd:
         raise ValueError("elastic net needs a label that varies")
     reg = lambda_value * (alpha + (1.0 - alpha) * sd)
@@ -162,6 +169,7 @@ def elastic_net_train(
         regParam=reg,
         elasticNetParam=lambda_value * alpha / reg if reg else 0.0,
         standardization=False,
+        solver="normal" if one_pass else "l-bfgs",
         maxIter=max_iter,
         tol=tol,
     ).fit(assembled)

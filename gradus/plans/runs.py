@@ -148,11 +148,15 @@ def elastic_net_run(
     train_fraction: float = 0.8,
     seed: int = 42,
     fit_on: str = "all",
+    **trainer,
 ) -> RegressionRun:
-    """The same with an elastic net, which needs no significance step."""
+    """The same with an elastic net, which needs no significance step.
+
+    ``trainer`` takes alpha, lambda_value, max_iter and tol.
+    """
     prepared = prepare(df, key, label, exclude, vif_step_limit, fit_on, train_fraction, seed)
     train, test = random_split(prepared.rows, key, label, train_fraction, seed)
-    run = RegressionRun(DONE, prepared, model=elastic_net_train(train, prepared.features, label))
+    run = RegressionRun(DONE, prepared, model=elastic_net_train(train, prepared.features, label, **trainer))
     _regression_report(run, test, key, label, None)
     return run
 

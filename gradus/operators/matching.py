@@ -33,14 +33,15 @@ SAMPLE_PER_BOX = 8
 TREATED_PER_GROUP = 20_000
 
 # Distances are compared and reported at this many places.
-DIGITS = 9
+DIGITS = 8
 
 
-def match_nulls(df: DataFrame, omit: bool = True) -> DataFrame:
-    """Drop rows with a null, or fill numeric columns with their mean."""
+def match_nulls(df: DataFrame, omit: bool = True, cols: Sequence[str] | None = None) -> DataFrame:
+    """Drop rows with a null, or fill numeric columns with their mean as doubles."""
     if omit:
-        return df.dropna()
-    numeric = [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)]
+        return df.dropna(subset=cols)
+    wanted = set(df.columns if cols is None else cols)
+    numeric = [f.name for f in df.schema if isinstance(f.dataType, T.NumericType) and f.name in wanted]
     means = {r["column_name"]: r["avg"] for r in column_stats(df, numeric).collect()}
     return df.withColumns(
         {c: F.coalesce(F.col(c).cast("double"), F.lit(m)) for c, m in means.items() if m is not None}
@@ -292,7 +293,8 @@ def matching(
     """
     fixed = {id_col, outcome, treatment}
     match_on = list(match_vars) if match_vars else [c for c in df.columns if c not in fixed]
-    ready = match_nulls(df.select(id_col, outcome, treatment, *match_on), omit_nulls)
+    used = [outcome, treatment, *match_on]
+    ready = match_nulls(df.select(id_col, *used), omit_nulls, None if omit_nulls else used)
     coded = factor_codes(ready, match_on, treatment)
     if distance == "L1":
         return match_cells(coded, id_col, treatment, match_on)

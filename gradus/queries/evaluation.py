@@ -341,23 +341,30 @@ def unnest_importance(spark, d):
 
 @query(
     f"""
-    WITH {SCORED_SQL}, s AS (
-        SELECT CASE WHEN label = 1 AND prob < 0.9 THEN prob WHEN label = 0 THEN prob END AS p, CAST(prob > 0.5 AS INTEGER) AS said, label FROM scored)
+    WITH scored AS (
+        SELECT 1 / (1 + exp(-(o_totalprice - 250000) / 100000)) AS prob, CAST(o_orderstatus = 'F' AS INTEGER) AS label FROM orders),
+    s AS (
+        SELECT CASE WHEN label = 0 OR prob < 0.7 THEN prob END AS p, CAST(prob > 0.5 AS INTEGER) AS said, label FROM scored)
     SELECT CASE WHEN p < 0.2 THEN 'low' WHEN p > 0.8 THEN 'high' ELSE 'mid' END AS pred_type,
            {round_sql("avg(1 - abs(label - said))")} AS prec
     FROM s GROUP BY 1
     """
 )
 def extreme_precision(spark, d):
-    scored = scored_items(spark, d)
-    shown = F.when((F.col("label") == 0) | (F.col("prob") < 0.9), F.col("prob"))
+    scored = table(spark, d, "orders").select(
+        "o_orderkey",
+        (F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.col("o_totalprice") - 250000) / 100000))).alias("prob"),
+        (F.col("o_orderstatus") == "F").cast("int").alias("label"),
+    )
+    shown = F.when((F.col("label") == 0) | (F.col("prob") < 0.7), F.col("prob"))
     results = scored.select(
-        F.monotonically_increasing_id().alias("row"),
+        "o_orderkey",
         (F.col("prob") > 0.5).cast("int").cast("string").alias("label_predicted"),
         F.array(1 - shown, shown).alias("label_proba_predicted"),
     )
-    actual = scored.select(F.monotonically_increasing_id().alias("row"), "label")
-    bands = evaluate.extreme_precision(results, actual, "row", "label", 1, 0.2, 0.8)
+    bands = evaluate.extreme_precision(
+        results, scored.select("o_orderkey", "label"), "o_orderkey", "label", 1, 0.2, 0.8
+    )
     return bands.withColumn("prec", rounded("prec"))
 
 

@@ -179,7 +179,7 @@ def match_nearest(df: DataFrame, id_col: str, treatment: str, match_on: Sequence
 
     controls = rows.where(F.col("_arm") == 0).groupBy(*xs).agg(F.min(id_col).alias("matched_id"))
     controls = materialise(place(controls))
-    treated = materialise(place(rows.where(F.col("_arm") == 1).select(*xs).distinct()))
+    treated = place(rows.where(F.col("_arm") == 1).select(*xs).distinct())
 
     wanted = min(MAX_BOXES, max(1, -(-controls.count() // POINTS_PER_BOX)))
     sample = controls.select(*zs).orderBy(F.xxhash64(*zs), *zs).limit(wanted * SAMPLE_PER_BOX).toPandas()

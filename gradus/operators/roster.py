@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from gradus.functions import normalize_id
 from gradus.operators.assemble import ADMITTED, admitted_applications
+from gradus.session import broadcast_if_small, materialise
 
 # Test codes behind each best score. Fixed values.
 BEST_SCORES = {
@@ -113,13 +114,16 @@ def risk_roster(
     summer = cohorts.where(F.col("cohort") == SUMMER_COHORT).select(
         F.col("person_uid").cast("string").alias("person_uid"), F.lit("Y").alias("_summer")
     )
-    joined = (
-        flagged.join(admitted, "person_uid")
-        .join(side(features, "features"), "person_uid", "left")
+    # Persons first: these sides hold a person once, while a person may hold
+    # very many applications. The finished profiles are written, then broadcast
+    # if few; otherwise the join shuffles and its hot partitions are split.
+    profiles = (
+        flagged.join(side(features, "features"), "person_uid", "left")
         .join(side(persons, "person"), "person_uid", "left")
         .join(side(test_score_pivot(scores), "tests"), "person_uid", "left")
         .join(summer, "person_uid", "left")
     )
+    joined = admitted.join(broadcast_if_small(materialise(profiles)), "person_uid")
     return joined.select(
         "college",
         "predicted_at_risk_probability",
@@ -149,7 +153,7 @@ def applications_absent_from(
     """Applications, in the terms, of listed persons whom a cohort table lacks."""
     absent = _persons_on(listed, lookup).join(cohort.select("person_uid"), "person_uid", "left_anti")
     in_terms = applications.where(F.col("academic_period").isin(*terms))
-    ids = absent.select(F.col("puid").alias("_puid"))
+    ids = broadcast_if_small(materialise(absent.select(F.col("puid").alias("_puid"))))
     return in_terms.join(ids, in_terms["id"] == ids["_puid"]).select(*[in_terms[c] for c in in_terms.columns])
 
 
@@ -182,6 +186,7 @@ def changed_records(
     kept = persons.join(previous_cohort.select("person_uid"), "person_uid", "left_semi").join(
         current_cohort.select("person_uid"), "person_uid", "left_semi"
     )
+    kept = broadcast_if_small(materialise(kept))
 
     def version(cohort: DataFrame, day: date) -> DataFrame:
         return cohort.join(kept, "person_uid").select(

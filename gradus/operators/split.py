@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gradus.functions import hash_uniform
@@ -10,6 +10,11 @@ from gradus.operators.ranking import global_row_number, running_totals
 from gradus.session import broadcast_if_small, materialise
 
 
+def fold_draw(key: str, folds: int, sample: int, seed: int) -> Column:
+    """Fold a row falls in when the given sample is drawn."""
+    return F.floor(hash_uniform(f"{seed}-{sample}", F.col(key)) * folds)
+
+
 def random_split(
     df: DataFrame, key: str, label: str, train_fraction: float, seed: int = 42
 ) -> tuple[DataFrame, DataFrame]:
@@ -21,11 +26,7 @@ def random_split(
 
 def leave_fold_samples(df: DataFrame, key: str, folds: int, seed: int = 42) -> list[DataFrame]:
     """Samples that each leave out about one fold; every sample draws anew."""
-    samples = []
-    for i in range(1, folds + 1):
-        fold = F.floor(hash_uniform(f"{seed}-{i}", F.col(key)) * folds)
-        samples.append(df.where(fold != i - 1))
-    return samples
+    return [df.where(fold_draw(key, folds, i, seed) != i - 1) for i in range(1, folds + 1)]
 
 
 def group_cumulative_split(

@@ -16,6 +16,9 @@ EXACT_COLLINEARITY = 1e100
 # A determination within this of one counts as exact.
 EXACT_TOLERANCE = 1e-10
 
+# Least share in the null space that makes a feature part of a combination.
+NULL_SHARE = 1e-8
+
 # Factors this close count as equal, and the first feature in order is taken.
 TIE = 1e-9
 
@@ -23,23 +26,23 @@ STEP_SCHEMA = "step int, feature_w_max_vif string, vif double, discarded boolean
 
 
 def _factors(corr: np.ndarray, names: Sequence[str]) -> dict[str, float]:
-    """Factors 1 / (1 - R²) in feature order; features that do not vary are skipped."""
+    """Factors 1 / (1 - R²) in feature order; features that do not vary are skipped.
+
+    The factor is the feature's entry on the diagonal of the inverse. Where the
+    matrix is singular, a feature with a share in its null space is an exact
+    combination of others; for the rest the pseudo-inverse serves.
+    """
     vary = [i for i in range(len(names)) if np.isfinite(corr[i, i])]
-    block = corr[np.ix_(vary, vary)]
     if not vary:
         return {}
-    values, vectors = np.linalg.eigh(block)
-    if values[0] > EXACT_TOLERANCE * max(values[-1], 1.0):
-        diagonal = ((vectors**2) / values).sum(axis=1)
-        return {names[i]: max(float(d), 1.0) for i, d in zip(vary, diagonal)}
-    out = {}
-    for at, i in enumerate(vary):
-        others = np.delete(np.arange(len(vary)), at)
-        against = block[others, at]
-        solved = np.linalg.lstsq(block[np.ix_(others, others)], against, rcond=1e-12)[0]
-        left = 1.0 - float(against @ solved)
-        out[names[i]] = EXACT_COLLINEARITY if left <= EXACT_TOLERANCE else 1.0 / left
-    return out
+    values, vectors = np.linalg.eigh(corr[np.ix_(vary, vary)])
+    null = values <= EXACT_TOLERANCE * max(values[-1], 1.0)
+    shares = (vectors[:, null] ** 2).sum(axis=1)
+    diagonal = (vectors[:, ~null] ** 2 / values[~null]).sum(axis=1)
+    return {
+        names[i]: EXACT_COLLINEARITY if share > NULL_SHARE else max(float(factor), 1.0)
+        for i, share, factor in zip(vary, shares, diagonal)
+    }
 
 
 def vif_scores(df: DataFrame, features: Sequence[str]) -> DataFrame:

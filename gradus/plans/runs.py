@@ -16,7 +16,7 @@ from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gradus.functions import balanced_sum
+from gradus.functions import balanced_sum, hash_uniform
 from gradus.operators import evaluate
 from gradus.operators.gram import gram_matrix
 from gradus.operators.linear import LinearModel, elastic_net_train, linreg_train
@@ -28,12 +28,15 @@ from gradus.operators.prep import (
     feature_names,
     normalise_wide,
 )
-from gradus.operators.split import leave_fold_samples, random_split
+from gradus.operators.split import fold_draw, random_split
 from gradus.operators.vif import steps_to_df, vif_mask, vif_steps
 
 DONE, ABORTED = "DONE", "ABORTED"
 VIF_THRESHOLD = 10.0
 
+# Columns that hold the draws of the split and of the samples.
+DRAW, FOLD = "_draw", "_fold_"
+
 
 @dataclass
 class Prepared:
@@ -43,6 +46,18 @@ class Prepared:
     stats: FeatureStats
     steps: list
     features: list[str]
+    label: str
+    train_fraction: float
+
+    def train_and_test(self) -> tuple[DataFrame, DataFrame]:
+        """Both sides of the split, from the draw held with the rows."""
+        known = self.rows.where(F.col(self.label).isNotNull())
+        return known.where(F.col(DRAW) <= self.train_fraction), known.where(F.col(DRAW) > self.train_fraction)
+
+    def samples(self, folds: int) -> list[DataFrame]:
+        """Training samples, each without about one fold."""
+        train = self.train_and_test()[0]
+        return [train.where(F.col(f"{FOLD}{i}") != i - 1) for i in range(1, folds + 1)]
 
     def release(self) -> None:
         self.rows.unpersist()
@@ -57,11 +72,14 @@ def prepare(
     fit_on: str = "all",
     train_fraction: float = 0.8,
     seed: int = 42,
+    folds: int = 0,
 ) -> Prepared:
     """Drop duplicated keys, impute, normalise and remove collinear features.
 
     Statistics and collinearity use all rows, test rows included, unless
-    ``fit_on='train'`` restricts them to the training side of the split.
+    ``fit_on='train'`` restricts them to the training side of the split. The
+    draws of the split and of the samples are hashed once and held with the
+    rows, because every pass of a fit filters on them.
     """
     cols = feature_names(df, [*exclude, key, label])
     clean = drop_duplicate_keys(df.select(key, label, *cols), key)
@@ -76,10 +94,12 @@ def prepare(
     rows = normalise_wide(clean, stats, [key, label])
     steps = vif_steps(gram_matrix(basis(rows), stats.names), stats.names, VIF_THRESHOLD, vif_step_limit)
     kept = [f for f, m in zip(stats.names, vif_mask(stats.names, steps)) if m]
-    rows = rows.select(key, label, *kept).persist(StorageLevel.MEMORY_AND_DISK)
+    draws = {DRAW: hash_uniform(seed, F.col(key))}
+    draws |= {f"{FOLD}{i}": fold_draw(key, folds, i, seed).cast("int") for i in range(1, folds + 1)}
+    rows = rows.select(key, label, *kept).withColumns(draws).persist(StorageLevel.MEMORY_AND_DISK)
     rows.count()
     clean.unpersist()
-    return Prepared(rows, stats, steps, kept)
+    return Prepared(rows, stats, steps, kept, label, train_fraction)
 
 
 @dataclass
@@ -127,7 +147,7 @@ def linear_run(
 ) -> RegressionRun:
     """Least squares, refitted on the significant features and tested on held-out rows."""
     prepared = prepare(df, key, label, exclude, vif_step_limit, fit_on, train_fraction, seed)
-    train, test = random_split(prepared.rows, key, label, train_fraction, seed)
+    train, test = prepared.train_and_test()
     first = linreg_train(train, prepared.features, label)
     chosen = first.significant()
     run = RegressionRun(DONE, prepared, first_model=first)
@@ -155,7 +175,7 @@ def elastic_net_run(
     ``trainer`` takes alpha, lambda_value, max_iter and tol.
     """
     prepared = prepare(df, key, label, exclude, vif_step_limit, fit_on, train_fraction, seed)
-    train, test = random_split(prepared.rows, key, label, train_fraction, seed)
+    train, test = prepared.train_and_test()
     run = RegressionRun(DONE, prepared, model=elastic_net_train(train, prepared.features, label, **trainer))
     _regression_report(run, test, key, label, None)
     return run
@@ -220,8 +240,8 @@ def logistic_run(
     if folds < 2:
         raise ValueError("folds must be at least 2")
     spark = df.sparkSession
-    prepared = prepare(df, key, label, exclude, vif_step_limit, fit_on, train_fraction, seed)
-    train, test = random_split(prepared.rows, key, label, train_fraction, seed)
+    prepared = prepare(df, key, label, exclude, vif_step_limit, fit_on, train_fraction, seed, folds)
+    test = prepared.train_and_test()[1]
 
     def fit_sample(sample: DataFrame) -> LinearModel | None:
         chosen = logreg_train(sample, prepared.features, label).significant()
@@ -230,9 +250,7 @@ def logistic_run(
         return logreg_train(sample, chosen, label, constant=CONSTANT_TERM in chosen)
 
     with ThreadPoolExecutor(max_workers=max(1, min(parallelism, folds))) as pool:
-        fitted = list(
-            pool.map(inheritable_thread_target(spark)(fit_sample), leave_fold_samples(train, key, folds, seed))
-        )
+        fitted = list(pool.map(inheritable_thread_target(spark)(fit_sample), prepared.samples(folds)))
     kept = [(i, m) for i, m in enumerate(fitted, start=1) if m is not None]
     run = LogisticRun(ABORTED, prepared, [m for _, m in kept])
     # A model whose significant features include only the constant ranks nothing.

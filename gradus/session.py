@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,27 +31,43 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@cache
+def _local_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"gradus-{application}-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder named by ``spark.checkpoint.dir``; a temporary one only in local mode."""
     context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if named:
-        folder = named
-    elif context.getCheckpointDir():
-        return context.getCheckpointDir()
-    elif context.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="gradus-")
-    else:
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(folder)
-    return folder
+        return named.rstrip("/")
+    if context.master.startswith("local"):
+        return _local_folder(context.applicationId)
+    raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Write the frame to the shared folder and continue from the written copy."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+    """Write the frame to the shared folder and continue from the written copy.
+
+    Cuts the lineage like a checkpoint, but computes the frame only once, is
+    read by column, and lets later joins see its real size. The copy survives
+    the loss of executors.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/gradus-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Even out a frame that has fewer partitions than there are cores.
+
+    Meant for rows that many passes of a fit will read. Frames with enough
+    partitions, as any large one has, are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:

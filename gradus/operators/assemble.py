@@ -3,18 +3,25 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import partial
+from itertools import groupby
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gradus.functions import year_digits
+from gradus.operators.skew import apart
 
 # Keys a feature table may share with the base, in the order they are tried.
 JOIN_KEYS = ("person_uid", "academic_period", "course_identification")
 
 
+# Key of a year-level table, as written for ``base_key_expr``.
+YEAR_KEYS = ("person_uid", "year:academic_period")
+
+
 @dataclass(frozen=True)
 class FeatureRules:
     """Which columns of a feature table are features, and how tables join."""
@@ -87,24 +94,42 @@ def join_year_level(base: DataFrame, features: DataFrame, chosen: list[str] | No
     return _left_join(base, features, on, chosen)
 
 
+def _join_group(
+    group: list, rows: DataFrame, prepare: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """Left joins of the tables of one leading key."""
+    for keys, table, chosen in group:
+        if keys == YEAR_KEYS:
+            rows = join_year_level(rows, prepare(table), chosen)
+        else:
+            rows = join_on_keys(rows, prepare(table), keys, chosen)
+    return rows
+
+
 def assemble_features(
     base: DataFrame, feature_tables: Mapping[str, DataFrame], rules: FeatureRules = FeatureRules()
 ) -> DataFrame:
     """Base columns plus the selected columns of every feature table.
 
-    Joins are folded in the order given. Tables sharing a key follow each other
-    without another exchange of the base, so ask for them in that order.
+    Left joins onto one base commute, so they run sorted by their keys: the
+    tables of one leading key, shortest key first, follow each other on the
+    partitioning of the first. Rows of a hot leading key, or of a missing one,
+    stay out of that shuffle. Columns come out in the order of the tables.
     """
-    assembled = base
+    planned = []
     for name in skip_non_feature_tables(feature_tables, rules.not_features):
         table = feature_tables[name]
         chosen = select_feature_columns(table.columns, rules.exclude, rules.exclude_regex)
         if name in rules.year_level:
-            assembled = join_year_level(assembled, table, chosen)
+            keys = YEAR_KEYS
         else:
-            keys = rules.custom_joins.get(name) or detect_join_keys(table.columns, rules.join_keys)
-            assembled = join_on_keys(assembled, table, keys, chosen)
-    return assembled
+            keys = tuple(rules.custom_joins.get(name) or detect_join_keys(table.columns, rules.join_keys))
+        planned.append((keys, table, chosen))
+    ordered = sorted(planned, key=lambda p: (p[0][0], len(p[0]), p[0]))
+    assembled = base
+    for leading, group in groupby(ordered, key=lambda p: p[0][0]):
+        assembled = apart(assembled, leading, partial(_join_group, list(group)))
+    return assembled.select(*base.columns, *[c for _, _, chosen in planned for c in chosen])
 
 
 # Filters that define an admitted applicant, apart from the terms asked for.

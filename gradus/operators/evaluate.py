@@ -272,47 +272,67 @@ def _scored_counts(df: DataFrame, label: str, prob: str, positive) -> DataFrame:
     )
 
 
-def roc_curve(df: DataFrame, label: str, prob: str, positive=1) -> DataFrame:
-    """False- and true-positive rate at every distinct score, highest first.
+def _class_counts(df: DataFrame, label: str, probs: str, classes: Sequence) -> DataFrame:
+    """Positives and negatives per class and distinct score, from one scan.
 
-    Rows are aggregated to distinct scores before the running counts are made.
+    Every row is read once for each class, and the copies combine per score
+    before they are shuffled.
     """
-    counts = _scored_counts(df, label, prob, positive)
+    each = F.array(*[F.struct(F.lit(c).alias("class"), F.col(probs)[i].alias("threshold")) for i, c in enumerate(classes)])
+    scored = df.where(F.col(label).isNotNull()).select(label, F.inline(each)).where(F.col("threshold").isNotNull())
+    hit = F.col(label) == F.col("class")
+    return scored.groupBy("class", "threshold").agg(
+        F.count(F.when(hit, 1)).alias("_pos"), F.count(F.when(~hit, 1)).alias("_neg")
+    )
+
+
+def _curve(counts: DataFrame, within: Sequence[str]) -> DataFrame:
     swept = running_totals(
-        counts,
-        {"_tp": F.col("_pos"), "_fp": F.col("_neg")},
-        [F.col("threshold").desc()],
+        counts, {"_tp": F.col("_pos"), "_fp": F.col("_neg")}, [F.col("threshold").desc()], within
     )
-    totals = swept.agg(F.max("_tp").alias("_p"), F.max("_fp").alias("_n"))
-    return swept.join(F.broadcast(totals)).select(
+    totals = swept.groupBy(*within).agg(F.max("_tp").alias("_p"), F.max("_fp").alias("_n"))
+    joined = swept.join(F.broadcast(totals), list(within)) if within else swept.join(F.broadcast(totals))
+    return joined.select(
+        *within,
         "threshold",
         F.when(F.col("_n") > 0, F.col("_fp") / F.col("_n")).alias("fpr"),
         F.when(F.col("_p") > 0, F.col("_tp") / F.col("_p")).alias("tpr"),
     )
 
 
+def roc_curve(df: DataFrame, label: str, prob: str, positive=1) -> DataFrame:
+    """False- and true-positive rate at every distinct score, highest first.
+
+    Rows are aggregated to distinct scores before the running counts are made.
+    """
+    return _curve(_scored_counts(df, label, prob, positive), [])
+
+
+def roc_curve_per_class(df: DataFrame, label: str, probs: str, classes: Sequence) -> DataFrame:
+    """The curve of every class against the rest, from an array of class probabilities."""
+    return _curve(_class_counts(df, label, probs, classes), ["class"])
+
+
+def _area(counts: DataFrame, within: Sequence[str], digits: int) -> DataFrame:
+    swept = running_totals(counts, {"_upto": F.col("_neg")}, [F.col("threshold").asc()], within)
+    wins = F.sum(F.col("_pos") * (F.col("_upto") - F.col("_neg") / 2.0))
+    p, n = F.sum("_pos"), F.sum("_neg")
+    area = F.when((p > 0) & (n > 0), F.round(wins / (p.cast("double") * n.cast("double")), digits))
+    return swept.groupBy(*within).agg(area.alias("roc_auc"))
+
+
 def roc_auc(df: DataFrame, label: str, prob: str, positive=1, digits: int = 5) -> DataFrame:
     """Area under the ROC curve of one class against the rest.
 
     A positive counts the negatives below its score and half of those at it.
     Null when either class is missing.
     """
-    counts = _scored_counts(df, label, prob, positive)
-    swept = running_totals(counts, {"_upto": F.col("_neg")}, [F.col("threshold").asc()])
-    wins = F.sum(F.col("_pos") * (F.col("_upto") - F.col("_neg") / 2.0))
-    p, n = F.sum("_pos"), F.sum("_neg")
-    area = F.when((p > 0) & (n > 0), F.round(wins / (p.cast("double") * n.cast("double")), digits))
-    return swept.agg(area.alias("roc_auc"))
+    return _area(_scored_counts(df, label, prob, positive), [], digits)
 
 
 def roc_auc_per_class(df: DataFrame, label: str, probs: str, classes: Sequence, digits: int = 5) -> DataFrame:
     """One row (class, roc_auc) per class from an array of class probabilities."""
-    parts = None
-    for i, c in enumerate(classes):
-        one = df.select(label, F.col(probs)[i].alias("_p"))
-        row = roc_auc(one, label, "_p", c, digits).select(F.lit(c).alias("class"), "roc_auc")
-        parts = row if parts is None else parts.unionByName(row)
-    return parts
+    return _area(_class_counts(df, label, probs, classes), ["class"], digits)
 
 
 def roc_sample(curve: DataFrame, points: int = 1000, digits: int = 5) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
@@ -49,8 +50,14 @@ def booleans_to_double(df: DataFrame) -> DataFrame:
 
 
 def feature_names(df: DataFrame, exclude: Iterable[str] = ()) -> list[str]:
-    """Numeric and boolean columns not excluded, sorted by name."""
+    """Numeric and boolean columns not excluded, sorted by name.
+
+    An exclusion that names no column is reported, since it is usually a typo.
+    """
     left_out = set(exclude)
+    unknown = sorted(left_out - set(df.columns))
+    if unknown:
+        warnings.warn(f"excluded columns not in the table: {unknown}", stacklevel=2)
     usable = (T.NumericType, T.BooleanType)
     return sorted(f.name for f in df.schema if isinstance(f.dataType, usable) and f.name not in left_out)
 
@@ -108,6 +115,8 @@ class FeatureStats:
             raise ValueError("no feature columns left after the exclusions")
         rows = nonzero_variance(column_stats(df, cols)).collect()
         kept = sorted((r["column_name"], r["avg"], r["stddev"]) for r in rows)
+        if not kept:
+            raise ValueError("no feature column varies")
         return cls(
             tuple(k[0] for k in kept), tuple(k[1] for k in kept), tuple(k[2] for k in kept)
         )

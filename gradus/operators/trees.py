@@ -9,6 +9,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
+from decimal import Decimal
 
 from pyspark import inheritable_thread_target
 from pyspark.ml.classification import (
@@ -38,8 +39,8 @@ MAX_CLASSES = 1000
 MISSING = "__missing"
 
 RESULT_SCHEMA = (
-    "mdl_train_ts timestamp, mdl_name string, params_indx int, params string, features array<string>, "
-    "classes array<string>, `precision` array<double>, recall array<double>, fscore array<double>, "
+    "mdl_train_ts timestamp, mdl_name string, kind string, params_indx int, params string, "
+    "features array<string>, nullable array<string>, classes array<string>, class_type string, `precision` array<double>, recall array<double>, fscore array<double>, "
     "support array<bigint>, fnames array<string>, f_importances array<double>, "
     "gains array<double>, model_path string"
 )
@@ -227,6 +228,8 @@ def _grid_search(
     cols = [c for c in cols if present[c] > 0]
     nullable = [c for c in cols if present[c] < present["_rows"]]
     classes = _class_list(train, label)
+    if len(classes) < 2:
+        raise ValueError("a classifier needs at least two classes in the training rows")
     weight_of = {r["class"]: r["weight"] for r in class_weights(train, label, weights).collect()}
     weight = F.lit(None).cast("double")
     for c, w in weight_of.items():
@@ -257,8 +260,9 @@ def _grid_search(
             return [cast(rated[c][column]) if c in rated else cast(0) for c in classes]
 
         row = (
-            datetime.now(timezone.utc).replace(tzinfo=None), name, index,
-            ", ".join(f"{k}={v}" for k, v in params.items()), list(cols), [str(c) for c in classes],
+            datetime.now(timezone.utc).replace(tzinfo=None), name, kind, index,
+            ", ".join(f"{k}={v}" for k, v in params.items()), list(cols), list(nullable),
+            [str(c) for c in classes], type(classes[0]).__name__,
             metric("precision"), metric("recall"), metric("fscore"), metric("support", int),
             [s[0] for s in splits], [float(s[1]) for s in splits], [gains[s[0]] for s in splits], path,
         )
@@ -294,17 +298,23 @@ def rf_grid_search(
     return _grid_search("rf", df, id_col, label, exclude, grid or {}, weights, train_size, split_col, seed, parallelism, name)
 
 
-def load_model(results: DataFrame, where: Column, kind: str, nullable: Sequence[str] = (), classes: Sequence | None = None) -> TreeModel:
+# Readers of a stored class list, by the name of its Python type.
+_CLASS_READERS = {"str": str, "int": int, "float": float, "bool": "True".__eq__, "Decimal": Decimal}
+
+
+def load_model(results: DataFrame, where: Column) -> TreeModel:
     """The first model, by grid index, whose result row passes the filter."""
     row = results.where(where).orderBy("params_indx").first()
     if row is None:
         raise ValueError("no grid row passes the filter")
-    known = tuple(row["classes"] if classes is None else classes)
-    if kind == "rf":
+    classes = tuple(_CLASS_READERS[row["class_type"]](c) for c in row["classes"])
+    if row["kind"] == "rf":
         reader = RandomForestClassificationModel
     else:
-        reader = GBTClassificationModel if len(known) == 2 else OneVsRestModel
-    return TreeModel(kind, tuple(row["features"]), tuple(nullable), known, reader.load(row["model_path"]))
+        reader = GBTClassificationModel if len(classes) == 2 else OneVsRestModel
+    return TreeModel(
+        row["kind"], tuple(row["features"]), tuple(row["nullable"]), classes, reader.load(row["model_path"])
+    )
 
 
 def tree_score(df: DataFrame, id_col: str, model: TreeModel, label: str | None = None) -> DataFrame:

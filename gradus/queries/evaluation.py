@@ -272,6 +272,22 @@ def roc_auc_per_class(spark, d):
     return evaluate.roc_auc_per_class(rows, "o_orderpriority", "scores", PRIORITIES)
 
 
+@query(
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS class, threshold,
+        {round_sql(f"(sum(sum(CAST(o_orderpriority <> '{c}' AS INTEGER))) OVER (ORDER BY threshold DESC))::DOUBLE / (SELECT count(*) FROM orders WHERE o_orderpriority <> '{c}')")} AS fpr,
+        {round_sql(f"(sum(sum(CAST(o_orderpriority = '{c}' AS INTEGER))) OVER (ORDER BY threshold DESC))::DOUBLE / (SELECT count(*) FROM orders WHERE o_orderpriority = '{c}')")} AS tpr
+        FROM (SELECT o_orderpriority, floor(o_totalprice / {1000 * (i + 1)}) * 1.0::DOUBLE AS threshold FROM orders) GROUP BY threshold"""
+        for i, c in enumerate(PRIORITIES)
+    )
+)
+def roc_curve_per_class(spark, d):
+    scores = [F.floor(F.col("o_totalprice") / (1000 * (i + 1))).cast("double") for i in range(5)]
+    rows = table(spark, d, "orders").select("o_orderpriority", F.array(*scores).alias("scores"))
+    curve = evaluate.roc_curve_per_class(rows, "o_orderpriority", "scores", PRIORITIES)
+    return curve.withColumns({"fpr": rounded("fpr"), "tpr": rounded("tpr")})
+
+
 CURVE_SQL = f"""
     {TIED_SQL}, curve AS (
         SELECT prob AS threshold, (sum(sum(1 - label)) OVER w)::DOUBLE / (SELECT sum(1 - label) FROM tied) AS fpr,

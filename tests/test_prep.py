@@ -59,6 +59,13 @@ def test_no_features_is_an_error(spark):
         prep.impute_normalize(_messy(spark), "id", exclude=["a", "gone", "same", "flag", "label"])
 
 
+def test_flat_features_and_unknown_exclusions_are_reported(spark):
+    with pytest.raises(ValueError, match="varies"):
+        prep.impute_normalize(_messy(spark), "id", exclude=["a", "flag", "label"])
+    with pytest.warns(UserWarning, match="nowhere"):
+        prep.feature_names(_messy(spark), ["nowhere"])
+
+
 def test_apply_mask_keeps_order_and_may_empty(spark):
     vectors = prep.impute_normalize(_messy(spark), "id", "label")
     assert prep.apply_mask(vectors, [0, 1]).first()["feat_name_vect"] == ["flag"]

@@ -60,3 +60,12 @@ def test_empty_input(spark):
 def test_dense_codes_skip_nulls(spark):
     df = spark.createDataFrame([("b",), ("a",), (None,), ("b",)], "c string")
     assert {tuple(r) for r in dense_codes(df, "c", "code").collect()} == {("a", 1), ("b", 2)}
+
+
+def test_a_hot_missing_group_spans_partitions(spark):
+    rows = [(None if i % 3 else "a", i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "g string, i int").repartition(6)
+    got = {r["i"]: r["n"] for r in running_totals(df, {"n": F.lit(1)}, [F.col("i")], within=["g"]).collect()}
+    for group in (None, "a"):
+        members = sorted(i for g, i in rows if g == group)
+        assert [got[i] for i in members] == list(range(1, len(members) + 1))

@@ -39,7 +39,8 @@ def test_boosted_grid_finds_the_signal_and_uses_missing_values(spark, rows):
     assert found[0]["params"] == "max_depth=1, n_estimators=4"
     assert found[1]["features"] == ["x", "z"] and set(found[1]["fnames"]) == {"x", "z"}
     assert sum(found[1]["support"]) == run.test_ids.count()
-    model = trees.load_model(run.results, F.col("params_indx") == 2, "gbt", run.models[2].nullable, (0, 1))
+    model = trees.load_model(run.results, F.col("params_indx") == 2)
+    assert model.classes == (0, 1) and model.nullable == ("z",)
     scored = trees.tree_score(rows, "id", model, "y")
     assert evaluate.roc_auc(scored.withColumn("p", F.element_at("y_proba_predicted", 2)), "y", "p").first()[0] > 0.9
     metrics = trees.score_metrics(scored, "y", model.classes).collect()
@@ -54,7 +55,7 @@ def test_many_classes_one_against_the_rest(spark, rows):
     run = trees.gbt_grid_search(rows, "id", "band", ["y", "split"], {"max_depth": 2, "n_estimators": 3})
     row = run.results.first()
     assert row["classes"] == ["low", "mid", "top"] and min(row["recall"]) > 0.8
-    scored = trees.tree_score(rows, "id", run.models[1])
+    scored = trees.tree_score(rows, "id", trees.load_model(run.results, F.lit(True)))
     total = scored.select(F.expr("aggregate(class_label_proba_predicted, 0d, (a, b) -> a + b)").alias("s"))
     low, high = total.agg(F.min("s"), F.max("s")).first()
     assert low == pytest.approx(1) and high == pytest.approx(1)
@@ -67,6 +68,14 @@ def test_forest_clamps_depth_and_splits_by_column(spark, rows):
         )
     assert run.test_ids.count() == rows.where("split = 0").count()
     assert "split" not in run.results.first()["features"]
+    assert trees.load_model(run.results, F.col("kind") == "rf").classes == ("low", "mid", "top")
+    with pytest.raises(ValueError, match="no grid row"):
+        trees.load_model(run.results, F.lit(False))
+
+
+def test_one_class_is_refused(rows):
+    with pytest.raises(ValueError, match="two classes"):
+        trees.gbt_grid_search(rows.withColumn("y", F.lit(1)), "id", "y", ["band", "split"], {"n_estimators": 2})
 
 
 def test_unknown_parameters_are_refused(rows):

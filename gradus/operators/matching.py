@@ -13,14 +13,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gradus.operators.gram import gram_matrix
 from gradus.operators.prep import column_stats
-from gradus.operators.ranking import dense_codes, running_totals
-from gradus.session import broadcast_if_small, materialise
+from gradus.operators.ranking import global_row_number, running_totals
+from gradus.session import BROADCAST_ROW_LIMIT, broadcast_if_small, materialise
 
 # Control points a box should hold, and the number of boxes at most.
 POINTS_PER_BOX = 2_000
@@ -48,17 +48,43 @@ def match_nulls(df: DataFrame, omit: bool = True, cols: Sequence[str] | None = N
     )
 
 
+def _sortable(df: DataFrame, column: str) -> tuple[str, Column]:
+    """Which of the long, double and text slots a column's values sort in, and the value."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, (T.IntegralType, T.BooleanType)):
+        return "l", F.col(column).cast("bigint")
+    if isinstance(kind, T.NumericType):
+        return "d", F.col(column).cast("double")
+    return "t", F.col(column).cast("string")
+
+
 def factor_codes(df: DataFrame, cols: Sequence[str], treatment: str | None = None) -> DataFrame:
-    """Replace columns by codes 1, 2, 3 … of their sorted values; the treatment by 0 and 1."""
+    """Replace columns by codes 1, 2, 3 … of their sorted values; the treatment by 0 and 1.
+
+    The distinct values of all columns are found in one scan and numbered in one
+    distributed sort. A column's codes are broadcast only if they were counted few.
+    """
+    every = [*cols, *([treatment] if treatment else [])]
+    slots = {c: _sortable(df, c) for c in every}
+    empty = {"l": F.lit(None).cast("bigint"), "d": F.lit(None).cast("double"), "t": F.lit(None).cast("string")}
+    entries = [
+        F.struct(F.lit(c).alias("name"), *[(value if s == slot else none).alias(s) for s, none in empty.items()])
+        for c, (slot, value) in slots.items()
+    ]
+    values = df.select(F.inline(F.array(*entries))).where("l is not null or d is not null or t is not null")
+    ranked = global_row_number(values.distinct(), [F.col(c) for c in ("name", "l", "d", "t")], "_rank")
+    found = ranked.groupBy("name").agg(F.min("_rank").alias("first"), F.count("*").alias("n")).collect()
+    spans = {r["name"]: (r["first"], r["n"]) for r in found}
     coded = df
-    for column in [*cols, *([treatment] if treatment else [])]:
-        codes = dense_codes(df, column, "_code").withColumnRenamed(column, "_value")
-        if column == treatment:
-            codes = codes.withColumn("_code", F.col("_code") - 1)
-        joined = coded.join(broadcast_if_small(codes), coded[column] == codes["_value"], "left")
-        coded = joined.select(
-            *[F.col("_code").cast("int").alias(column) if c == column else coded[c] for c in df.columns]
+    for c, (slot, _) in slots.items():
+        first, size = spans.get(c, (1, 0))
+        start = 0 if c == treatment else 1
+        codes = ranked.where(F.col("name") == c).select(
+            F.col(slot).alias("_value"), (F.col("_rank") - first + start).cast("int").alias("_code")
         )
+        codes = F.broadcast(codes) if size <= BROADCAST_ROW_LIMIT else codes
+        joined = coded.join(codes, _sortable(df, c)[1] == F.col("_value"), "left")
+        coded = joined.select(*[F.col("_code").alias(c) if n == c else F.col(n) for n in df.columns])
     return coded
 
 
@@ -169,7 +195,7 @@ def match_nearest(df: DataFrame, id_col: str, treatment: str, match_on: Sequence
     """
     xs = list(match_on)
     rows = df.select(id_col, F.col(treatment).cast("int").alias("_arm"), *[F.col(x).cast("double") for x in xs])
-    rows = rows.dropna(subset=["_arm", *xs])
+    rows = materialise(rows.dropna(subset=["_arm", *xs]))  # narrow, and read several times
     white = _whitening(rows, xs)
     zs = [f"z{i}" for i in range(len(white))]
 

@@ -102,8 +102,3 @@ def running_totals(
     }
     return joined.select(*df.columns, *[v.alias(n) for n, v in summed.items()])
 
-
-def dense_codes(df: DataFrame, column: str, name: str) -> DataFrame:
-    """Distinct non-null values of a column with codes 1, 2, 3 … in their order."""
-    values = df.where(F.col(column).isNotNull()).select(column).distinct()
-    return global_row_number(values, [F.col(column)], name)

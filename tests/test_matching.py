@@ -95,3 +95,19 @@ def test_factor_codes_sort_numbers(spark):
     df = spark.createDataFrame([(10, "n"), (9, "y"), (None, "y")], "a int, t string")
     got = matching.factor_codes(df, ["a"], "t").orderBy(F.col("t"), F.col("a")).collect()
     assert [tuple(r) for r in got] == [(2, 0), (None, 1), (1, 1)]
+
+
+def test_factor_codes_of_every_type_and_many_values(spark, monkeypatch):
+    monkeypatch.setattr(matching, "BROADCAST_ROW_LIMIT", 5)
+    df = spark.range(300).select(
+        "id", (F.col("id") % 7 - 3).alias("whole"), (F.col("id") % 90 / 8 - 2).alias("part"),
+        F.concat(F.lit("t"), (F.col("id") % 40).cast("string")).alias("text"), (F.col("id") % 2 == 1).alias("flag"),
+        F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") % 11).cast("int")).alias("day"),
+        F.lit(None).cast("double").alias("gone"),
+    )
+    cols = ["whole", "part", "text", "flag", "day", "gone"]
+    got = {r["id"]: r for r in matching.factor_codes(df, cols).collect()}
+    rows = df.collect()
+    for c in cols:
+        order = {v: i for i, v in enumerate(sorted({r[c] for r in rows if r[c] is not None}), start=1)}
+        assert all(got[r["id"]][c] == order.get(r[c]) for r in rows), c

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from gradus.functions import guarded_ratio, normalize_id, unnest_together
 from gradus.operators.prep import CONSTANT_TERM
 from gradus.operators.ranking import global_row_number, running_totals
+from gradus.session import with_row
 
 # Thresholds 0.00, 0.01 … 1.00 of the sweep.
 SWEEP_STEPS = 100
@@ -24,15 +25,12 @@ MAX_CLASSES = 1000
 def residual_report(
     df: DataFrame, key: str, actual: str, prediction: str, scale: int | None = None
 ) -> DataFrame:
-    """Residual per row, and on every row one minus the variance ratio.
-
-    The ratio is one aggregate row, joined back as a one-row broadcast.
-    """
+    """Residual per row, and on every row one minus the variance ratio."""
     residual = F.col(actual) - F.col(prediction)
     spread = df.agg((F.stddev_samp(residual)).alias("_r"), F.stddev_samp(actual).alias("_a"))
     ratio = F.when(F.col("_a") != 0, 1 - F.pow("_r", F.lit(2.0)) / F.pow("_a", F.lit(2.0)))
     one_row = spread.select(ratio.alias("r_square"))
-    out = df.select(key, actual, prediction, residual.alias("residual")).join(F.broadcast(one_row))
+    out = with_row(df.select(key, actual, prediction, residual.alias("residual")), one_row)
     if scale is None:
         return out
     return out.withColumns({c: F.round(c, scale) for c in (actual, prediction, "residual", "r_square")})
@@ -291,7 +289,7 @@ def _curve(counts: DataFrame, within: Sequence[str]) -> DataFrame:
         counts, {"_tp": F.col("_pos"), "_fp": F.col("_neg")}, [F.col("threshold").desc()], within
     )
     totals = swept.groupBy(*within).agg(F.max("_tp").alias("_p"), F.max("_fp").alias("_n"))
-    joined = swept.join(F.broadcast(totals), list(within)) if within else swept.join(F.broadcast(totals))
+    joined = swept.join(F.broadcast(totals), list(within)) if within else with_row(swept, totals)
     return joined.select(
         *within,
         "threshold",
@@ -345,9 +343,7 @@ def roc_sample(curve: DataFrame, points: int = 1000, digits: int = 5) -> DataFra
     size = ranked.agg(F.max("_rank").alias("_size"))
     spark = curve.sparkSession
     wanted = (
-        spark.range(points)
-        .select(F.col("id").cast("int").alias("point"))
-        .join(F.broadcast(size))
+        with_row(spark.range(points).select(F.col("id").cast("int").alias("point")), size)
         .where(F.col("_size").isNotNull())
         .withColumn("_at", F.col("point") / F.lit(float(points)) * (F.col("_size") - 1))
         .select("point", "_at", F.explode(F.array(F.floor("_at"), F.ceil("_at"))).alias("_zero"))
@@ -432,7 +428,7 @@ def calibration_bins(
     per, extra = F.floor(F.col("_n") / bins), F.col("_n") % bins
     zero = F.col("_rank") - 1
     long_rows = extra * (per + 1)
-    binned = ranked.join(F.broadcast(size)).withColumn(
+    binned = with_row(ranked, size).withColumn(
         "bin",
         F.when(zero < long_rows, F.floor(zero / (per + 1)) + 1)
         .otherwise(extra + F.floor((zero - long_rows) / F.greatest(per, F.lit(1))) + 1)
@@ -479,7 +475,7 @@ def dataset_compare(a: DataFrame, b: DataFrame, exclude: Sequence[str] = ()) ->
 def drift_by_importance(comparison: DataFrame, importances: DataFrame) -> DataFrame:
     """Compared columns that have an importance, most important first."""
     joined = comparison.join(
-        F.broadcast(importances.select("fnames", "f_importances")),
+        importances.select("fnames", "f_importances"),
         comparison["col_name"] == F.col("fnames"),
         "left",
     )

@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from gradus.operators.gram import gram_matrix
 from gradus.operators.prep import column_stats
 from gradus.operators.ranking import global_row_number, running_totals
-from gradus.session import BROADCAST_ROW_LIMIT, broadcast_if_small, materialise
+from gradus.session import BROADCAST_ROW_LIMIT, broadcast_if_small, materialise, with_row
 
 # Control points a box should hold, and the number of boxes at most.
 POINTS_PER_BOX = 2_000
@@ -287,7 +287,7 @@ def cell_imbalance(df: DataFrame, treatment: str, match_on: Sequence[str]) -> Da
     )
     totals = cells.agg(F.sum("t").alias("all_t"), F.sum("c").alias("all_c"))
     gap = F.abs(F.col("t") / F.col("all_t") - F.col("c") / F.col("all_c"))
-    return cells.join(F.broadcast(totals)).agg((F.sum(gap) / 2).alias("imbalance"))
+    return with_row(cells, totals).agg((F.sum(gap) / 2).alias("imbalance"))
 
 
 def match_cells(df: DataFrame, id_col: str, treatment: str, match_on: Sequence[str]) -> DataFrame:

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from gradus.operators.evaluate import class_metrics, roc_auc_per_class
 from gradus.operators.prep import as_double, feature_names
 from gradus.operators.split import random_or_column_split
-from gradus.session import shared_folder, spread
+from gradus.session import shared_folder, spread, with_row
 
 # Deepest tree the trainer accepts. Fixed value.
 DEEPEST = 30
@@ -65,9 +65,9 @@ def class_weights(df: DataFrame, label: str, user: Mapping | None = None) -> Dat
             weight = F.when(F.col("class") == c, F.lit(float(user[c]))).otherwise(weight)
         return counts.select("class", weight.alias("weight"))
     totals = counts.agg(F.sum("n").alias("_all"))
-    rare = counts.join(F.broadcast(totals)).select("class", (F.col("_all") / F.col("n")).alias("_r"))
+    rare = with_row(counts, totals).select("class", (F.col("_all") / F.col("n")).alias("_r"))
     norm = rare.agg(F.sum("_r").alias("_sum"))
-    return rare.join(F.broadcast(norm)).select("class", (F.col("_r") / F.col("_sum")).alias("weight"))
+    return with_row(rare, norm).select("class", (F.col("_r") / F.col("_sum")).alias("weight"))
 
 
 def _gbt(params: Mapping, seed: int) -> GBTClassifier:

@@ -19,7 +19,7 @@ from gradus.functions import (
 from gradus.operators.assemble import select_feature_columns
 from gradus.operators.ranking import global_row_number, running_totals
 from gradus.queries.registry import query, round_sql, rounded, table
-from gradus.session import broadcast_if_small
+from gradus.session import broadcast_if_small, with_row
 from gradus.sources import append_parts, last_builds
 
 # ------------------------------------------------------------ scans, append
@@ -168,7 +168,7 @@ def case_expressions(spark, d):
 def scalar_subquery(spark, d):
     by = table(spark, d, "orders").groupBy("o_orderpriority").agg(F.sum("o_totalprice").alias("s"))
     total = by.agg(F.sum("s").alias("total"))
-    return by.join(F.broadcast(total)).select("o_orderpriority", rounded(F.col("s") / F.col("total")).alias("share"))
+    return with_row(by, total).select("o_orderpriority", rounded(F.col("s") / F.col("total")).alias("share"))
 
 
 @query(
@@ -183,7 +183,7 @@ def scalar_subquery(spark, d):
 def common_table_expression(spark, d):
     spend = table(spark, d, "orders").groupBy("o_custkey").agg(F.sum("o_totalprice").alias("total"))
     mean = spend.agg(F.avg("total").alias("mean"))
-    big = spend.join(F.broadcast(mean)).where(F.col("total") > F.col("mean"))
+    big = with_row(spend, mean).where(F.col("total") > F.col("mean"))
     customer = table(spark, d, "customer").select("c_custkey", "c_mktsegment")
     return big.join(customer, big["o_custkey"] == customer["c_custkey"]).groupBy("c_mktsegment").agg(
         F.count("*").alias("big_customers")
@@ -336,7 +336,7 @@ def semi_join(spark, d):
 def one_row_join(spark, d):
     customer = table(spark, d, "customer")
     stats = customer.agg(F.avg("c_acctbal").alias("m"), F.stddev_samp("c_acctbal").alias("s"))
-    return customer.join(F.broadcast(stats)).select(
+    return with_row(customer, stats).select(
         "c_custkey", rounded((F.col("c_acctbal") - F.col("m")) / F.col("s")).alias("standard_score")
     )
 

@@ -8,6 +8,7 @@ from gradus.operators import linear, logistic, prep, trees
 from gradus.plans import runs
 from gradus.queries.preparation import UNIFORM_SQL
 from gradus.queries.registry import query, round_sql, rounded, table
+from gradus.session import with_row
 
 # ------------------------------------------------------------------ sources
 
@@ -105,7 +106,7 @@ def significance_mask(spark, d):
     target = priced_items(spark, d).withColumn("v", 1000 * F.col("discount") + F.col("amount") % 7)
     model = linear.linreg_train(target, ["quantity", "discount"], "v").to_df(spark)
     mask = linear.significance_mask(model)
-    return model.join(F.broadcast(mask)).select(
+    return with_row(model, mask).select(
         F.inline(F.arrays_zip(F.col("names").alias("feature"), F.col("mask_arr").alias("mask")))
     )
 

@@ -81,3 +81,9 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataF
     if df.limit(limit + 1).count() <= limit:
         return F.broadcast(df)
     return df
+
+
+def with_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """Add the columns of a one-row frame to every row, as a scalar subquery."""
+    value = one_row.select(F.struct(*one_row.columns).alias("row")).scalar()
+    return df.withColumns({c: value[c] for c in one_row.columns})

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MERGERS = 16
+MERGERS = 8
 
 _PARTIAL = "n double, cells array<double>"
 

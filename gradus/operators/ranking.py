@@ -21,18 +21,14 @@ ROW_BITS = 33
 
 
 
-def _ranges(df: DataFrame) -> int:
-    """Shuffle partitions of the session; the range partitioner may use fewer."""
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def range_sorted(df: DataFrame, order_by: Sequence[Column]) -> DataFrame:
     """Rows range partitioned and sorted, with a position column ``_at``.
 
     The written copy fixes the partition borders: a range partitioner samples,
-    so a second evaluation might draw them elsewhere.
+    so a second evaluation might draw them elsewhere. No number of partitions is
+    asked for, so neighbours are merged where the data is small.
     """
-    placed = df.repartitionByRange(_ranges(df), *order_by).sortWithinPartitions(*order_by)
+    placed = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
     return materialise(placed.withColumn("_at", F.monotonically_increasing_id()))
 
 

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from gradus.operators.evaluate import class_metrics, roc_auc_per_class
 from gradus.operators.prep import as_double, feature_names
 from gradus.operators.split import random_or_column_split
-from gradus.session import shared_folder, spread, with_row
+from gradus.session import hold, shared_folder, with_row
 
 # Deepest tree the trainer accepts. Fixed value.
 DEEPEST = 30
@@ -236,7 +236,7 @@ def _grid_search(
         weight = F.when(F.col(label) == c, F.lit(w)).otherwise(weight)
 
     fit_on = _vectors(train, cols, nullable, [_label_index(label, classes).alias("_y"), weight.alias("_w")])
-    fit_on = spread(fit_on).persist()
+    fit_on = hold(fit_on)
     test_on = _vectors(test, cols, nullable, [F.col(id_col), F.col(label)]).persist()
     root = f"{shared_folder(spark)}/trees-{uuid.uuid4().hex}"
     make = _gbt if kind == "gbt" else _forest

@@ -30,6 +30,7 @@ from gradus.operators.prep import (
 )
 from gradus.operators.split import fold_draw, random_split
 from gradus.operators.vif import steps_to_df, vif_mask, vif_steps
+from gradus.session import hold
 
 DONE, ABORTED = "DONE", "ABORTED"
 VIF_THRESHOLD = 10.0
@@ -96,8 +97,7 @@ def prepare(
     kept = [f for f, m in zip(stats.names, vif_mask(stats.names, steps)) if m]
     draws = {DRAW: hash_uniform(seed, F.col(key))}
     draws |= {f"{FOLD}{i}": fold_draw(key, folds, i, seed).cast("int") for i in range(1, folds + 1)}
-    rows = rows.select(key, label, *kept).withColumns(draws).persist(StorageLevel.MEMORY_AND_DISK)
-    rows.count()
+    rows = hold(rows.select(key, label, *kept).withColumns(draws))
     clean.unpersist()
     return Prepared(rows, stats, steps, kept, label, train_fraction)
 

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from functools import cache
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,14 +63,21 @@ def materialise(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Even out a frame that has fewer partitions than there are cores.
+def hold(df: DataFrame) -> DataFrame:
+    """Persist rows that many passes of a fit will read, on every core.
 
-    Meant for rows that many passes of a fit will read. Frames with enough
-    partitions, as any large one has, are left as they are.
+    A frame with fewer partitions than cores is spread once it is held; one with
+    enough, as any large one has, stays as it is.
     """
+    held = df.persist(StorageLevel.MEMORY_AND_DISK)
+    held.count()
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    if held.rdd.getNumPartitions() >= cores:
+        return held
+    even = held.repartition(cores).persist(StorageLevel.MEMORY_AND_DISK)
+    even.count()
+    held.unpersist()
+    return even
 
 
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:

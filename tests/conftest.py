@@ -21,3 +21,11 @@ def spark():
 @pytest.fixture(scope="session")
 def sf():
     return SF
+
+
+@pytest.fixture(autouse=True)
+def many_partitions(request):
+    """Keep small partitions apart, so that unit tests cross their borders."""
+    if "spark" in request.fixturenames:
+        session = request.getfixturevalue("spark")
+        session.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from gradus.operators.ranking import global_row_number, running_totals
+from gradus.operators.ranking import global_row_number, range_sorted, running_totals
 
 
 @pytest.fixture(scope="module")
@@ -51,6 +51,18 @@ def test_no_group_is_gathered_by_a_window(spark, rows):
     assert "windowspecdefinition(_part" in plan
 
 
+def test_ranges_are_several_here_and_merge_by_default(spark, rows):
+    df = spark.createDataFrame(rows, "g string, o int, i int, v int")
+    parts = lambda: range_sorted(df, [F.col("i")]).select(F.shiftright("_at", 33)).distinct().count()
+    assert parts() > 1
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
+    try:
+        assert parts() == 1
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.parallelismFirst")
+
+
 def test_empty_input(spark):
     df = spark.createDataFrame([], "g string, i int")
     assert running_totals(df, {"n": F.lit(1)}, [F.col("i")], within=["g"]).count() == 0

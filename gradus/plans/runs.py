@@ -12,7 +12,7 @@ from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel, inheritable_thread_target
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -83,8 +83,7 @@ def prepare(
     rows, because every pass of a fit filters on them.
     """
     cols = feature_names(df, [*exclude, key, label])
-    clean = drop_duplicate_keys(df.select(key, label, *cols), key)
-    clean = clean.persist(StorageLevel.MEMORY_AND_DISK)
+    clean = hold(drop_duplicate_keys(df.select(key, label, *cols), key))
 
     def basis(frame: DataFrame) -> DataFrame:
         if fit_on == "all":

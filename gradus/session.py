@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 # A side is broadcast only after its rows were counted and found below this.
 BROADCAST_ROW_LIMIT = 200_000
 
+# Held partitions with fewer rows than this on average are merged.
+ROWS_PER_TASK = 50_000
+
 # Runtime SQL settings the operators rely on. Skewed join partitions are split
 # even where that costs one more exchange, because a key may hold a third of
 # all rows. A join may reuse a partitioning on some of its keys, so that joins
@@ -64,17 +67,21 @@ def materialise(df: DataFrame) -> DataFrame:
 
 
 def hold(df: DataFrame) -> DataFrame:
-    """Persist rows that many passes of a fit will read, on every core.
+    """Persist rows that many passes of a fit will read, in partitions worth a task.
 
-    A frame with fewer partitions than cores is spread once it is held; one with
-    enough, as any large one has, stays as it is.
+    A frame with fewer partitions than cores is spread once it is held, and one
+    with far too many for its rows is merged without a shuffle. A large frame
+    stays as it is.
     """
     held = df.persist(StorageLevel.MEMORY_AND_DISK)
-    held.count()
+    rows = held.count()
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if held.rdd.getNumPartitions() >= cores:
+    parts = held.rdd.getNumPartitions()
+    enough = max(cores, -(-rows // ROWS_PER_TASK))
+    if cores <= parts <= 2 * enough:
         return held
-    even = held.repartition(cores).persist(StorageLevel.MEMORY_AND_DISK)
+    even = held.repartition(cores) if parts < cores else held.coalesce(enough)
+    even = even.persist(StorageLevel.MEMORY_AND_DISK)
     even.count()
     held.unpersist()
     return even

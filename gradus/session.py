@@ -20,12 +20,14 @@ ROWS_PER_TASK = 50_000
 # even where that costs one more exchange, because a key may hold a third of
 # all rows. A join may reuse a partitioning on some of its keys, so that joins
 # on (person), (person, term) and (person, term, course) move a base table once.
+# Held frames are planned adaptively like any other.
 RUNTIME_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning": "true",
     "spark.sql.session.timeZone": "UTC",
 }
 

@@ -152,11 +152,11 @@ def predict_language(
     the first language by name. Columns named like the results are replaced.
     """
     docs = docs.drop(*names)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.weights, model.priors))
     rest = [f for f in docs.schema if keep_text or f.name != "text"]
 
     def run(batches):
-        known, letters = shared.value, letter_table()
+        known, letters = LanguageModel(*shared.value), letter_table()
         for batch in batches:
             texts = batch.column("text").to_pylist()
             lang, score = [UNKNOWN] * len(texts), [0.0] * len(texts)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gradus.llm import sql
+from gradus.llm import chat, html, lines
 from gradus.llm.base import held_out, table
 from gradus.llm.decontaminate import contamination
 from gradus.llm.exact import exact_groups
@@ -14,6 +15,11 @@ from gradus.llm.mixing import mix
 from gradus.llm.simhash import near_groups
 
 
+def op1_html(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages")
+    return html.main_text(pages, html.train_page_model(pages))
+
+
 def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_groups(table(spark, folder, "documents"))
 
@@ -22,6 +28,16 @@ def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mix(table(spark, folder, "documents"))
 
 
+def op5_chat(spark: SparkSession, folder: str) -> DataFrame:
+    return chat.read_back(chat.format_turns(chat.with_probe(table(spark, folder, "conversations"))))
+
+
+def op6_lines(spark: SparkSession, folder: str) -> DataFrame:
+    return lines.drop_repeated_lines(table(spark, folder, "documents")).select(
+        "doc_id", "n_chars", "n_chunks", "n_removed", F.sha2("text", 256).alias("text_sha256")
+    )
+
+
 def op7_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     found = predict_language(docs.select("doc_id", "text"), train_language_model(docs))
@@ -40,6 +56,14 @@ def op10_exact(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op2_simhash, op4_mixing, op7_language, op9_decontamination, op10_exact)
+    for f in (
+        op1_html, op2_simhash, op4_mixing, op5_chat, op6_lines, op7_language, op9_decontamination, op10_exact,
+    )
+}
+SQL = {
+    "op4_mixing": sql.MIXING,
+    "op5_chat": sql.CHAT,
+    "op6_lines": sql.LINES,
+    "op9_decontamination": sql.DECONTAMINATION,
+    "op10_exact": sql.EXACT,
 }
-SQL = {"op4_mixing": sql.MIXING, "op9_decontamination": sql.DECONTAMINATION, "op10_exact": sql.EXACT}

@@ -47,6 +47,59 @@ FROM docs LEFT JOIN hits USING (doc_id) LEFT JOIN names USING (doc_id)
 """
 
 
+CHAT = r"""
+WITH all_turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+    UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'
+), sized AS (
+    SELECT *, 12 + length(role) + 1 + length(text) + 10 + 1
+           + CASE WHEN regexp_matches(text, '<\|im_(start|end)\|>|<\\+\|')
+                  THEN len(regexp_extract_all(text, '<\\*\|')) ELSE 0 END AS formatted
+    FROM all_turns
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(formatted)::BIGINT AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
+
+LINES = r"""
+WITH cut AS (
+    SELECT doc_id, coalesce(text, '') AS text,
+           string_split(replace(replace(replace(replace(coalesce(text, ''),
+               chr(10), chr(10) || chr(1)), '. ', '. ' || chr(1)), '! ', '! ' || chr(1)), '? ', '? ' || chr(1)), chr(1)) AS parts
+    FROM documents
+), units AS (
+    SELECT * FROM (SELECT doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS i FROM cut) WHERE line <> ''
+), hashed AS (
+    SELECT *, ('0x' || substr(md5(rtrim(line, ' ' || chr(10))), 1, 7))::UBIGINT::BIGINT AS h FROM units
+), rolled AS (
+    SELECT *, (h * 31 + coalesce(lag(h) OVER w, 7)) % 2147483647 AS r FROM hashed WINDOW w AS (PARTITION BY doc_id ORDER BY i)
+), ended AS (
+    SELECT *, CASE WHEN lead(r) OVER w IS NULL OR (lag(r) OVER w IS NOT NULL AND r < lag(r) OVER w AND r <= lead(r) OVER w)
+                   THEN 1 ELSE 0 END AS stop
+    FROM rolled WINDOW w AS (PARTITION BY doc_id ORDER BY i)
+), placed AS (
+    SELECT *, sum(stop) OVER (PARTITION BY doc_id ORDER BY i) - stop AS k FROM ended
+), chunks AS (
+    SELECT doc_id, k, count(*) AS n, string_agg(line, '' ORDER BY i) AS whole FROM placed GROUP BY doc_id, k
+), ranked AS (
+    SELECT *, n >= 2 AND row_number() OVER (PARTITION BY n >= 2, rtrim(whole, ' ' || chr(10)) ORDER BY doc_id, k) > 1 AS gone
+    FROM chunks
+), joined AS (
+    SELECT doc_id, count(*) AS n_chunks, count(*) FILTER (gone) AS n_removed,
+           coalesce(string_agg(whole, '' ORDER BY k) FILTER (NOT gone), '') AS kept
+    FROM ranked GROUP BY doc_id
+)
+SELECT doc_id, length(coalesce(kept, ''))::BIGINT AS n_chars, coalesce(n_chunks, 0)::BIGINT AS n_chunks,
+       coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS text_sha256
+FROM cut LEFT JOIN joined USING (doc_id)
+"""
+
+
 def _share(characters: str) -> str:
     return f"(length(text) - length(translate(text, '{characters}', '')))"
 

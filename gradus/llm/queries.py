@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gradus.llm import sql
-from gradus.llm import chat, html, lines
+from gradus.llm import chat, html, lines, toxicity
 from gradus.llm.base import held_out, table
 from gradus.llm.decontaminate import contamination
 from gradus.llm.exact import exact_groups
@@ -24,6 +24,12 @@ def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_groups(table(spark, folder, "documents"))
 
 
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    found = toxicity.predict_toxicity(docs, toxicity.train_toxicity(docs, table(spark, folder, "labels")))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mix(table(spark, folder, "documents"))
 
@@ -57,7 +63,7 @@ def op10_exact(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_html, op2_simhash, op4_mixing, op5_chat, op6_lines, op7_language, op9_decontamination, op10_exact,
+        op1_html, op2_simhash, op3_toxicity, op4_mixing, op5_chat, op6_lines, op7_language, op9_decontamination, op10_exact,
     )
 }
 SQL = {

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gradus.llm import sql
-from gradus.llm import chat, html, lines, toxicity
+from gradus.llm import chat, html, lines, pii, toxicity
 from gradus.llm.base import held_out, table
 from gradus.llm.decontaminate import contamination
 from gradus.llm.exact import exact_groups
@@ -50,6 +50,11 @@ def op7_language(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op8_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return pii.personal_data(docs, pii.train_skip_chain(docs))
+
+
 def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark")).select(
         "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"
@@ -63,7 +68,8 @@ def op10_exact(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_html, op2_simhash, op3_toxicity, op4_mixing, op5_chat, op6_lines, op7_language, op9_decontamination, op10_exact,
+        op1_html, op2_simhash, op3_toxicity, op4_mixing, op5_chat, op6_lines, op7_language, op8_personal_data,
+        op9_decontamination, op10_exact,
     )
 }
 SQL = {

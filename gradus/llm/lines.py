@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gradus.llm.base import broadcast_if_small, materialise
+from gradus.llm.base import materialise
 
 LINE_END = r"(?<=\\n)|(?<=[.!?] )"
 
@@ -22,9 +22,12 @@ LEAST_LINES = 2
 _TRIMMED = "trim(TRAILING ' \\n' FROM {})"
 
 
-def _lines(text: str = "text") -> Column:
+_LINES_SQL = f"filter(split(coalesce(text, ''), '{LINE_END}'), x -> x <> '')"
+
+
+def _lines() -> Column:
     """The lines of a text with what separates them; joined they are the text."""
-    return F.expr(f"filter(split(coalesce({text}, ''), '{LINE_END}'), x -> x <> '')")
+    return F.expr(_LINES_SQL)
 
 
 def _body(lines: str, first: str, last: str) -> str:
@@ -53,60 +56,73 @@ def _first(ends: str, k: str) -> str:
     return f"if({k} = 0, 0, get({ends}, {k} - 1) + 1)"
 
 
-def repeated_chunks(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Layout of every document, and the chunks that stand earlier in the corpus too.
+def _marked(docs: DataFrame) -> DataFrame:
+    """Ids and texts with a hash of the text, which tells rows of one id apart."""
+    return docs.select("doc_id", "text").withColumn("mark", F.xxhash64(F.coalesce("text", F.lit(""))))
+
 
-    The layout has doc_id, a hash of the text, and the ends of its chunks. The second
-    frame has doc_id, text hash and the places of the chunks to remove.
+def _joined(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+    """Join on the document, whose id may be null."""
+    other = right.withColumnsRenamed({"doc_id": "_id", "mark": "_mark"})
+    same = (F.col("mark") == F.col("_mark")) & F.col("doc_id").eqNullSafe(F.col("_id"))
+    return left.join(other, same, how).drop("_id", "_mark")
+
+
+def repeated_chunks(docs: DataFrame) -> DataFrame:
+    """For every document (doc_id, mark) the number of its chunks, and the ranges of lines that stay.
+
+    ``kept`` has the first line and the number of lines of each chunk that stays, in order, and
+    is null where all stay; ``n_removed`` counts the chunks that stand earlier in the corpus.
     """
-    marked = docs.select("doc_id", "text").withColumn("mark", F.xxhash64(F.coalesce("text", F.lit(""))))
     chunk = f"xxhash64({_body('lines', _first('ends', 'k'), 'e')})"
     layout = materialise(
-        _with_ends(marked).select("doc_id", "mark", "ends", F.expr(f"transform(ends, (e, k) -> {chunk})").alias("chunks"))
+        _with_ends(_marked(docs))
+        .select("doc_id", "mark", "ends", F.expr(f"transform(ends, (e, k) -> {chunk})").alias("chunks"))
     )
     places = layout.select("doc_id", "mark", "ends", F.posexplode("chunks").alias("k", "chunk")).select(
         "doc_id", "mark", "k", "chunk", F.expr(f"ends[k] - {_first('ends', 'k')} + 1").alias("n")
     )
     places = places.where(F.col("n") >= LEAST_LINES).drop("n")
     often = materialise(places.groupBy("chunk").count().where("count > 1").select("chunk"))
-    found = materialise(places.join(broadcast_if_small(often), "chunk"))
+    found = materialise(places.join(often, "chunk").distinct())
 
     # The bytes of the chunks that occur more than once, from the texts that have them.
-    by_text = found.groupBy("doc_id", "mark").agg(F.collect_set("k").alias("ks"))
-    suspects = materialise(by_text)
-    texts = _joined(marked, suspects, "inner").select("doc_id", "mark", _lines().alias("lines"), "ks")
-    texts = _joined(texts, layout.select("doc_id", "mark", "ends", "chunks").distinct(), "inner")
+    suspects = found.groupBy("doc_id", "mark").agg(F.collect_list("k").alias("ks"))
+    suspects = materialise(_joined(suspects, layout.distinct(), "inner"))
+    texts = _joined(_marked(docs), suspects, "inner").withColumn("lines", _lines())
     pieces = texts.select("doc_id", "mark", "lines", "ends", "chunks", F.explode("ks").alias("k")).select(
         "doc_id", "mark", "k", F.expr("chunks[k]").alias("chunk"),
         F.expr(_body("lines", _first("ends", "k"), "ends[k]")).alias("body"),
     )
     one = F.struct("doc_id", "mark", "k")
     verified = materialise(
-        pieces.groupBy("chunk").agg(
-            F.min("body").alias("low"), F.max("body").alias("high"), F.min(one).alias("kept"), F.count("*").alias("n")
-        ).select("chunk", "kept", (F.col("low") == F.col("high")).alias("same"), "n")
+        pieces.groupBy("chunk")
+        .agg(F.min("body").alias("low"), F.max("body").alias("high"), F.min(one).alias("first"))
+        .select("chunk", "first", (F.col("low") == F.col("high")).alias("same"))
     )
-    spots = found.select("chunk", "doc_id", "mark", "k").distinct()
-    gone = spots.join(broadcast_if_small(verified.where("same AND n > 1").select("chunk", "kept")), "chunk").where(
-        ~one.eqNullSafe(F.col("kept"))
-    ).select("doc_id", "mark", "k")
+    gone = found.join(verified.where("same"), "chunk").where(~one.eqNullSafe(F.col("first")))
+    gone = gone.select("doc_id", "mark", "k")
     unlike = verified.where("NOT same").select("chunk")
     if not unlike.isEmpty():
         # Chunks of one hash and several contents are told apart by their bytes.
-        apart = materialise(pieces.join(broadcast_if_small(unlike), "chunk", "left_semi"))
-        first = apart.groupBy("chunk", "body").agg(F.min(one).alias("kept"))
-        gone = gone.unionByName(
-            apart.join(first, ["chunk", "body"]).where(~one.eqNullSafe(F.col("kept"))).select("doc_id", "mark", "k")
-        )
+        apart = materialise(pieces.join(unlike, "chunk", "left_semi"))
+        first = apart.groupBy("chunk", "body").agg(F.min(one).alias("first"))
+        apart = apart.join(first, ["chunk", "body"]).where(~one.eqNullSafe(F.col("first")))
+        gone = gone.unionByName(apart.select("doc_id", "mark", "k").distinct())
     removals = gone.groupBy("doc_id", "mark").agg(F.collect_set("k").alias("ks"))
-    return layout, materialise(removals)
-
-
-def _joined(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
-    """Join on the document, whose id may be null."""
-    other = right.withColumnsRenamed({"doc_id": "_id", "mark": "_mark"})
-    same = (F.col("mark") == F.col("_mark")) & F.col("doc_id").eqNullSafe(F.col("_id"))
-    return left.join(broadcast_if_small(other), same, how).drop("_id", "_mark")
+    ranges = (
+        "transform(array_except(sequence(0, size(ends) - 1), ks), "
+        f"k -> struct({_first('ends', 'k')} + 1 AS at, get(ends, k) - {_first('ends', 'k')} + 1 AS n))"
+    )
+    return materialise(
+        _joined(layout.select("doc_id", "mark", "ends").distinct(), removals, "left").select(
+            "doc_id",
+            "mark",
+            F.size("ends").cast("long").alias("n_chunks"),
+            F.coalesce(F.size("ks"), F.lit(0)).cast("long").alias("n_removed"),
+            F.when(F.col("ks").isNotNull(), F.expr(ranges)).alias("kept"),
+        )
+    )
 
 
 def drop_repeated_lines(docs: DataFrame) -> DataFrame:
@@ -119,25 +135,13 @@ def drop_repeated_lines(docs: DataFrame) -> DataFrame:
     so they keep the same chunks. Further columns, also ones named like the result's,
     are not read. An empty table gives no rows.
     """
-    layout, removals = repeated_chunks(docs)
-    cut = removals.join(
-        layout.distinct().withColumnsRenamed({"doc_id": "_id", "mark": "_mark"}),
-        (F.col("mark") == F.col("_mark")) & F.col("doc_id").eqNullSafe(F.col("_id")),
-    ).select("doc_id", "mark", "ks", "ends")
-    marked = docs.select("doc_id", "text").withColumn("mark", F.xxhash64(F.coalesce("text", F.lit(""))))
-    sizes = layout.distinct().select("doc_id", "mark", F.size("ends").cast("long").alias("n_chunks"))
-    found = _joined(_joined(marked, sizes, "left"), materialise(cut), "left")
-    kept = (
-        "array_join(flatten(transform(filter(sequence(0, size(ends) - 1), k -> NOT array_contains(ks, k)), "
-        f"k -> slice(lines, {_first('ends', 'k')} + 1, get(ends, k) - {_first('ends', 'k')} + 1))), '')"
-    )
-    cleaned = found.withColumn("lines", F.when(F.col("ks").isNotNull(), _lines())).withColumn(
-        "cleaned", F.when(F.col("ks").isNull(), F.coalesce("text", F.lit(""))).otherwise(F.expr(kept))
+    found = _joined(_marked(docs), repeated_chunks(docs), "inner")
+    # One binding of the lines, so that the text is cut once and not for each range.
+    cleaned = (
+        f"element_at(transform(array({_LINES_SQL}), lines -> "
+        "array_join(flatten(transform(kept, r -> slice(lines, r.at, r.n))), '')), 1)"
     )
-    return cleaned.select(
-        "doc_id",
-        F.col("cleaned").alias("text"),
-        F.length("cleaned").cast("long").alias("n_chars"),
-        "n_chunks",
-        F.coalesce(F.size("ks"), F.lit(0)).cast("long").alias("n_removed"),
+    whole = F.when(F.col("kept").isNull(), F.coalesce("text", F.lit(""))).otherwise(F.expr(cleaned))
+    return found.select("doc_id", whole.alias("text"), "n_chunks", "n_removed").select(
+        "doc_id", "text", F.length("text").cast("long").alias("n_chars"), "n_chunks", "n_removed"
     )

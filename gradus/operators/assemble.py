@@ -5,14 +5,13 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
-from functools import partial
 from itertools import groupby
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gradus.functions import year_digits
-from gradus.operators.skew import apart
+from gradus.operators.skew import SALT, Hot, hot_values, repeated, salted
 
 # Keys a feature table may share with the base, in the order they are tried.
 JOIN_KEYS = ("person_uid", "academic_period", "course_identification")
@@ -61,8 +60,13 @@ def skip_non_feature_tables(tables: Iterable[str], not_features: Iterable[str])
     return [t for t in tables if t not in skipped]
 
 
-def _left_join(base: DataFrame, features: DataFrame, on: Mapping[str, Column], chosen: list[str]) -> DataFrame:
-    """Left join of the chosen columns; ``on`` maps a base expression to each right key."""
+def _left_join(
+    base: DataFrame, features: DataFrame, on: Mapping[str, Column], chosen: list[str], hot: Hot | None = None
+) -> DataFrame:
+    """Left join of the chosen columns; ``on`` maps a base expression to each right key.
+
+    With hot values of the first key the base must be salted for it.
+    """
     clash = [c for c in chosen if c in base.columns]
     if clash:
         raise ValueError(f"columns already present in the assembled table: {clash}")
@@ -70,8 +74,11 @@ def _left_join(base: DataFrame, features: DataFrame, on: Mapping[str, Column], c
         *[expr.alias(f"_k{i}") for i, expr in enumerate(on.values())], *chosen
     )
     condition = [base_key_expr(base, k) == right[f"_k{i}"] for i, k in enumerate(on)]
+    if hot:
+        right = repeated(right, "_k0", hot).withColumnRenamed(SALT, "_right_salt")
+        condition.append(base[SALT] == right["_right_salt"])
     joined = base.join(right, condition, "left")
-    return joined.drop(*[f"_k{i}" for i in range(len(on))])
+    return joined.drop(*[f"_k{i}" for i in range(len(on))], "_right_salt")
 
 
 def base_key_expr(base: DataFrame, key: str) -> Column:
@@ -81,28 +88,40 @@ def base_key_expr(base: DataFrame, key: str) -> Column:
     return base[key]
 
 
+def _spread(base: DataFrame, leading: str, join) -> DataFrame:
+    """One join whose hot leading keys are looked for and salted."""
+    hot = hot_values(base, [leading]).get(leading)
+    return join(salted(base, leading, hot), hot).drop(SALT) if hot else join(base, None)
+
+
 def join_on_keys(base: DataFrame, features: DataFrame, keys: Sequence[str], chosen: list[str]) -> DataFrame:
     """Left join on equal keys; duplicated feature keys multiply rows."""
-    return _left_join(base, features, {k: F.col(k) for k in keys}, chosen)
+    return _spread(base, keys[0], lambda rows, hot: _join_on_keys(rows, features, keys, chosen, hot))
+
+
+def _join_on_keys(base, features, keys, chosen, hot) -> DataFrame:
+    return _left_join(base, features, {k: F.col(k) for k in keys}, chosen, hot)
 
 
 def join_year_level(base: DataFrame, features: DataFrame, chosen: list[str] | None = None) -> DataFrame:
     """Left join of a year-level table on person and the year digits of the term."""
+    return _spread(base, "person_uid", lambda rows, hot: _join_year_level(rows, features, chosen, hot))
+
+
+def _join_year_level(base, features, chosen, hot) -> DataFrame:
     if chosen is None:
         chosen = [c for c in features.columns if c not in ("person_uid", "aid_year")]
     on = {"person_uid": F.col("person_uid"), "year:academic_period": year_digits(F.col("aid_year"))}
-    return _left_join(base, features, on, chosen)
+    return _left_join(base, features, on, chosen, hot)
 
 
-def _join_group(
-    group: list, rows: DataFrame, prepare: Callable[[DataFrame], DataFrame]
-) -> DataFrame:
+def _join_group(group: list, rows: DataFrame, hot: Hot | None) -> DataFrame:
     """Left joins of the tables of one leading key."""
     for keys, table, chosen in group:
         if keys == YEAR_KEYS:
-            rows = join_year_level(rows, prepare(table), chosen)
+            rows = _join_year_level(rows, table, chosen, hot)
         else:
-            rows = join_on_keys(rows, prepare(table), keys, chosen)
+            rows = _join_on_keys(rows, table, keys, chosen, hot)
     return rows
 
 
@@ -113,8 +132,9 @@ def assemble_features(
 
     Left joins onto one base commute, so they run sorted by their keys: the
     tables of one leading key, shortest key first, follow each other on the
-    partitioning of the first. Rows of a hot leading key, or of a missing one,
-    stay out of that shuffle. Columns come out in the order of the tables.
+    partitioning of the first. Hot leading keys, missing ones among them, are counted
+    in one pass over the base and salted, so the base is read once whatever is
+    hot. Columns come out in the order of the tables.
     """
     planned = []
     for name in skip_non_feature_tables(feature_tables, rules.not_features):
@@ -126,9 +146,11 @@ def assemble_features(
             keys = tuple(rules.custom_joins.get(name) or detect_join_keys(table.columns, rules.join_keys))
         planned.append((keys, table, chosen))
     ordered = sorted(planned, key=lambda p: (p[0][0], len(p[0]), p[0]))
-    assembled = base
+    assembled, hot = base, hot_values(base, [p[0][0] for p in ordered]) if ordered else {}
     for leading, group in groupby(ordered, key=lambda p: p[0][0]):
-        assembled = apart(assembled, leading, partial(_join_group, list(group)))
+        own = hot.get(leading)
+        rows = salted(assembled, leading, own) if own else assembled
+        assembled = _join_group(list(group), rows, own).drop(SALT)
     return assembled.select(*base.columns, *[c for _, _, chosen in planned for c in chosen])
 
 

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from gradus.functions import guarded_ratio, normalize_id, unnest_together
 from gradus.operators.prep import CONSTANT_TERM
@@ -15,9 +16,6 @@ from gradus.session import with_row
 # Thresholds 0.00, 0.01 … 1.00 of the sweep.
 SWEEP_STEPS = 100
 
-# Distinct classes a confusion matrix or metric table is meant for.
-MAX_CLASSES = 1000
-
 
 # ---------------------------------------------------------------- regression
 
@@ -243,14 +241,14 @@ def class_metrics(df: DataFrame, actual: str, predicted: str) -> DataFrame:
 def confusion_matrix(
     df: DataFrame, actual: str, predicted: str, classes: Sequence | None = None
 ) -> DataFrame:
-    """One row per actual class, one column per predicted class."""
+    """One row per actual class, one column per predicted class.
+
+    Where there are too many classes for columns, ``confusion_counts`` has the same counts as rows.
+    """
     counts = confusion_counts(df, actual, predicted)
     if classes is None:
         both = counts.select(F.explode(F.array("actual", "predicted")).alias("c")).distinct()
-        found = both.limit(MAX_CLASSES + 1).collect()
-        if len(found) > MAX_CLASSES:
-            raise ValueError(f"more than {MAX_CLASSES} classes: not a classification label")
-        classes = sorted(r["c"] for r in found)
+        classes = sorted(r["c"] for r in both.where("c IS NOT NULL").collect())
     cells = [
         F.coalesce(F.sum(F.when(F.col("predicted") == c, F.col("n"))), F.lit(0)).alias(f"predicted_{c}")
         for c in classes
@@ -381,7 +379,7 @@ def rank_grid_results(results: DataFrame, class_position: int, metric: str = "re
     """Grid rows by one metric of one class, best first."""
     picked = [F.element_at(c, class_position).alias(f"pos_{c}") for c in ("precision", "recall", "fscore")]
     rows = results.select("params_indx", "params", *picked)
-    return rows.orderBy(F.col(f"pos_{metric}").desc(), "params_indx")
+    return rows.orderBy(F.col(f"pos_{metric}").desc_nulls_first(), "params_indx")
 
 
 def unnest_importance(results: DataFrame) -> DataFrame:
@@ -423,7 +421,7 @@ def calibration_bins(
     rows = df.select(
         (normalize_id(F.col(id_col)) if normalise_ids else F.col(id_col)).alias(id_col), prob, label
     )
-    ranked = global_row_number(rows, [F.col(prob), F.col(id_col)], "_rank")
+    ranked = global_row_number(rows, [F.col(prob).asc_nulls_last(), F.col(id_col).asc_nulls_last()], "_rank")
     size = ranked.agg(F.count("*").alias("_n"))
     per, extra = F.floor(F.col("_n") / bins), F.col("_n") % bins
     zero = F.col("_rank") - 1
@@ -444,6 +442,9 @@ def calibration_bins(
 
 def column_summary(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Count, nulls, mean, deviation, least and greatest value per column, in one scan."""
+    if not cols:
+        schema = "col_name string, count long, nulls long, mean double, stddev double, min double, max double"
+        return df.sparkSession.createDataFrame([], schema)
     value = {c: F.col(c).cast("double") for c in cols}
     measures = {
         "count": lambda v: F.count(v),
@@ -462,10 +463,15 @@ def column_summary(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def dataset_compare(a: DataFrame, b: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
-    """Per-column summary of two tables side by side and the difference of the means."""
-    numeric = {"double", "float", "int", "bigint", "smallint", "tinyint"}
-    types = dict(b.dtypes)
-    shared = [c for c, t in a.dtypes if t in numeric and types.get(c) in numeric and c not in set(exclude)]
+    """Per-column summary of two tables side by side and the difference of the means.
+
+    Compares the columns that are numbers in both tables; others are left out.
+    Without such a column the result is empty.
+    """
+    numbers = {f.name for f in b.schema if isinstance(f.dataType, NumericType)}
+    shared = [
+        f.name for f in a.schema if isinstance(f.dataType, NumericType) and f.name in numbers and f.name not in set(exclude)
+    ]
     names = ["count", "nulls", "mean", "stddev", "min", "max"]
     left = column_summary(a, shared).select("col_name", *[F.col(n).alias(f"{n}_a") for n in names])
     right = column_summary(b, shared).select("col_name", *[F.col(n).alias(f"{n}_b") for n in names])

@@ -7,6 +7,7 @@ sums, so the driver receives at most ``MERGERS`` triangles of k·(k+1)/2 numbers
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -93,7 +94,11 @@ def gram_matrix(
             total[upper] = cells
             yield _pack(n, total, upper)
 
-    folded = plain.mapInArrow(partial, _PARTIAL).repartition(MERGERS).mapInArrow(fold, _PARTIAL)
+    # Folded in levels: no task adds up more than about the root of the number of tasks.
+    folded, tasks = plain.mapInArrow(partial, _PARTIAL), plain.rdd.getNumPartitions()
+    if tasks > MERGERS * MERGERS:
+        folded = folded.repartition(math.isqrt(tasks)).mapInArrow(fold, _PARTIAL)
+    folded = folded.repartition(MERGERS).mapInArrow(fold, _PARTIAL)
     total, rows = np.zeros((k + 1, k + 1)), 0.0
     for part in folded.collect():
         total[upper] += np.array(part["cells"])

@@ -7,8 +7,6 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,9 +14,6 @@ from gradus.functions import balanced_sum
 from gradus.operators.gram import Gram, gram_matrix
 from gradus.operators.prep import CONSTANT_TERM
 
-# Most features the trainer's normal-equation solver takes. Fixed value.
-WIDEST_NORMAL = 4096
-
 MODEL_SCHEMA = (
     "names array<string>, coef array<double>, p_values array<double>, intercept double, r2 double"
 )
@@ -148,32 +143,35 @@ def elastic_net_train(
 ) -> LinearModel:
     """Gaussian elastic net with penalty λ(α·|b| + (1−α)/2·b²) on unscaled columns.
 
-    Spark divides the ridge part by the label's deviation, so both parameters
-    are converted first to give the penalty named here. Up to ``WIDEST_NORMAL``
-    features one pass gathers the normal equations and the iterations run on
-    those, with the population deviation; beyond, every iteration reads the data
-    and the sample deviation applies.
+    One pass gathers the centred cross products, then coordinates are updated in turn
+    until none moves by more than ``tol`` of the label's deviation: one solver and one
+    objective at every width. Rows with a missing feature or label are left out.
     """
     plain = sorted(f for f in features if f != CONSTANT_TERM)
-    assembled = VectorAssembler(inputCols=plain, outputCol="_x", handleInvalid="skip").transform(
-        df.select(*plain, F.col(label).cast("double").alias("_y")).where(F.col("_y").isNotNull())
-    )
-    one_pass = len(plain) <= WIDEST_NORMAL
-    sd = assembled.agg((F.stddev_pop if one_pass else F.stddev_samp)("_y")).first()[0]
-    if not sd:
+    gram = gram_matrix(df.select(*plain, F.col(label).cast("double").alias("_y")), [*plain, "_y"])
+    if not gram.n or not gram.cross[-1, -1] > 0:
         raise ValueError("elastic net needs a label that varies")
-    reg = lambda_value * (alpha + (1.0 - alpha) * sd)
-    fitted = LinearRegression(
-        featuresCol="_x",
-        labelCol="_y",
-        regParam=reg,
-        elasticNetParam=lambda_value * alpha / reg if reg else 0.0,
-        standardization=False,
-        solver="normal" if one_pass else "l-bfgs",
-        maxIter=max_iter,
-        tol=tol,
-    ).fit(assembled)
-    return LinearModel(tuple(plain), tuple(float(c) for c in fitted.coefficients), (), float(fitted.intercept))
+    product, target = gram.cross[:-1, :-1] / gram.n, gram.cross[:-1, -1] / gram.n
+    coef, pull = np.zeros(len(plain)), target.copy()
+    scale = np.sqrt(gram.cross[-1, -1] / gram.n)
+    diagonal = np.diag(product)
+    for _ in range(max_iter):
+        moved = 0.0
+        for j in range(len(plain)):
+            if diagonal[j] <= 0:
+                continue
+            free = pull[j] + diagonal[j] * coef[j]
+            new = np.sign(free) * max(abs(free) - lambda_value * alpha, 0.0)
+            new /= diagonal[j] + lambda_value * (1.0 - alpha)
+            step = new - coef[j]
+            if step:
+                pull -= product[:, j] * step
+                coef[j] = new
+                moved = max(moved, abs(step) * np.sqrt(diagonal[j]))
+        if moved <= tol * scale:
+            break
+    level = float(gram.mean[-1] - gram.mean[:-1] @ coef)
+    return LinearModel(tuple(plain), tuple(float(c) for c in coef), (), level)
 
 
 def predict(df: DataFrame, model: LinearModel, keep: Sequence[str], name: str = "prediction") -> DataFrame:

@@ -22,9 +22,11 @@ from gradus.operators.prep import column_stats
 from gradus.operators.ranking import global_row_number, running_totals
 from gradus.session import BROADCAST_ROW_LIMIT, broadcast_if_small, materialise, with_row
 
-# Control points a box should hold, and the number of boxes at most.
+# Control points a box should hold, and the boxes the cuts are planned for. Larger
+# boxes are searched in parts, so the number of boxes bounds no group.
 POINTS_PER_BOX = 2_000
-MAX_BOXES = 16_384
+MOST_CUTS = 16_384
+CONTROLS_PER_GROUP = 50_000
 
 # Control points the driver sees in order to place the cuts.
 SAMPLE_PER_BOX = 8
@@ -32,8 +34,8 @@ SAMPLE_PER_BOX = 8
 # Treated points that search one box in one group.
 TREATED_PER_GROUP = 20_000
 
-# Distances are compared and reported at this many places.
-DIGITS = 8
+# Distances that agree to this part of their size are equal, so that ties go to the smaller id.
+SAME = 1e-9
 
 
 def match_nulls(df: DataFrame, omit: bool = True, cols: Sequence[str] | None = None) -> DataFrame:
@@ -166,6 +168,13 @@ def _whitening(df: DataFrame, cols: Sequence[str]) -> np.ndarray:
     return (vectors[:, usable] / np.sqrt(values[usable])).T
 
 
+def _significant(values: np.ndarray) -> np.ndarray:
+    """Values at nine significant digits, so that equal distances compare equal."""
+    size = np.where(values > 0, values, 1.0)
+    scale = 10.0 ** (8 - np.floor(np.log10(size)))
+    return np.where(values > 0, np.round(values * scale) / scale, 0.0)
+
+
 def _nearest(treated: pd.DataFrame, controls: pd.DataFrame, zs: list[str], xs: list[str]) -> pd.DataFrame:
     """Nearest control of each treated point among those given."""
     controls = controls.sort_values("matched_id", kind="stable")
@@ -178,10 +187,10 @@ def _nearest(treated: pd.DataFrame, controls: pd.DataFrame, zs: list[str], xs: l
         square = np.zeros((len(part), len(c)))
         for j in range(c.shape[1]):
             square += (part[:, j, None] - c[None, :, j]) ** 2
-        distance = np.round(np.sqrt(square), DIGITS)
-        best = distance.argmin(axis=1)
+        least = square.min(axis=1)
+        best = (square <= (least * (1 + SAME))[:, None]).argmax(axis=1)
         chosen.append(ids[best])
-        reach.append(distance[np.arange(len(part)), best])
+        reach.append(_significant(np.sqrt(least)))
     out = treated[xs].copy()
     out["distance"], out["matched_id"] = np.concatenate(reach), np.concatenate(chosen)
     return out
@@ -207,7 +216,7 @@ def match_nearest(df: DataFrame, id_col: str, treatment: str, match_on: Sequence
     controls = materialise(place(controls))
     treated = place(rows.where(F.col("_arm") == 1).select(*xs).distinct())
 
-    wanted = min(MAX_BOXES, max(1, -(-controls.count() // POINTS_PER_BOX)))
+    wanted = min(MOST_CUTS, max(1, -(-controls.count() // POINTS_PER_BOX)))
     sample = controls.select(*zs).orderBy(F.xxhash64(*zs), *zs).limit(wanted * SAMPLE_PER_BOX).toPandas()
     id_type = df.schema[id_col].dataType.simpleString()
     if sample.empty:
@@ -224,19 +233,25 @@ def match_nearest(df: DataFrame, id_col: str, treatment: str, match_on: Sequence
     controls = controls.withColumn("box", box_of(F.struct(*zs)))
     spark = df.sparkSession
 
+    held = materialise(
+        controls.groupBy("box").agg(F.ceil(F.count("*") / CONTROLS_PER_GROUP).cast("int").alias("_shares"))
+    )
+
     def search(asking: DataFrame) -> DataFrame:
-        """Meet the controls of the asked boxes; crowded boxes are asked in several groups."""
+        """Nearest control of each point in the boxes it asks; crowded boxes are searched in several groups."""
         asking = materialise(asking)
-        crowd = asking.groupBy("box").agg(F.count("*").alias("n"))
-        groups = crowd.select(
-            F.col("box").alias("_box"), F.ceil(F.col("n") / TREATED_PER_GROUP).cast("int").alias("_groups")
-        )
+        crowd = asking.groupBy("box").agg(F.ceil(F.count("*") / TREATED_PER_GROUP).cast("int").alias("_groups"))
+        groups = materialise(crowd.join(held, "box").withColumnRenamed("box", "_box"))
         groups = F.broadcast(groups)  # at most one row per box
-        asked = asking.join(groups, asking["box"] == groups["_box"]).withColumn(
-            "part", F.pmod(F.xxhash64(*xs), F.col("_groups")).cast("int")
+        asked = (
+            asking.join(groups, asking["box"] == groups["_box"])
+            .withColumn("part", F.pmod(F.xxhash64(*xs), F.col("_groups")).cast("int"))
+            .withColumn("share", F.explode(F.sequence(F.lit(0), F.col("_shares") - 1)))
         )
-        offered = controls.join(groups, controls["box"] == groups["_box"]).withColumn(
-            "part", F.explode(F.sequence(F.lit(0), F.col("_groups") - 1))
+        offered = (
+            controls.join(groups, controls["box"] == groups["_box"])
+            .withColumn("share", F.pmod(F.xxhash64("matched_id"), F.col("_shares")).cast("int"))
+            .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("_groups") - 1)))
         )
 
         def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
@@ -244,12 +259,14 @@ def match_nearest(df: DataFrame, id_col: str, treatment: str, match_on: Sequence
                 return pd.DataFrame(columns=[*xs, "distance", "matched_id"])
             return _nearest(left, right, zs, xs)
 
-        return (
-            asked.select("box", "part", *xs, *zs)
-            .groupBy("box", "part")
-            .cogroup(offered.select("box", "part", "matched_id", *zs).groupBy("box", "part"))
+        found = (
+            asked.select("box", "part", "share", *xs, *zs)
+            .groupBy("box", "part", "share")
+            .cogroup(offered.select("box", "part", "share", "matched_id", *zs).groupBy("box", "part", "share"))
             .applyInPandas(meet, found_schema)
         )
+        best = F.min(F.struct("distance", "matched_id"))
+        return found.groupBy(*xs).agg(best.alias("_m")).select(*xs, "_m.distance", "_m.matched_id")
 
     own = materialise(search(treated.withColumn("box", box_of(F.struct(*zs)))))
 
@@ -259,7 +276,7 @@ def match_nearest(df: DataFrame, id_col: str, treatment: str, match_on: Sequence
             reach, home = batch["distance"].to_numpy(), boxes.locate(points)
             picks = []
             for i in range(len(batch)):
-                near = np.flatnonzero(boxes.distances(points[i]) <= reach[i] + 10.0**-DIGITS)
+                near = np.flatnonzero(boxes.distances(points[i]) <= reach[i] * (1 + 10 * SAME))
                 picks.append(near[near != home[i]])
             counts = [len(p) for p in picks]
             if sum(counts):

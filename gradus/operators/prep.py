@@ -22,18 +22,20 @@ def drop_duplicate_keys(df: DataFrame, key: str) -> DataFrame:
 
     Rows are grouped with a count and one carried row, so the copies of a hot
     key collapse before the shuffle to one row per map task. A group of one
-    holds the very row it came from, hence no join back is needed.
+    holds the very row it came from, hence no join back is needed. A row with a
+    null key is a group of its own by its place, so the input is read once and
+    many such rows spread over all tasks.
     """
     rest = [c for c in df.columns if c != key]
     carried = F.first(F.struct(*rest)) if rest else F.first(F.lit(1))
-    single = (
-        df.where(F.col(key).isNotNull())
-        .groupBy(key)
+    alone = F.when(F.col(key).isNull(), F.monotonically_increasing_id())
+    return (
+        df.withColumn("_alone", alone)
+        .groupBy(key, "_alone")
         .agg(F.count("*").alias("_copies"), carried.alias("_row"))
         .where(F.col("_copies") == 1)
         .select(*[F.col(key) if c == key else F.col("_row")[c].alias(c) for c in df.columns])
     )
-    return single.unionByName(df.where(F.col(key).isNull()))
 
 
 def duplicate_row_count(df: DataFrame, key: str) -> DataFrame:
@@ -71,6 +73,8 @@ def as_double(df: DataFrame, name: str) -> Column:
 
 def column_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Rows (column_name, avg, stddev), nulls skipped, from one aggregate per pass."""
+    if not cols:
+        return df.sparkSession.createDataFrame([], "column_name string, avg double, stddev double")
     parts = []
     for start in range(0, len(cols), COLUMNS_PER_PASS):
         block = cols[start : start + COLUMNS_PER_PASS]

@@ -11,8 +11,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, IntegralType
 
 from gradus.session import materialise
 
@@ -63,17 +67,14 @@ def running_totals(
     """
     within = list(within)
     groups = [F.col(c).asc_nulls_first() for c in within]
-    valued = df.withColumns({f"_v_{n}": v for n, v in totals.items()})
-    placed = range_sorted(valued, [*groups, *order_by]).withColumn("_part", _part())
+    valued = df.withColumns({f"_l_{n}": _summable(df, v) for n, v in totals.items()})
+    local = _cumulated(valued, [f"_l_{n}" for n in totals], [*groups, *order_by], within)
+    placed = local.withColumn("_part", _part())
+    local = placed
 
-    upto = (
-        Window.partitionBy("_part", *within)
-        .orderBy("_at")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    pieces = placed.groupBy("_part", *within).agg(
+        *[F.max_by(f"_l_{n}", "_at").alias(f"_p_{n}") for n in totals]
     )
-    local = placed.withColumns({f"_l_{n}": F.sum(f"_v_{n}").over(upto) for n in totals})
-
-    pieces = placed.groupBy("_part", *within).agg(*[F.sum(f"_v_{n}").alias(f"_p_{n}") for n in totals])
     if within:
         # Only the last group of a partition can go on in the next one.
         key = F.struct(*[F.struct(F.col(c).isNotNull().alias("has"), F.col(c).alias("v")) for c in within])
@@ -98,3 +99,49 @@ def running_totals(
     }
     return joined.select(*df.columns, *[v.alias(n) for n, v in summed.items()])
 
+
+def _summable(df: DataFrame, value: Column) -> Column:
+    """A value as long, or as double if it is no whole number."""
+    kind = df.select(value.alias("v")).schema["v"].dataType
+    return value.cast("bigint" if isinstance(kind, (IntegralType, BooleanType)) else "double")
+
+
+def _cumulated(df: DataFrame, columns: Sequence[str], order_by: Sequence[Column], within: Sequence[str]) -> DataFrame:
+    """Rows range partitioned, sorted and written, with running sums of ``columns`` inside each partition.
+
+    Sums are taken while the sorted rows pass by and restart where a group
+    begins; a null counts as nothing. So the rows move once.
+    """
+    placed = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
+    group = F.to_json(F.struct(*within)) if within else F.lit("")
+    placed = placed.withColumn("_group", group)
+    names = placed.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, carry = None, {}
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            group = batch.column(names.index("_group"))
+            changed = np.ones(batch.num_rows, bool)
+            changed[1:] = pc.not_equal(group.slice(1), group.slice(0, batch.num_rows - 1)).to_numpy(zero_copy_only=False)
+            first = group[0].as_py()
+            starts = np.flatnonzero(changed)
+            of = np.cumsum(changed) - 1
+            arrays = list(batch.columns)
+            for name in columns:
+                at = names.index(name)
+                values = pc.fill_null(arrays[at], 0).to_numpy(zero_copy_only=False).copy()
+                if first == last:
+                    values[0] += carry[name]
+                total = np.cumsum(values)
+                before = np.concatenate(([0], total[starts[1:] - 1])).astype(values.dtype)
+                total = total - before[of]
+                carry[name] = total[-1]
+                arrays[at] = pa.array(total, arrays[at].type)
+            last = group[batch.num_rows - 1].as_py()
+            yield pa.RecordBatch.from_arrays(arrays, schema=batch.schema)
+
+    summed = placed.mapInArrow(run, placed.schema).drop("_group")
+    return materialise(summed.withColumn("_at", F.monotonically_increasing_id()))
+

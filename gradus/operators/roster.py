@@ -130,7 +130,7 @@ def risk_roster(
         F.coalesce("_summer", F.lit("N")).alias("summer_start_ind"),
         "puid",
         *[F.col(f"`{s}.{src}`").alias(out) for s, src, out in _ROSTER],
-    ).orderBy("college", F.col("predicted_at_risk_probability").desc(), "puid")
+    ).orderBy("college", F.col("predicted_at_risk_probability").desc_nulls_first(), "puid")
 
 
 def list_added(current: DataFrame, previous: DataFrame, key: str = "puid") -> DataFrame:

@@ -1,62 +1,72 @@
-"""Hot join keys: finding them and keeping their rows out of the shuffle.
+"""Hot join keys: finding them all in one pass and spreading their rows.
 
 Adaptive execution splits a hot partition only where both sides of a join come
 straight from an exchange. It does not where a side was aggregated, or where
-several joins share one partitioning. So hot keys are looked for first, their
-rows are joined by broadcast, and only the others are shuffled.
+several joins share one partitioning. So rows of hot keys get a salt, the few
+right rows of these keys are repeated for each salt, and both join on it too.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gradus.session import broadcast_if_small
-
 # A key with more rows than this is hot if it also exceeds a partition's share.
 HOT_ROWS = 1_000_000
 
+SALT = "_salt"
 
-def hot_values(df: DataFrame, key: str) -> list:
-    """Values of a key, null included, with more rows than a shuffle partition's share.
 
-    Fewer such values can exist than there are partitions, so the list that
-    reaches the driver is bounded. Counts combine before their shuffle.
-    """
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    counts = df.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") > HOT_ROWS)
-    heavy = counts.orderBy(F.col("_n").desc()).limit(partitions).collect()
-    if not heavy:
-        return []
-    share = df.count() / partitions
-    return [r[key] for r in heavy if r["_n"] > share]
+@dataclass(frozen=True)
+class Hot:
+    """Hot values of one key, null among them if ``missing``, and the salts they get."""
 
+    values: tuple
+    missing: bool
+    salts: int
 
-def is_hot(column: Column, values: list) -> Column:
-    """Whether a key is among the hot values; never null."""
-    known = [v for v in values if v is not None]
-    hot = F.coalesce(column.isin(known), F.lit(False)) if known else F.lit(False)
-    return hot | column.isNull() if None in values else hot
+    def holds(self, column: Column) -> Column:
+        """Whether a key is hot; never null."""
+        known = F.coalesce(column.isin(list(self.values)), F.lit(False)) if self.values else F.lit(False)
+        return known | column.isNull() if self.missing else known
 
 
-def apart(
-    df: DataFrame, key: str, join: Callable[[DataFrame, Callable[[DataFrame], DataFrame]], DataFrame]
-) -> DataFrame:
-    """Run a chain of joins on ordinary and on hot keys separately, then unite them.
+def hot_values(df: DataFrame, keys: Sequence[str]) -> dict[str, Hot]:
+    """For each key that has any, its values with more rows than a shuffle partition's share.
 
-    ``join`` gets the rows and a function that prepares each right side, which
-    must have the key under the same name: unchanged for ordinary rows, cut to
-    the hot keys and broadcast, when counted small, for hot ones.
+    One pass counts the values of all keys; counts combine before their shuffle. Fewer
+    such values of a key can exist than there are partitions, so the list that
+    reaches the driver is bounded.
     """
-    values = hot_values(df, key)
-    if not values:
-        return join(df, lambda right: right)
-    known = [v for v in values if v is not None]
-
-    def cut(right: DataFrame) -> DataFrame:
-        return broadcast_if_small(right.where(F.col(key).isin(known) if known else F.lit(False)))
-
-    hot = is_hot(F.col(key), values)
-    return join(df.where(~hot), lambda right: right).unionByName(join(df.where(hot), cut))
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = list(dict.fromkeys(keys))
+    each = F.array(*[F.struct(F.lit(i).alias("k"), F.col(c).cast("string").alias("v")) for i, c in enumerate(keys)])
+    counts = df.select(F.inline(each)).groupBy("k", "v").agg(F.count("*").alias("n"))
+    heavy = counts.where(F.col("n") > HOT_ROWS).orderBy(F.col("n").desc()).limit(partitions * len(keys)).collect()
+    if not heavy:
+        return {}
+    share = max(1, df.count() // partitions)
+    found = {}
+    for i, key in enumerate(keys):
+        own = [r for r in heavy if r["k"] == i and r["n"] > share]
+        if own:
+            values = tuple(r["v"] for r in own if r["v"] is not None)
+            salts = min(partitions, -(-max(r["n"] for r in own) // share))
+            found[key] = Hot(values, len(values) < len(own), salts)
+    return found
+
+
+def salted(rows: DataFrame, key: str, hot: Hot) -> DataFrame:
+    """Rows with a salt that spreads the hot keys; it follows from the row, so a retry draws the same."""
+    spread = F.pmod(F.xxhash64(*rows.columns), F.lit(hot.salts)).cast("int")
+    return rows.withColumn(SALT, F.when(hot.holds(F.col(key).cast("string")), spread).otherwise(0))
+
+
+def repeated(right: DataFrame, key: str, hot: Hot) -> DataFrame:
+    """Right rows of hot keys once for each salt, the others once. A null key matches nothing and is not repeated."""
+    known = F.coalesce(F.col(key).cast("string").isin(list(hot.values)), F.lit(False)) if hot.values else F.lit(False)
+    salts = F.when(known, F.sequence(F.lit(0), F.lit(hot.salts - 1))).otherwise(F.array(F.lit(0)))
+    return right.withColumn(SALT, F.explode(salts))

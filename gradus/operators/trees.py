@@ -4,14 +4,13 @@ from __future__ import annotations
 
 import itertools
 import uuid
-import warnings
 from collections.abc import Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from decimal import Decimal
 
-from pyspark import inheritable_thread_target
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.classification import (
     GBTClassificationModel,
     GBTClassifier,
@@ -28,13 +27,11 @@ from pyspark.sql import functions as F
 from gradus.operators.evaluate import class_metrics, roc_auc_per_class
 from gradus.operators.prep import as_double, feature_names
 from gradus.operators.split import random_or_column_split
-from gradus.session import hold, shared_folder, with_row
+from gradus.session import ROWS_PER_TASK, broadcast_if_small, shared_folder, with_row
 
 # Deepest tree the trainer accepts. Fixed value.
 DEEPEST = 30
 
-MAX_CLASSES = 1000
-
 # Suffix of the 0/1 column that marks a missing feature value.
 MISSING = "__missing"
 
@@ -56,14 +53,14 @@ def class_weights(df: DataFrame, label: str, user: Mapping | None = None) -> Dat
     """Rows (class, weight): rarer classes weigh more, weights sum to one."""
     counts = df.where(F.col(label).isNotNull()).groupBy(F.col(label).alias("class")).agg(F.count("*").alias("n"))
     if user is not None:
-        found = [r["class"] for r in counts.limit(MAX_CLASSES).collect()]
-        missing = [c for c in found if c not in user]
+        kind = df.schema[label].dataType.simpleString()
+        given = df.sparkSession.createDataFrame(
+            [(c, float(w)) for c, w in user.items()], f"class {kind}, weight double"
+        )
+        missing = [r["class"] for r in counts.join(F.broadcast(given), "class", "left_anti").limit(20).collect()]
         if missing:
             raise ValueError(f"no weight given for the classes {missing}")
-        weight = F.lit(None).cast("double")
-        for c in found:
-            weight = F.when(F.col("class") == c, F.lit(float(user[c]))).otherwise(weight)
-        return counts.select("class", weight.alias("weight"))
+        return counts.join(F.broadcast(given), "class").select("class", "weight")
     totals = counts.agg(F.sum("n").alias("_all"))
     rare = with_row(counts, totals).select("class", (F.col("_all") / F.col("n")).alias("_r"))
     norm = rare.agg(F.sum("_r").alias("_sum"))
@@ -104,8 +101,8 @@ def _refuse_unknown(trainer, left: Mapping):
 
 def _depth(value) -> int:
     if int(value) > DEEPEST:
-        warnings.warn(f"max_depth {value} lowered to {DEEPEST}", stacklevel=3)
-    return min(int(value), DEEPEST)
+        raise ValueError(f"max_depth {value}: the trainer takes {DEEPEST} at most")
+    return int(value)
 
 
 def _share(value) -> str:
@@ -139,18 +136,26 @@ def _vectors(df: DataFrame, features: Sequence[str], nullable: Sequence[str], ke
     return VectorAssembler(inputCols=names, outputCol="_x").transform(wide).drop(*names)
 
 
-def _label_index(label: str, classes: Sequence) -> Column:
-    index = F.lit(None).cast("double")
-    for i, c in enumerate(classes):
-        index = F.when(F.col(label) == c, F.lit(float(i))).otherwise(index)
-    return index
+def _class_list(df: DataFrame, label: str) -> tuple:
+    """The classes in order; a model keeps one entry for each."""
+    return tuple(sorted(r[0] for r in df.select(label).distinct().collect()))
 
 
-def _class_list(df: DataFrame, label: str) -> tuple:
-    found = df.select(label).distinct().limit(MAX_CLASSES + 1).collect()
-    if len(found) > MAX_CLASSES:
-        raise ValueError(f"more than {MAX_CLASSES} classes: not a classification label")
-    return tuple(sorted(r[0] for r in found))
+def _coded(df: DataFrame, label: str, classes: Sequence, weight_of: Mapping) -> DataFrame:
+    """Adds the class index, with the classes as metadata, and the class weight."""
+    kind = df.schema[label].dataType.simpleString()
+    codes = df.sparkSession.createDataFrame(
+        [(c, float(i), float(weight_of[c])) for i, c in enumerate(classes)], f"_class {kind}, _y double, _w double"
+    )
+    nominal = {"ml_attr": {"type": "nominal", "name": "_y", "vals": [str(c) for c in classes]}}
+    joined = df.join(broadcast_if_small(codes), df[label] == codes["_class"]).drop("_class")
+    return joined.withMetadata("_y", nominal)
+
+
+def _settled(df: DataFrame, key: str) -> DataFrame:
+    """Rows in an order and in partitions that depend on the rows alone, as sampling in fits goes by both."""
+    parts = max(8, -(-df.count() // ROWS_PER_TASK))
+    return df.repartition(parts, F.xxhash64(key)).sortWithinPartitions(F.xxhash64(key), key)
 
 
 def _probabilities(scored: DataFrame, model: TreeModel) -> DataFrame:
@@ -231,12 +236,10 @@ def _grid_search(
     if len(classes) < 2:
         raise ValueError("a classifier needs at least two classes in the training rows")
     weight_of = {r["class"]: r["weight"] for r in class_weights(train, label, weights).collect()}
-    weight = F.lit(None).cast("double")
-    for c, w in weight_of.items():
-        weight = F.when(F.col(label) == c, F.lit(w)).otherwise(weight)
 
-    fit_on = _vectors(train, cols, nullable, [_label_index(label, classes).alias("_y"), weight.alias("_w")])
-    fit_on = hold(fit_on)
+    # Trees sample rows by partition and place, so both are fixed by the ids.
+    coded = _settled(_coded(train, label, classes, weight_of), id_col)
+    fit_on = _vectors(coded, cols, nullable, [F.col("_y"), F.col("_w")]).persist(StorageLevel.MEMORY_AND_DISK)
     test_on = _vectors(test, cols, nullable, [F.col(id_col), F.col(label)]).persist()
     root = f"{shared_folder(spark)}/trees-{uuid.uuid4().hex}"
     make = _gbt if kind == "gbt" else _forest

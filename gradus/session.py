@@ -2,20 +2,25 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # A side is broadcast only after its rows were counted and found below this.
 BROADCAST_ROW_LIMIT = 200_000
 
+# A broadcast side has this many bytes at most, as its values are counted.
+BROADCAST_BYTE_LIMIT = 64 << 20
+
 # Held partitions with fewer rows than this on average are merged.
 ROWS_PER_TASK = 50_000
 
+# Folders of written copies, by application.
+_written: dict[str, list[str]] = {}
+
 # Runtime SQL settings the operators rely on. Skewed join partitions are split
 # even where that costs one more exchange, because a key may hold a third of
 # all rows. A join may reuse a partitioning on some of its keys, so that joins
@@ -39,20 +44,10 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-@cache
-def _local_folder(application: str) -> str:
-    return tempfile.mkdtemp(prefix=f"gradus-{application}-")
-
-
 def shared_folder(spark: SparkSession) -> str:
-    """Folder named by ``spark.checkpoint.dir``; a temporary one only in local mode."""
-    context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if named:
-        return named.rstrip("/")
-    if context.master.startswith("local"):
-        return _local_folder(context.applicationId)
-    raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    """Folder named by ``spark.checkpoint.dir``; if unset, one in the warehouse, which executors share too."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return named.rstrip("/") if named else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/gradus-copies"
 
 
 def materialise(df: DataFrame) -> DataFrame:
@@ -65,9 +60,18 @@ def materialise(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/gradus-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_copies(spark: SparkSession) -> None:
+    """Delete the copies that ``materialise`` wrote in this application, once their results are no longer read."""
+    context = spark.sparkContext
+    for path in _written.pop(context.applicationId, []):
+        place = context._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def hold(df: DataFrame) -> DataFrame:
     """Persist rows that many passes of a fit will read, in partitions worth a task.
 
@@ -89,15 +93,28 @@ def hold(df: DataFrame) -> DataFrame:
     return even
 
 
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Hint a broadcast when a bounded count proves the frame small.
+def _bytes(df: DataFrame) -> Column:
+    """Bytes of a row: eight for each plain value, the length of texts, and of other values as text."""
+    plain = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    total = F.lit(16 + 8 * len(df.columns)).cast("bigint")
+    for field in df.schema:
+        if not isinstance(field.dataType, plain):
+            value = F.col(f"`{field.name}`")
+            text = value if isinstance(field.dataType, (T.StringType, T.BinaryType)) else F.to_json(F.struct(value))
+            total = total + F.coalesce(F.octet_length(text), F.lit(0))
+    return total
+
+
+def broadcast_if_small(
+    df: DataFrame, limit: int = BROADCAST_ROW_LIMIT, byte_limit: int = BROADCAST_BYTE_LIMIT
+) -> DataFrame:
+    """Hint a broadcast when a bounded count proves the frame small, in rows and in bytes.
 
     The count stops at ``limit + 1`` rows. A larger frame is returned without a
     hint, so the join shuffles and adaptive execution splits its hot partitions.
     """
-    if df.limit(limit + 1).count() <= limit:
-        return F.broadcast(df)
-    return df
+    rows, size = df.limit(limit + 1).agg(F.count("*"), F.sum(_bytes(df))).first()
+    return F.broadcast(df) if rows <= limit and (size or 0) <= byte_limit else df
 
 
 def with_row(df: DataFrame, one_row: DataFrame) -> DataFrame:

@@ -82,11 +82,19 @@ def test_class_metrics_of_a_class_never_predicted(spark):
     assert got == {"a": (0.5, 0.5, 0.5, 2), "b": (0.0, 0.0, 0.0, 1), "c": (0.0, 0.0, 0.0, 0)}
 
 
-def test_too_many_classes_for_a_matrix(spark, monkeypatch):
-    monkeypatch.setattr(evaluate, "MAX_CLASSES", 3)
-    df = spark.range(10).select(F.col("id").alias("y"), F.col("id").alias("s"))
-    with pytest.raises(ValueError, match="classes"):
-        evaluate.confusion_matrix(df, "y", "s")
+def test_matrix_of_many_classes_and_null_scores_in_bins(spark):
+    many = spark.range(1500).select(F.col("id").alias("a"), ((F.col("id") + 1) % 1500).alias("p"))
+    assert len(evaluate.confusion_matrix(many, "a", "p").columns) == 1501
+    scored = spark.createDataFrame([(i, None if i < 5 else i / 10, i % 2) for i in range(10)], "id int, p double, y int")
+    bins = evaluate.calibration_bins(scored, "id", "y", "p", bins=2).collect()
+    assert {r["bin"] for r in bins if r["p"] is None} == {2}
+
+
+def test_comparison_keeps_decimals(spark):
+    one = spark.sql("SELECT CAST(1.5 AS DECIMAL(10,2)) AS d, 'x' AS t, 2 AS n")
+    got = {r["col_name"]: r["mean_a"] for r in evaluate.dataset_compare(one, one).collect()}
+    assert got == {"d": 1.5, "n": 2.0}
+    assert evaluate.dataset_compare(one.select("t"), one).count() == 0
 
 
 def test_calibration_bins_have_equal_counts(scored):

@@ -111,3 +111,17 @@ def test_factor_codes_of_every_type_and_many_values(spark, monkeypatch):
     for c in cols:
         order = {v: i for i, v in enumerate(sorted({r[c] for r in rows if r[c] is not None}), start=1)}
         assert all(got[r["id"]][c] == order.get(r[c]) for r in rows), c
+
+
+def test_close_points_are_told_apart(spark):
+    rows = [("t", 1, 0.0), ("far", 0, 5.0), ("c1", 0, 3e-9), ("c2", 0, 1e-9)]
+    found = matching.match_nearest(spark.createDataFrame(rows, "id string, t int, x double"), "id", "t", ["x"])
+    assert [(r["id"], r["matched_id"]) for r in found.collect()] == [("t", "c2")]
+
+
+def test_a_box_with_most_controls_is_searched_in_parts(spark, monkeypatch):
+    df, rows = _frame(spark, 1500, 4, 30)
+    whole = {tuple(r) for r in matching.match_nearest(df, "id", "t", ["a", "b", "c"]).collect()}
+    monkeypatch.setattr(matching, "CONTROLS_PER_GROUP", 40)
+    monkeypatch.setattr(matching, "TREATED_PER_GROUP", 50)
+    assert {tuple(r) for r in matching.match_nearest(df, "id", "t", ["a", "b", "c"]).collect()} == whole

@@ -155,3 +155,20 @@ def test_significance(spark):
     model = LinearModel(("a", "b", "c"), (1.0, 2.0, 3.0), (0.01, None, 0.05))
     assert model.significant() == ("a",)
     assert linear.significance_mask(model.to_df(spark)).first()[0] == [1, 0, 0]
+
+
+def test_elastic_net_of_two_columns_meets_its_conditions(spark):
+    """At the optimum the slope of the squared error balances the penalty, coordinate by coordinate."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(400, 3))
+    x[:, 1] += 0.7 * x[:, 0]
+    y = 2 * x[:, 0] - 0.5 * x[:, 1] + rng.normal(size=400) * 0.1 + 4
+    df = spark.createDataFrame([(*map(float, r), float(v)) for r, v in zip(x, y)], "a double, b double, c double, y double")
+    model = linear.elastic_net_train(df, ["a", "b", "c"], "y", alpha=0.6, lambda_value=0.3, tol=1e-12)
+    coef = np.array(model.coef)
+    rest = (x - x.mean(0)).T @ (y - y.mean() - (x - x.mean(0)) @ coef) / 400
+    for slope, b in zip(rest, coef):
+        if b:
+            assert slope == pytest.approx(0.3 * (0.6 * np.sign(b) + 0.4 * b), abs=1e-8)
+        else:
+            assert abs(slope) <= 0.18 + 1e-9

@@ -44,11 +44,22 @@ def test_global_row_number_with_ties_in_the_first_column(spark, rows):
     assert [r["i"] for r in sorted(got, key=lambda r: r["row_number"])] == want
 
 
-def test_no_group_is_gathered_by_a_window(spark, rows):
+def test_rows_are_not_moved_again_once_sorted(spark, rows):
+    """Only the totals of the partitions are exchanged and windowed; the written rows meet them by broadcast."""
     df = spark.createDataFrame(rows, "g string, o int, i int, v int")
     found = running_totals(df, {"n": F.lit(1)}, [F.col("i")], within=["g"])
-    plan = found._jdf.queryExecution().optimizedPlan().toString()
-    assert "windowspecdefinition(_part" in plan
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    rows_side = plan[plan.index("BroadcastHashJoin") :].split("BroadcastExchange")[0]
+    assert "hashpartitioning" not in rows_side and "Window" not in rows_side
+
+
+def test_running_totals_of_missing_values_and_fractions(spark):
+    df = spark.createDataFrame([(i, None if i % 4 == 0 else i / 2) for i in range(500)], "i int, v double").repartition(7)
+    got = {r["i"]: r["t"] for r in running_totals(df, {"t": F.col("v")}, [F.col("i")]).collect()}
+    total = 0.0
+    for i in range(500):
+        total += 0 if i % 4 == 0 else i / 2
+        assert got[i] == pytest.approx(total)
 
 
 def test_ranges_are_several_here_and_merge_by_default(spark, rows):

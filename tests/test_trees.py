@@ -61,11 +61,12 @@ def test_many_classes_one_against_the_rest(spark, rows):
     assert low == pytest.approx(1) and high == pytest.approx(1)
 
 
-def test_forest_clamps_depth_and_splits_by_column(spark, rows):
-    with pytest.warns(UserWarning, match="lowered to 30"):
-        run = trees.rf_grid_search(
-            rows, "id", "band", ["y"], {"max_depth": 32, "min_samples_split": 17, "n_estimators": 3}, split_col="split"
-        )
+def test_forest_refuses_depth_and_splits_by_column(spark, rows):
+    with pytest.raises(ValueError, match="30 at most"):
+        trees.rf_grid_search(rows, "id", "band", ["y"], {"max_depth": 32}, split_col="split")
+    run = trees.rf_grid_search(
+        rows, "id", "band", ["y"], {"max_depth": 30, "min_samples_split": 17, "n_estimators": 3}, split_col="split"
+    )
     assert run.test_ids.count() == rows.where("split = 0").count()
     assert "split" not in run.results.first()["features"]
     assert trees.load_model(run.results, F.col("kind") == "rf").classes == ("low", "mid", "top")
@@ -81,3 +82,22 @@ def test_one_class_is_refused(rows):
 def test_unknown_parameters_are_refused(rows):
     with pytest.raises(ValueError, match="unknown tree parameters"):
         trees.gbt_grid_search(rows, "id", "y", ["band", "split"], {"depth": 3})
+
+
+def test_forest_of_many_classes_and_given_weights(spark):
+    df = spark.range(3000).select("id", (F.col("id") % 150).alias("y"), (F.col("id") % 150 * 1.0).alias("x"))
+    run = trees.rf_grid_search(df, "id", "y", [], {"max_depth": 4, "n_estimators": 2})
+    assert len(run.results.first()["classes"]) == 150
+    many = spark.range(2400).select((F.col("id") % 1200).alias("y"))
+    given = trees.class_weights(many, "y", {k: k + 0.5 for k in range(1200)})
+    assert {r["class"]: r["weight"] for r in given.collect()} == {k: k + 0.5 for k in range(1200)}
+    with pytest.raises(ValueError, match="no weight given"):
+        trees.class_weights(many, "y", {0: 1.0})
+
+
+def test_fits_do_not_depend_on_partitions(spark, rows):
+    grid = {"n_estimators": 3, "max_depth": 3, "subsample": 0.6}
+    two = [
+        trees.gbt_grid_search(rows.repartition(n), "id", "y", ["band", "split"], grid).results.first() for n in (2, 9)
+    ]
+    assert two[0]["gains"] == two[1]["gains"] and two[0]["f_importances"] == two[1]["f_importances"]

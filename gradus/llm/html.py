@@ -313,7 +313,7 @@ class Layout:
     def mark(self, kind: str) -> str:
         """Class or id attribute with a word of the kind, or none."""
         word = self.pick.choice(KEPT_WORDS if kind == "kept" else PART_WORDS[kind])
-        form = self.pick.choice(["{}", "{}", "{}-box", "site-{}", "{}-1", "js-{}", "block {}", "{}-list"])
+        form = self.pick.choice(["{}", "{}", "{}-box", "site-{}", "{}-1", "js-{}", "block {}", "{}-list", "{}-slot", "{}-wrap"])
         return self.pick.choice([' class="{}"', ' id="{}"', " class='{}'"]).format(form.format(word))
 
     def open(self, kind: str, tags: list[str]) -> tuple[str, str]:
@@ -357,13 +357,14 @@ class Layout:
 
     def article(self) -> list[tuple[str, bool]]:
         """Pieces of the article with their labels; adverts and such may stand between paragraphs."""
-        pieces = [(f"<h{k}>{self.words(2, 9)}</h{k}>", True) for k in [1] if self.pick.random() < 0.85]
+        title = self.pick.choice(["<h1>{}</h1>"] * 5 + ["<header><h1>{}</h1></header>", "<h2>{}</h2>", ""])
+        pieces = [(title.format(self.words(2, 9)), True)]
         wrap = self.pick.choice(["<p>{}</p>"] * 5 + ["<p><b>{}<br>", "<div>{}</div>", "{}<br>"])
         for _ in range(self.pick.randint(1, 12)):
             chance = self.pick.random()
-            if chance < 0.06:
-                pieces.append((self.part(self.pick.choice(["advert", "share", "side", "form", "notice"])), False))
-            elif chance < 0.14:
+            if chance < 0.12:
+                pieces.append((self.part(self.pick.choice(["advert", "advert", "share", "side", "form", "notice"])), False))
+            elif chance < 0.17:
                 pieces.append((f"<h2>{self.words(1, 7)}</h2>", True))
             elif chance < 0.22:
                 items = "".join(f"<li>{self.words(2, 20)}</li>" for _ in range(self.pick.randint(2, 6)))
@@ -388,7 +389,7 @@ class Layout:
             ("<article>", "</article>"), ("<article>", "</article>"), ("<main><article>", "</article></main>"), ("<main>", "</main>"),
             (f"<div{self.mark('kept')}>", "</div>"), (f"<div id='page'><div{self.mark('kept')}>", "</div></div>"),
             (f"<section{self.mark('kept')}>", "</section>"), (f"<table><tr><td{self.mark('kept')}>", "</td></tr></table>"),
-            ("<div role='main'>", "</div>"),
+            ("<div role='main'>", "</div>"), ("", ""), ("<div>", "</div>"),
         ])
         within = [(self.part(k), False) for k in ("share", "comments", "advert", "side") if pick.random() < 0.12]
         pieces = [("<html><head><title>x</title></head><body>", False)]

@@ -56,7 +56,7 @@ def test_score_pivot(
 
 
 # Output columns of the roster after the first four, with the side they come
-# from: application, prediction table, person or test scores.
+# from: application, prediction table, person or test scores. Fixed values.
 _ROSTER = [
     ("person", "last_name", "last_name"),
     ("person", "first_name", "first_name"),

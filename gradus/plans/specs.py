@@ -34,8 +34,32 @@ GRADE_KEY_COLUMNS = (
 )
 
 # Network measures per section type the grade table leaves out. Fixed values.
-SECTION_MEASURES = ("bytes_per_min_in_class", "bytes_per_tran_in_class", "perc_attendance", "avg_arrival_prompt")
-SECTION_TYPES = ("lec", "lab", "rec", "sd", "pso", "lbp")
+SECTION_MEASURES = (
+    "bytes_per_min_in_class_lec",
+    "bytes_per_tran_in_class_lec",
+    "perc_attendance_lec",
+    "avg_arrival_prompt_lec",
+    "bytes_per_min_in_class_lab",
+    "bytes_per_tran_in_class_lab",
+    "perc_attendance_lab",
+    "avg_arrival_prompt_lab",
+    "bytes_per_min_in_class_rec",
+    "bytes_per_tran_in_class_rec",
+    "perc_attendance_rec",
+    "avg_arrival_prompt_rec",
+    "bytes_per_min_in_class_sd",
+    "bytes_per_tran_in_class_sd",
+    "perc_attendance_sd",
+    "avg_arrival_prompt_sd",
+    "bytes_per_min_in_class_pso",
+    "bytes_per_tran_in_class_pso",
+    "perc_attendance_pso",
+    "avg_arrival_prompt_pso",
+    "bytes_per_min_in_class_lbp",
+    "bytes_per_tran_in_class_lbp",
+    "perc_attendance_lbp",
+    "avg_arrival_prompt_lbp",
+)
 
 # Rare or retired tests the grade table leaves out. Fixed values.
 RARE_TESTS = (
@@ -63,26 +87,26 @@ RARE_TESTS = (
 
 # Rare schedule mixes the grade table leaves out. Fixed values.
 RARE_SCHEDULES = (
-    "",
-    "dis",
-    "lab",
-    "labdis",
-    "lablbp",
-    "labrecdis",
-    "lecdis",
-    "leclabdis",
-    "leclablbp",
-    "leclabpso",
-    "leclabrec",
-    "leclabrecpso",
-    "lecpso",
-    "lecpsodis",
-    "lecrecdis",
-    "lecrecpso",
-    "lecrecpsodis",
-    "lecsd",
-    "recdis",
-    "sd",
+    "sched_type_complex_",
+    "sched_type_complex_dis",
+    "sched_type_complex_lab",
+    "sched_type_complex_labdis",
+    "sched_type_complex_lablbp",
+    "sched_type_complex_labrecdis",
+    "sched_type_complex_lecdis",
+    "sched_type_complex_leclabdis",
+    "sched_type_complex_leclablbp",
+    "sched_type_complex_leclabpso",
+    "sched_type_complex_leclabrec",
+    "sched_type_complex_leclabrecpso",
+    "sched_type_complex_lecpso",
+    "sched_type_complex_lecpsodis",
+    "sched_type_complex_lecrecdis",
+    "sched_type_complex_lecrecpso",
+    "sched_type_complex_lecrecpsodis",
+    "sched_type_complex_lecsd",
+    "sched_type_complex_recdis",
+    "sched_type_complex_sd",
 )
 
 # Patterns of columns left out, searched anywhere in the name. Fixed values.
@@ -105,9 +129,9 @@ GRADE_RULES = FeatureRules(
     exclude=(
         *IDENTITY_COLUMNS,
         *GRADE_KEY_COLUMNS,
-        *(f"{m}_{t}" for t in SECTION_TYPES for m in SECTION_MEASURES),
+        *SECTION_MEASURES,
         *RARE_TESTS,
-        *(f"sched_type_complex_{s}" for s in RARE_SCHEDULES),
+        *RARE_SCHEDULES,
         "earned_points",
         "possible_points",
     ),

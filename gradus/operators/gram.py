@@ -1,14 +1,15 @@
 """Cross-product matrix of many columns in one distributed pass.
 
 Tasks add up X'X of their Arrow batches with dense linear algebra and emit one
-packed triangle each. A second step folds those into a fixed number of partial
-sums, so the driver receives at most ``MERGERS`` triangles of k·(k+1)/2 numbers.
+packed triangle each. Further steps fold those in levels into a fixed number of
+partial sums, so the driver receives at most ``MERGERS`` triangles of k·(k+1)/2 numbers,
+or ``DRIVER_NUMBERS`` numbers if that is more.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,7 +19,10 @@ from pyspark.sql import functions as F
 
 MERGERS = 8
 
-_PARTIAL = "n double, cells array<double>"
+# Numbers that the driver adds up itself, before partial sums are folded in tasks.
+DRIVER_NUMBERS = 4 << 20
+
+_PARTIAL = "cells array<double>"
 
 
 @dataclass(frozen=True)
@@ -42,10 +46,47 @@ class Gram:
             return block / np.outer(scale, scale)
 
 
-def _pack(n: float, total: np.ndarray, upper) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array([n], pa.float64()), pa.array([total[upper]], pa.list_(pa.float64()))], ["n", "cells"]
-    )
+def _pack(cells: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([cells], pa.list_(pa.float64()))], ["cells"])
+
+
+def sum_of_parts(
+    df: DataFrame,
+    part: Callable[[Iterator[pa.RecordBatch]], np.ndarray | None],
+    size: int,
+    tasks: int | None = None,
+) -> np.ndarray:
+    """Sum of the vectors that ``part`` makes of each partition's batches.
+
+    Folded in levels: no task adds up more than about the root of the number of tasks.
+    The driver adds up few and short vectors as they are. ``tasks`` is the number of
+    partitions, if known.
+    """
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells = part(batches)
+        if cells is not None:
+            yield _pack(cells)
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells, any_row = np.zeros(size), False
+        for batch in batches:
+            for vector in batch.column(0):
+                cells += vector.values.to_numpy()
+                any_row = True
+        if any_row:
+            yield _pack(cells)
+
+    folded, tasks = df.mapInArrow(partial, _PARTIAL), tasks or df.rdd.getNumPartitions()
+    if tasks > MERGERS * MERGERS:
+        folded = folded.repartition(math.isqrt(tasks)).mapInArrow(fold, _PARTIAL)
+        tasks = math.isqrt(tasks)
+    if tasks > MERGERS and tasks * size > DRIVER_NUMBERS:
+        folded = folded.repartition(MERGERS).mapInArrow(fold, _PARTIAL)
+    total = np.zeros(size)
+    for row in folded.collect():
+        total += np.array(row["cells"])
+    return total
 
 
 def gram_matrix(
@@ -69,7 +110,7 @@ def gram_matrix(
     shift = shift.astype(float)
     upper = np.triu_indices(k + 1)
 
-    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def part(batches: Iterator[pa.RecordBatch]) -> np.ndarray | None:
         total, n = np.zeros((k + 1, k + 1)), 0.0
         for batch in batches:
             if not batch.num_rows:
@@ -80,29 +121,11 @@ def gram_matrix(
             x[:, 1:] = np.column_stack(columns[:k]) - shift
             total += x.T @ (x * columns[k][:, None])
             n += batch.num_rows
-        if n:
-            yield _pack(n, total, upper)
+        return np.append(total[upper], n) if n else None
 
-    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells, n = np.zeros(len(upper[0])), 0.0
-        for batch in batches:
-            for rows, triangle in zip(batch.column(0).to_pylist(), batch.column(1)):
-                cells += triangle.values.to_numpy()
-                n += rows
-        if n:
-            total = np.zeros((k + 1, k + 1))
-            total[upper] = cells
-            yield _pack(n, total, upper)
-
-    # Folded in levels: no task adds up more than about the root of the number of tasks.
-    folded, tasks = plain.mapInArrow(partial, _PARTIAL), plain.rdd.getNumPartitions()
-    if tasks > MERGERS * MERGERS:
-        folded = folded.repartition(math.isqrt(tasks)).mapInArrow(fold, _PARTIAL)
-    folded = folded.repartition(MERGERS).mapInArrow(fold, _PARTIAL)
-    total, rows = np.zeros((k + 1, k + 1)), 0.0
-    for part in folded.collect():
-        total[upper] += np.array(part["cells"])
-        rows += part["n"]
+    *cells, rows = sum_of_parts(plain, part, len(upper[0]) + 1)
+    total, rows = np.zeros((k + 1, k + 1)), float(rows)
+    total[upper] = cells
     total = total + np.triu(total, 1).T
     mass = total[0, 0]
     drift = total[0, 1:] / mass

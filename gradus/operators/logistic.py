@@ -3,78 +3,117 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GeneralizedLinearRegression
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gradus.operators.gram import gram_matrix
+from gradus.operators.gram import sum_of_parts
 from gradus.operators.linear import LinearModel, normal_two_sided
 from gradus.operators.prep import CONSTANT_TERM
 
+# Directions with less than this share of the largest curvature count as collinear.
+FLAT = 1e-12
 
-def _wald(df: DataFrame, model: LinearModel, label: str) -> LinearModel:
-    """P-values from the information matrix at the fitted coefficients.
+# A step that lowers the likelihood is halved so many times at most.
+HALVINGS = 10
 
-    Used where the trainer reports none because features are collinear; the
-    pseudo-inverse then stands in for the inverse.
+
+def _newton_sums(rows: DataFrame, k: int, tasks: int, coef: np.ndarray, shift: np.ndarray):
+    """Rows, positives, log likelihood, gradient and curvature at the coefficients, in one pass.
+
+    Coefficients travel with the task function and not in the plan, so that every
+    pass has the same plan and generated code.
     """
-    plain = [f for f in model.names if f != CONSTANT_TERM]
-    p = model.probability({f: F.col(f) for f in plain})
-    gram = gram_matrix(df.where(F.col(label).isNotNull()), plain, weight=p * (1 - p))
-    raw = gram.cross + gram.n * np.outer(gram.mean, gram.mean)
-    k = len(plain)
-    information = np.empty((k + 1, k + 1))
-    information[0, 0] = gram.n
-    information[0, 1:] = information[1:, 0] = gram.n * gram.mean
-    information[1:, 1:] = raw
-    spread = np.diag(np.linalg.pinv(information, hermitian=True))
-    variance = dict(zip([CONSTANT_TERM, *plain], spread))
-    values = tuple(
-        normal_two_sided(c / math.sqrt(variance[f])) if variance[f] > 0 else None
-        for f, c in zip(model.names, model.coef)
-    )
-    return LinearModel(model.names, model.coef, values)
+    upper = np.triu_indices(k + 1)
+
+    def part(batches: Iterator[pa.RecordBatch]) -> np.ndarray | None:
+        head, slope, bend = np.zeros(3), np.zeros(k + 1), np.zeros((k + 1, k + 1))
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(k + 1)]
+            x = np.empty((batch.num_rows, k + 1))
+            x[:, 0] = 1.0
+            x[:, 1:] = np.column_stack(columns[:k]) - shift
+            y, at = columns[k], x @ coef
+            p = 1.0 / (1.0 + np.exp(-np.clip(at, -700.0, 700.0)))
+            head += len(y), y.sum(), (y * at - np.logaddexp(0.0, at)).sum()
+            slope += x.T @ (y - p)
+            bend += x.T @ (x * (p * (1.0 - p))[:, None])
+        return np.concatenate([head, slope, bend[upper]]) if head[0] else None
+
+    sums = sum_of_parts(rows, part, 3 + k + 1 + len(upper[0]), tasks)
+    bend = np.zeros((k + 1, k + 1))
+    bend[upper] = sums[4 + k :]
+    return sums[0], sums[1], sums[2], sums[3 : 4 + k], bend + np.triu(bend, 1).T
+
+
+def _inverse(bend: np.ndarray) -> np.ndarray:
+    """Pseudo-inverse after scaling to a unit diagonal; covers collinear and constant columns."""
+    scale = np.sqrt(np.diag(bend))
+    scale[scale <= 0] = 1.0
+    return np.linalg.pinv(bend / np.outer(scale, scale), rcond=FLAT, hermitian=True) / np.outer(scale, scale)
 
 
 def logreg_train(
-    df: DataFrame, features: Sequence[str], label: str, constant: bool = True, max_iter: int = 20
+    df: DataFrame,
+    features: Sequence[str],
+    label: str,
+    constant: bool = True,
+    max_iter: int = 20,
+    tol: float = 1e-10,
 ) -> LinearModel:
-    """Logistic regression by reweighted least squares, with Wald p-values.
+    """Logistic regression by Newton steps, with Wald p-values, for any number of columns.
 
-    The constant goes in as the trainer's intercept, because a constant column
-    would make its normal equations singular, and comes out at its sorted place.
+    A step is one pass that adds up gradient and curvature. The first one also
+    finds the means, which later steps subtract where there is a constant, so
+    that large offsets lose no digits. A step that lowers the likelihood is
+    halved. Rows with a missing feature or label are left out.
     """
     plain = sorted(f for f in features if f != CONSTANT_TERM)
     target = df.select(*plain, F.col(label).cast("double").alias("_y")).where(F.col("_y").isNotNull())
     if not plain:
         return _intercept_only(target)
-    assembled = VectorAssembler(inputCols=plain, outputCol="_x").transform(target).select("_x", "_y")
-    fitted = GeneralizedLinearRegression(
-        family="binomial",
-        link="logit",
-        featuresCol="_x",
-        labelCol="_y",
-        fitIntercept=constant,
-        maxIter=max_iter,
-        tol=1e-10,
-    ).fit(assembled)
-    coef = dict(zip(plain, (float(c) for c in fitted.coefficients)))
+    k = len(plain)
+    rows = target.select(*[F.col(f).cast("double").alias(f"x{i}") for i, f in enumerate(plain)], "_y").dropna()
+    tasks = rows.rdd.getNumPartitions()
+    used = slice(None) if constant else slice(1, None)
+    at, shift = np.zeros(k + 1), np.zeros(k)
+    n, positives, likelihood, slope, bend = _newton_sums(rows, k, tasks, at, shift)
+    if not 0 < positives < n:
+        raise ValueError("logistic regression needs both classes")
+    mean = bend[0, 1:] / bend[0, 0]
+    for _ in range(max_iter):
+        step = np.zeros(k + 1)
+        step[used] = _inverse(bend[used, used]) @ slope[used]
+        if constant and shift is not mean:
+            at[0], step[0] = at[0] + at[1:] @ mean, step[0] + step[1:] @ mean
+            shift = mean
+        for _ in range(HALVINGS):
+            found = _newton_sums(rows, k, tasks, at + step, shift)
+            if found[2] >= likelihood - 1e-12 * abs(likelihood):
+                break
+            step = step / 2
+        at = at + step
+        _, _, likelihood, slope, bend = found
+        if np.abs(step).max() <= tol * max(1.0, np.abs(at).max()):
+            break
+    covariance = np.zeros((k + 1, k + 1))
+    covariance[used, used] = _inverse(bend[used, used])
+    spread = np.diag(covariance).copy()
     if constant:
-        coef[CONSTANT_TERM] = float(fitted.intercept)
-    names = tuple(sorted(coef))
-    model = LinearModel(names, tuple(coef[f] for f in names))
-    try:
-        listed = [float(p) for p in fitted.summary.pValues]
-    except Exception as error:  # the JVM raises without a common Python type
-        if "No p-value available" not in str(error):
-            raise
-        return _wald(target, model, "_y") if constant else model
-    p = dict(zip([*plain, CONSTANT_TERM], listed))
-    return LinearModel(names, model.coef, tuple(p[f] for f in names))
+        back = np.concatenate([[1.0], -shift])
+        spread[0] = back @ covariance @ back
+        at[0] -= at[1:] @ shift
+    fitted = {f: (float(b), float(v)) for f, b, v in zip([CONSTANT_TERM, *plain], at, spread)}
+    if not constant:
+        del fitted[CONSTANT_TERM]
+    names = tuple(sorted(fitted))
+    p_values = tuple(normal_two_sided(b / math.sqrt(v)) if v > 0 else None for b, v in map(fitted.get, names))
+    return LinearModel(names, tuple(fitted[f][0] for f in names), p_values)
 
 
 def _intercept_only(target: DataFrame) -> LinearModel:

@@ -12,11 +12,6 @@ from pyspark.sql import types as T
 
 CONSTANT_TERM = "constant_term"
 
-# Columns summarised in one pass. A columnar scan reads other columns in the next
-# pass, so narrow passes cost no more input and keep generated code small.
-COLUMNS_PER_PASS = 200
-
-
 def drop_duplicate_keys(df: DataFrame, key: str) -> DataFrame:
     """Remove every row of a duplicated key; rows with a null key stay.
 
@@ -72,32 +67,22 @@ def as_double(df: DataFrame, name: str) -> Column:
 
 
 def column_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Rows (column_name, avg, stddev), nulls skipped, from one aggregate per pass."""
+    """Rows (column_name, avg, stddev), nulls skipped.
+
+    Every row yields one number per column and tasks add these up by column, so any
+    number of columns takes one pass and a short plan. What is shuffled is one row
+    per task and column.
+    """
     if not cols:
         return df.sparkSession.createDataFrame([], "column_name string, avg double, stddev double")
-    parts = []
-    for start in range(0, len(cols), COLUMNS_PER_PASS):
-        block = cols[start : start + COLUMNS_PER_PASS]
-        values = [as_double(df, c) for c in block]
-        wide = df.agg(
-            *[F.avg(v).alias(f"a{i}") for i, v in enumerate(values)],
-            *[F.stddev_samp(v).alias(f"s{i}") for i, v in enumerate(values)],
-        )
-        rows = F.array(
-            *[
-                F.struct(
-                    F.lit(c).alias("column_name"),
-                    F.col(f"a{i}").alias("avg"),
-                    F.col(f"s{i}").alias("stddev"),
-                )
-                for i, c in enumerate(block)
-            ]
-        )
-        parts.append(wide.select(F.inline(rows)))
-    stats = parts[0]
-    for part in parts[1:]:
-        stats = stats.unionByName(part)
-    return stats
+    numbers = F.array(*[as_double(df, c) for c in cols])
+    names = F.array(*[F.lit(c) for c in cols])
+    return (
+        df.select(F.posexplode(numbers).alias("_at", "_value"))
+        .groupBy("_at")
+        .agg(F.avg("_value").alias("avg"), F.stddev_samp("_value").alias("stddev"))
+        .select(F.element_at(names, F.col("_at") + 1).alias("column_name"), "avg", "stddev")
+    )
 
 
 def nonzero_variance(stats: DataFrame) -> DataFrame:
@@ -203,11 +188,8 @@ def apply_mask(
 
 def drop_all_null_columns(df: DataFrame) -> DataFrame:
     """Without the columns that hold no value at all."""
-    seen: dict[str, int] = {}
-    for start in range(0, len(df.columns), COLUMNS_PER_PASS):
-        block = df.columns[start : start + COLUMNS_PER_PASS]
-        seen.update(df.agg(*[F.count(F.col(c)).alias(c) for c in block]).first().asDict())
-    return df.select(*[c for c in df.columns if seen[c] > 0])
+    seen = df.agg(*[F.count(F.col(c)).alias(f"n{i}") for i, c in enumerate(df.columns)]).first()
+    return df.select(*[c for c, n in zip(df.columns, seen) if n > 0])
 
 
 def column_modes(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -22,6 +22,9 @@ NULL_SHARE = 1e-8
 # Factors this close count as equal, and the first feature in order is taken.
 TIE = 1e-9
 
+# The inverse is worked out anew after a feature with a larger factor left it, as digits are lost there.
+LOSSY = 1e6
+
 STEP_SCHEMA = "step int, feature_w_max_vif string, vif double, discarded boolean"
 
 
@@ -57,7 +60,8 @@ def vif_steps(
 ) -> list[tuple[int, str, float, bool]]:
     """Steps of the removal, all worked out on one correlation matrix.
 
-    Each step records the feature with the largest factor. It is removed unless
+    Only singular or nearly singular matrices are decomposed anew in each step;
+    elsewhere the inverse is downdated. Each step records the feature with the largest factor. It is removed unless
     its factor is below the threshold, and marked discarded only above it.
     """
     left = [f for f in features if f != CONSTANT_TERM]
@@ -65,17 +69,29 @@ def vif_steps(
     at = {name: i for i, name in enumerate(left)}
     found: list[tuple[int, str, float, bool]] = []
     limit = len(left) if steps is None else steps
-    while len(found) < limit:
-        rows = [at[name] for name in left]
-        scores = _factors(corr[np.ix_(rows, rows)], left)
-        if not scores:
-            break
+    scores = _factors(corr, left)
+    inverse: np.ndarray | None = None
+    while scores and len(found) < limit:
         largest = max(scores.values())
         worst = next(name for name, score in scores.items() if score >= largest * (1 - TIE))
         found.append((len(found), worst, scores[worst], scores[worst] > threshold))
         if scores[worst] < threshold:
             break
-        left.remove(worst)
+        kept = [i for i, name in enumerate(scores) if name != worst]
+        names, worst_at = [name for name in scores if name != worst], list(scores).index(worst)
+        if largest > LOSSY or not names:
+            inverse = None
+        elif inverse is None:
+            rows = [at[name] for name in scores]
+            inverse = np.linalg.inv(corr[np.ix_(rows, rows)])
+        if inverse is None:
+            rows = [at[name] for name in names]
+            scores = _factors(corr[np.ix_(rows, rows)], names)
+            continue
+        # Without one feature the inverse changes by a matrix of rank one.
+        column = inverse[kept, worst_at]
+        inverse = inverse[np.ix_(kept, kept)] - np.outer(column, column) / inverse[worst_at, worst_at]
+        scores = {name: max(float(factor), 1.0) for name, factor in zip(names, np.diag(inverse))}
     return found
 
 

@@ -7,7 +7,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from gradus.operators import linear, logistic, vif
-from gradus.operators.gram import gram_matrix
+from gradus.operators.gram import Gram, gram_matrix
 from gradus.operators.linear import LinearModel
 
 
@@ -98,6 +98,55 @@ def test_logistic_with_exactly_collinear_columns_reports_p_values(data):
     assert all(p is not None for p in model.p_values)
 
 
+def test_logistic_keeps_digits_with_large_offsets_and_refuses_one_class(data):
+    df, *_ = data
+    plain = logistic.logreg_train(df, ["a", "b"], "c")
+    moved = logistic.logreg_train(df.withColumn("a", F.col("a") + 1e5), ["a", "b"], "c")
+    for i, name in enumerate(plain.names):
+        if name != "constant_term":
+            assert math.isclose(plain.coef[i], moved.coef[i], rel_tol=1e-6)
+            assert math.isclose(plain.p_values[i], moved.p_values[i], rel_tol=1e-4, abs_tol=1e-30)
+    with pytest.raises(ValueError, match="both classes"):
+        logistic.logreg_train(df.withColumn("one", F.lit(1)), ["a"], "one")
+
+
+def test_logistic_takes_many_columns(spark):
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(1500, 300))
+    c = (rng.random(1500) < 1 / (1 + np.exp(-2 * x[:, 0]))).astype(int)
+    df = spark.createDataFrame([(*map(float, r), int(v)) for r, v in zip(x, c)], [*(f"x{i:03d}" for i in range(300)), "c"])
+    model = logistic.logreg_train(df, [f"x{i:03d}" for i in range(300)], "c", constant=False)
+    z = x @ np.array(model.coef)
+    assert np.abs(x.T @ (c - 1 / (1 + np.exp(-z)))).max() < 1e-5
+    assert len(model.p_values) == 300 and model.p_values[0] < 1e-6
+
+
+def test_short_plan_folds_agree_with_the_driver_sum(data, monkeypatch):
+    from gradus.operators import gram
+
+    df, *_ = data
+    want = gram_matrix(df, ["a", "b", "d"])
+    monkeypatch.setattr(gram, "DRIVER_NUMBERS", 0)
+    for parts in (12, 100):
+        got = gram_matrix(df.repartition(parts), ["a", "b", "d"])
+        np.testing.assert_allclose(got.cross, want.cross, rtol=1e-9)
+
+
+def test_removal_steps_agree_with_a_fresh_inverse(data):
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(500, 12)) @ rng.normal(size=(12, 12))
+    names = [f"f{i:02d}" for i in range(12)]
+    cross = (x - x.mean(0)).T @ (x - x.mean(0))
+    steps = vif.vif_steps(Gram(tuple(names), 500.0, x.mean(0), cross), names, 3.0)
+    assert len(steps) > 3
+    left = list(names)
+    for _, feature, factor, _ in steps:
+        at = [names.index(f) for f in left]
+        fresh = dict(zip(left, np.diag(np.linalg.inv(np.corrcoef(x[:, at].T)))))
+        assert feature == max(fresh, key=fresh.get) and math.isclose(factor, fresh[feature], rel_tol=1e-8)
+        left.remove(feature)
+
+
 def test_logistic_of_the_constant_alone_and_of_one_class(data):
     df, *_, c = data
     model = logistic.logreg_train(df, [], "c")

@@ -11,7 +11,7 @@ from pyspark.sql.types import NumericType
 from gradus.functions import guarded_ratio, normalize_id, unnest_together
 from gradus.operators.prep import CONSTANT_TERM
 from gradus.operators.ranking import global_row_number, running_totals
-from gradus.session import with_row
+from gradus.session import broadcast_if_small, with_row
 
 # Thresholds 0.00, 0.01 … 1.00 of the sweep.
 SWEEP_STEPS = 100
@@ -331,27 +331,29 @@ def roc_auc_per_class(df: DataFrame, label: str, probs: str, classes: Sequence,
     return _area(_class_counts(df, label, probs, classes), ["class"], digits)
 
 
-def roc_sample(curve: DataFrame, points: int = 1000, digits: int = 5) -> DataFrame:
+def roc_sample(curve: DataFrame, points: int = 1000, digits: int = 5, within: Sequence[str] = ()) -> DataFrame:
     """Evenly spaced points of a curve: the threshold closest to each percentile.
 
     Percentiles 0, 100/points, … are interpolated between two neighbours of the
-    ordered thresholds, so only two ranks per percentile are looked up.
+    ordered thresholds, so only two ranks per percentile are looked up. ``within``
+    names columns that tell curves apart, such as the class; each is sampled.
     """
-    ranked = global_row_number(curve, [F.col("threshold")], "_rank")
-    size = ranked.agg(F.max("_rank").alias("_size"))
-    spark = curve.sparkSession
+    if points < 1:
+        raise ValueError("points must be at least 1")
+    within = list(within)
+    ranked = running_totals(curve, {"_rank": F.lit(1).cast("bigint")}, [F.col("threshold").asc()], within)
+    sizes = ranked.groupBy(*within).agg(F.max("_rank").alias("_size")).where(F.col("_size").isNotNull())
     wanted = (
-        with_row(spark.range(points).select(F.col("id").cast("int").alias("point")), size)
-        .where(F.col("_size").isNotNull())
+        sizes.select(*within, "_size", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"))
         .withColumn("_at", F.col("point") / F.lit(float(points)) * (F.col("_size") - 1))
-        .select("point", "_at", F.explode(F.array(F.floor("_at"), F.ceil("_at"))).alias("_zero"))
+        .select(*within, "point", "_at", F.explode(F.array(F.floor("_at"), F.ceil("_at"))).alias("_zero"))
         .distinct()
         .withColumn("_rank", F.col("_zero") + 1)
     )
-    found = ranked.join(F.broadcast(wanted), "_rank")
+    found = ranked.join(broadcast_if_small(wanted), [*within, "_rank"])
     low = F.min(F.struct("_zero", "threshold"))["threshold"]
     high = F.max(F.struct("_zero", "threshold"))["threshold"]
-    near = found.groupBy("point", "_at").agg(
+    near = found.groupBy(*within, "point", "_at").agg(
         low.alias("_low"),
         high.alias("_high"),
         F.min(F.struct("_zero", "fpr", "tpr")).alias("_first"),
@@ -360,16 +362,18 @@ def roc_sample(curve: DataFrame, points: int = 1000, digits: int = 5) -> DataFra
     value = F.col("_low") + (F.col("_at") - F.floor("_at")) * (F.col("_high") - F.col("_low"))
     upper = (F.col("_high") - value) < (value - F.col("_low"))
     chosen = near.select(
+        *within,
         "point",
         F.when(upper, F.col("_second")).otherwise(F.col("_first")).alias("_s"),
         F.when(upper, F.col("_high")).otherwise(F.col("_low")).alias("_t"),
     )
     return chosen.select(
+        *within,
         "point",
         F.round("_s.fpr", digits).alias("fpr"),
         F.round("_s.tpr", digits).alias("tpr"),
         F.round("_t", digits).alias("threshold"),
-    ).orderBy("point")
+    ).orderBy(*within, "point")
 
 
 # ------------------------------------------------- grids, bands, bins, drift

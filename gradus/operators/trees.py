@@ -6,7 +6,7 @@ import itertools
 import uuid
 from collections.abc import Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
 from decimal import Decimal
 
@@ -24,10 +24,10 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gradus.operators.evaluate import class_metrics, roc_auc_per_class
+from gradus.operators.evaluate import class_metrics, roc_auc_per_class, roc_curve_per_class, roc_sample
 from gradus.operators.prep import as_double, feature_names
 from gradus.operators.split import random_or_column_split
-from gradus.session import ROWS_PER_TASK, broadcast_if_small, shared_folder, with_row
+from gradus.session import ROWS_PER_TASK, broadcast_if_small, materialise, shared_folder, with_row
 
 # Deepest tree the trainer accepts. Fixed value.
 DEEPEST = 30
@@ -111,13 +111,14 @@ def _share(value) -> str:
 
 @dataclass(frozen=True)
 class TreeModel:
-    """A fitted ensemble with the features and classes it was trained on."""
+    """A fitted ensemble with the features and classes it was trained on, and the splits that use each feature."""
 
     kind: str
     features: tuple[str, ...]
     nullable: tuple[str, ...]
     classes: tuple
     fitted: object
+    splits: tuple[tuple[str, float], ...] = ()
 
     def inputs(self) -> tuple[str, ...]:
         return (*self.features, *(f"{c}{MISSING}" for c in self.nullable))
@@ -257,6 +258,7 @@ def _grid_search(
         )
         rated = {r["class"]: r for r in class_metrics(said, label, "_said").collect()}
         splits = [tuple(r) for r in split_importance(spark, model, path).collect()]
+        model = replace(model, splits=tuple((f, float(n)) for f, n in splits))
         gains = _gains(model)
 
         def metric(column: str, cast=float) -> list:
@@ -315,8 +317,9 @@ def load_model(results: DataFrame, where: Column) -> TreeModel:
         reader = RandomForestClassificationModel
     else:
         reader = GBTClassificationModel if len(classes) == 2 else OneVsRestModel
+    splits = tuple(zip(row["fnames"], row["f_importances"]))
     return TreeModel(
-        row["kind"], tuple(row["features"]), tuple(row["nullable"]), classes, reader.load(row["model_path"])
+        row["kind"], tuple(row["features"]), tuple(row["nullable"]), classes, reader.load(row["model_path"]), splits
     )
 
 
@@ -332,11 +335,56 @@ def tree_score(df: DataFrame, id_col: str, model: TreeModel, label: str | None =
     )
 
 
-def score_metrics(scored: DataFrame, label: str | None, classes: Sequence) -> DataFrame:
-    """Per-class metrics and ROC area of a scored table; 'NA' rows without a label."""
+def score_metrics(
+    scored: DataFrame, label: str | None, classes: Sequence, splits: Sequence[tuple[str, float]] | None = None
+) -> DataFrame:
+    """Per-class metrics and ROC area of a scored table; 'NA' rows without a label.
+
+    ``splits`` are a model's pairs of feature and number of splits. With them every
+    row also lists the features and their importances, most important first.
+    """
+    spark = scored.sparkSession
+    if label is None:
+        rated = spark.createDataFrame([("NA",) * 6], "class string, precision string, recall string, fscore string, support string, roc_auc string")
+    else:
+        metrics = class_metrics(scored, label, f"{label}_predicted")
+        areas = roc_auc_per_class(scored, label, f"{label}_proba_predicted", classes)
+        rated = metrics.join(F.broadcast(areas), "class", "left").orderBy("class")
+    if splits is None:
+        return rated
+    names, counts = [f for f, _ in splits], [float(n) for _, n in splits]
+    return rated.withColumns(
+        {
+            "fnames": F.array(*[F.lit(f) for f in names]).cast("array<string>"),
+            "f_importances": F.array(*[F.lit(n) for n in counts]).cast("array<double>"),
+        }
+    )
+
+
+@dataclass(frozen=True)
+class TreeScore:
+    """Scored rows, metrics with importances, and the sampled curve of every class."""
+
+    rows: DataFrame
+    metrics: DataFrame
+    curves: DataFrame | None
+
+
+def tree_score_all(
+    df: DataFrame, id_col: str, model: TreeModel, label: str | None = None, points: int = 1000
+) -> TreeScore:
+    """Score a table and, where it has a label, rate the scores.
+
+    Without a label the metrics are one 'NA' row beside the importances and there
+    are no curves. Curves hold ``points`` rows a class.
+    """
+    rows = tree_score(df, id_col, model, label)
     if label is None:
-        spark = scored.sparkSession
-        return spark.createDataFrame([("NA",) * 6], "class string, precision string, recall string, fscore string, support string, roc_auc string")
-    metrics = class_metrics(scored, label, f"{label}_predicted")
-    areas = roc_auc_per_class(scored, label, f"{label}_proba_predicted", classes)
-    return metrics.join(F.broadcast(areas), "class", "left").orderBy("class")
+        return TreeScore(rows, score_metrics(rows, None, model.classes, model.splits), None)
+    rows = materialise(rows)
+    curves = roc_curve_per_class(rows, label, f"{label}_proba_predicted", model.classes)
+    return TreeScore(
+        rows,
+        score_metrics(rows, label, model.classes, model.splits),
+        roc_sample(curves, points, within=["class"]),
+    )

@@ -30,6 +30,7 @@ from gradus.operators.prep import (
 )
 from gradus.operators.split import fold_draw, random_split
 from gradus.operators.vif import steps_to_df, vif_mask, vif_steps
+from gradus.plans.stored import LOGISTIC, REGRESSION, StoredModel
 from gradus.session import hold
 
 DONE, ABORTED = "DONE", "ABORTED"
@@ -113,6 +114,10 @@ class RegressionRun:
     top_positive: DataFrame | None = None
     top_negative: DataFrame | None = None
 
+    def stored(self) -> StoredModel:
+        """The model with its training statistics, to save and to score with."""
+        return StoredModel.of(REGRESSION, [self.model] if self.model else [], self.prepared.stats)
+
     def vif(self, spark: SparkSession) -> DataFrame:
         return steps_to_df(spark, self.prepared.steps)
 
@@ -182,16 +187,7 @@ def elastic_net_run(
 
 def regression_score(df: DataFrame, key: str, run: RegressionRun) -> DataFrame:
     """Rows (key, prediction) for a new table, normalised with the training statistics."""
-    wanted = [f for f in run.model.names if f != CONSTANT_TERM]
-    clean = drop_duplicate_keys(df.select(key, *wanted), key)
-    at = {n: i for i, n in enumerate(run.prepared.stats.names)}
-    stats = run.prepared.stats
-    used = FeatureStats(
-        tuple(wanted),
-        tuple(stats.avg[at[f]] for f in wanted),
-        tuple(stats.stddev[at[f]] for f in wanted),
-    )
-    return clean.select(key, run.model.score(used.normalised(clean)).alias("prediction"))
+    return run.stored().score(df, key)
 
 
 @dataclass
@@ -211,6 +207,10 @@ class LogisticRun:
     top_negative: DataFrame | None = None
     p_value_cdf: DataFrame | None = None
 
+    def stored(self) -> StoredModel:
+        """The samples' models with the training statistics, to save and to score with."""
+        return StoredModel.of(LOGISTIC, self.samples, self.prepared.stats)
+
     def vif(self, spark: SparkSession) -> DataFrame:
         return steps_to_df(spark, self.prepared.steps)
 
@@ -281,16 +281,7 @@ def logistic_run(
 
 def logistic_score(df: DataFrame, key: str, run: LogisticRun) -> DataFrame:
     """Rows (key, pred_prob) for a new table: the ensemble's mean probability."""
-    wanted = sorted({f for m in run.samples for f in m.names if f != CONSTANT_TERM})
-    stats = run.prepared.stats
-    at = {n: i for i, n in enumerate(stats.names)}
-    used = FeatureStats(
-        tuple(wanted), tuple(stats.avg[at[f]] for f in wanted), tuple(stats.stddev[at[f]] for f in wanted)
-    )
-    clean = drop_duplicate_keys(df.select(key, *wanted), key)
-    values = used.normalised(clean)
-    mean = balanced_sum([m.probability(values) for m in run.samples]) / F.lit(float(len(run.samples)))
-    return clean.select(key, mean.alias("pred_prob"))
+    return run.stored().score(df, key)
 
 
 __all__: Sequence[str] = [

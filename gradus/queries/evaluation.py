@@ -319,6 +319,35 @@ def roc_sample(spark, d):
     return evaluate.roc_sample(evaluate.roc_curve(tied_items(spark, d), "label", "prob"), points=700)
 
 
+@query(
+    f"""
+    WITH curve AS ({" UNION ALL ".join(
+        f"""SELECT '{c}' AS class, threshold,
+            (sum(sum(CAST(o_orderpriority <> '{c}' AS INTEGER))) OVER (ORDER BY threshold DESC))::DOUBLE / (SELECT count(*) FROM orders WHERE o_orderpriority <> '{c}') AS fpr,
+            (sum(sum(CAST(o_orderpriority = '{c}' AS INTEGER))) OVER (ORDER BY threshold DESC))::DOUBLE / (SELECT count(*) FROM orders WHERE o_orderpriority = '{c}') AS tpr
+            FROM (SELECT o_orderpriority, floor(o_totalprice / {1000 * (i + 1)}) * 1.0::DOUBLE AS threshold FROM orders) GROUP BY threshold"""
+        for i, c in enumerate(PRIORITIES))}),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY class ORDER BY threshold) - 1 AS rk FROM curve),
+    wanted AS (
+        SELECT class, CAST(i AS INTEGER) AS point, CAST(i AS DOUBLE) / 40 * (n - 1) AS spot
+        FROM (SELECT class, count(*) AS n FROM curve GROUP BY 1), generate_series(0, 39) g(i)),
+    near AS (
+        SELECT class, point, a.threshold AS lo, b.threshold AS hi, a.fpr AS lo_f, b.fpr AS hi_f, a.tpr AS lo_t, b.tpr AS hi_t,
+               a.threshold + (spot - floor(spot)) * (b.threshold - a.threshold) AS v
+        FROM wanted JOIN ranked a USING (class) JOIN ranked b USING (class) WHERE a.rk = floor(spot) AND b.rk = ceil(spot))
+    SELECT class, point, {round_sql("CASE WHEN hi - v < v - lo THEN hi_f ELSE lo_f END", 5)} AS fpr,
+           {round_sql("CASE WHEN hi - v < v - lo THEN hi_t ELSE lo_t END", 5)} AS tpr,
+           {round_sql("CASE WHEN hi - v < v - lo THEN hi ELSE lo END", 5)} AS threshold
+    FROM near
+    """
+)
+def roc_sample_per_class(spark, d):
+    scores = [F.floor(F.col("o_totalprice") / (1000 * (i + 1))).cast("double") for i in range(5)]
+    rows = table(spark, d, "orders").select("o_orderpriority", F.array(*scores).alias("scores"))
+    curves = evaluate.roc_curve_per_class(rows, "o_orderpriority", "scores", PRIORITIES)
+    return evaluate.roc_sample(curves, points=40, within=["class"])
+
+
 # --------------------------------------------- grids, bands, bins, comparison
 
 

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from gradus.operators import linear, logistic, prep, trees
 from gradus.plans import runs
+from gradus.plans.stored import StoredModel
 from gradus.queries.preparation import UNIFORM_SQL
 from gradus.queries.registry import query, round_sql, rounded, table
-from gradus.session import with_row
+from gradus.session import shared_folder, with_row
 
 # ------------------------------------------------------------------ sources
 
@@ -25,6 +28,27 @@ def priced_items(spark, d):
     )
 
 
+def workflow_items(spark, d):
+    """The same with a column that repeats the quantity and one that tells nothing.
+
+    A run has to drop both, so the SQL of the workflows knows neither.
+    """
+    return priced_items(spark, d).withColumns(
+        {
+            "bulk": 2 * F.col("quantity") + 3,
+            "tag": F.conv(F.substring(F.md5("pk1"), 1, 4), 16, 10).cast("double") % 17,
+        }
+    )
+
+
+def read_again(spark, run):
+    """The run's model after it was written and read."""
+    target = f"{shared_folder(spark)}/model-{uuid.uuid4().hex}"
+    run.stored().save(spark, target)
+    run.release()
+    return StoredModel.load(spark, target)
+
+
 ITEMS_SQL = """
     items AS (
         SELECT l_orderkey || '-' || l_linenumber AS pk1, l_quantity AS quantity, l_discount AS discount,
@@ -116,8 +140,8 @@ LINEAR_SQL = f"""
 
 
 def _linear(spark, d):
-    items = priced_items(spark, d).drop("large")
-    return runs.linear_run(items, "pk1", "amount", vif_step_limit=2, train_fraction=0.8)
+    items = workflow_items(spark, d).drop("large")
+    return runs.linear_run(items, "pk1", "amount", vif_step_limit=3, train_fraction=0.8)
 
 
 @query(
@@ -154,23 +178,35 @@ def linear_workflow_coefficients(spark, d):
     """
 )
 def linear_score(spark, d):
-    run = _linear(spark, d)
-    scored = runs.regression_score(priced_items(spark, d).drop("amount", "large"), "pk1", run)
+    model = read_again(spark, _linear(spark, d))
+    scored = model.score(workflow_items(spark, d).drop("amount", "large"), "pk1")
     return scored.withColumn("prediction", rounded("prediction", 2))
 
 
 # ---------------------------------------------------------------- elastic net
 
-# One feature: the penalised slope is a soft threshold over a damped variance.
-ELASTIC_SQL = """
-    fit_m AS (
-        SELECT avg(q) AS mx, avg(amount) AS my, covar_pop(q, amount) AS c, var_pop(q) AS v FROM training),
-    fit AS MATERIALIZED (
-        SELECT *, sign(c) * greatest(abs(c) - 0.05 * 0.05, 0) / (v + 0.05 * (1 - 0.05)) AS b FROM fit_m)"""
+def elastic_sql(source: str, rounds: int = 25) -> str:
+    """Coordinate descent on two features: each slope is a soft threshold over a damped variance."""
+
+    def slope(pull: str, variance: str) -> str:
+        return f"sign({pull}) * greatest(abs({pull}) - 0.05 * 0.05, 0) / ({variance} + 0.05 * (1 - 0.05))"
+
+    steps = ["fit_0 AS (SELECT 0.0::DOUBLE AS b1, 0.0::DOUBLE AS b2)"]
+    for i in range(1, rounds + 1):
+        steps.append(
+            f"fit_{i} AS MATERIALIZED (SELECT b1, {slope('(c2 - s12 * b1)', 's22')} AS b2 FROM fit_m,"
+            f" (SELECT {slope('(c1 - s12 * b2)', 's11')} AS b1 FROM fit_m, fit_{i - 1}))"
+        )
+    return f"""
+    fit_m AS MATERIALIZED (
+        SELECT avg(q) AS m1, avg(dd) AS m2, avg(amount) AS my, covar_pop(q, amount) AS c1, covar_pop(dd, amount) AS c2,
+               var_pop(q) AS s11, var_pop(dd) AS s22, covar_pop(q, dd) AS s12 FROM {source}),
+    {", ".join(steps)},
+    fit AS MATERIALIZED (SELECT b1, b2, my - b1 * m1 - b2 * m2 AS b0 FROM fit_m, fit_{rounds})"""
 
 
 def _elastic_items(spark, d):
-    return priced_items(spark, d).drop("large", "discount")
+    return priced_items(spark, d).drop("large")
 
 
 def _elastic(spark, d):
@@ -179,16 +215,18 @@ def _elastic(spark, d):
 
 @query(
     f"""
-    WITH {ITEMS_SQL}, z AS (SELECT avg(quantity) AS m, stddev_samp(quantity) AS s FROM items),
-    training AS (SELECT (quantity - m) / s AS q, amount FROM items, z), {ELASTIC_SQL}
-    SELECT 'quantity' AS feature, {round_sql("b", 3)} AS coef, {round_sql("my - b * mx", 3)} AS intercept FROM fit
+    WITH {ITEMS_SQL}, z AS (
+        SELECT avg(quantity) AS mq, stddev_samp(quantity) AS sq, avg(discount) AS md, stddev_samp(discount) AS sd FROM items),
+    training AS (SELECT (quantity - mq) / sq AS q, (discount - md) / sd AS dd, amount FROM items, z), {elastic_sql("training")}
+    SELECT 'quantity' AS feature, {round_sql("b1", 3)} AS coef, {round_sql("b0", 3)} AS intercept FROM fit
+    UNION ALL SELECT 'discount', {round_sql("b2", 3)}, {round_sql("b0", 3)} FROM fit
     """
 )
 def elastic_net_train(spark, d):
     items = _elastic_items(spark, d)
-    stats = prep.FeatureStats.fit(items, ["quantity"])
+    stats = prep.FeatureStats.fit(items, ["quantity", "discount"])
     rows = prep.normalise_wide(items, stats, ["pk1", "amount"])
-    model = linear.elastic_net_train(rows, ["quantity"], "amount", tol=1e-12)
+    model = linear.elastic_net_train(rows, ["quantity", "discount"], "amount", tol=1e-12)
     return spark.createDataFrame(
         [(f, c, model.intercept) for f, c in zip(model.names, model.coef)],
         "feature string, coef double, intercept double",
@@ -197,8 +235,8 @@ def elastic_net_train(spark, d):
 
 @query(
     f"""
-    WITH {CLEAN_SQL}, training AS (SELECT * FROM norm WHERE train), {ELASTIC_SQL},
-    tested AS (SELECT pk1, amount, my - b * mx + b * q AS prediction FROM norm, fit WHERE NOT train)
+    WITH {CLEAN_SQL}, training AS (SELECT * FROM norm WHERE train), {elastic_sql("training")},
+    tested AS (SELECT pk1, amount, b0 + b1 * q + b2 * dd AS prediction FROM norm, fit WHERE NOT train)
     SELECT pk1, {round_sql("prediction", 2)} AS prediction, {round_sql("amount - prediction", 2)} AS residual,
            {round_sql("(SELECT 1 - pow(stddev_samp(amount - prediction), 2) / pow(stddev_samp(amount), 2) FROM tested)", 6)} AS r_square
     FROM tested
@@ -216,12 +254,13 @@ def elastic_net_workflow(spark, d):
 
 @query(
     f"""
-    WITH {CLEAN_SQL}, training AS (SELECT * FROM norm WHERE train), {ELASTIC_SQL}
-    SELECT pk1, {round_sql("my - b * mx + b * q", 2)} AS prediction FROM norm, fit
+    WITH {CLEAN_SQL}, training AS (SELECT * FROM norm WHERE train), {elastic_sql("training")}
+    SELECT pk1, {round_sql("b0 + b1 * q + b2 * dd", 2)} AS prediction FROM norm, fit
     """
 )
 def elastic_net_score(spark, d):
-    scored = runs.regression_score(_elastic_items(spark, d).drop("amount"), "pk1", _elastic(spark, d))
+    model = read_again(spark, _elastic(spark, d))
+    scored = model.score(_elastic_items(spark, d).drop("amount"), "pk1")
     return scored.withColumn("prediction", rounded("prediction", 2))
 
 
@@ -259,12 +298,12 @@ def logreg_train(spark, d):
 
 
 def logistic_items(spark, d):
-    return priced_items(spark, d).select("pk1", "quantity", "large")
+    return workflow_items(spark, d).select("pk1", "quantity", "bulk", "tag", "large")
 
 
 def _logistic(spark, d):
     return runs.logistic_run(
-        logistic_items(spark, d), "pk1", "large", train_fraction=0.8, folds=2, pos_class_weight=1.2
+        logistic_items(spark, d), "pk1", "large", vif_step_limit=2, train_fraction=0.8, folds=2, pos_class_weight=1.2
     )
 
 
@@ -325,7 +364,8 @@ def logistic_workflow_probabilities(spark, d):
     """
 )
 def logistic_score(spark, d):
-    scored = runs.logistic_score(logistic_items(spark, d).drop("large"), "pk1", _logistic(spark, d))
+    model = read_again(spark, _logistic(spark, d))
+    scored = model.score(logistic_items(spark, d).drop("large"), "pk1")
     return scored.withColumn("pred_prob", rounded("pred_prob"))
 
 
@@ -380,6 +420,16 @@ def class_weights_given(spark, d):
     return trees.class_weights(table(spark, d, "orders"), "o_orderstatus", {"F": 0.25, "O": 0.5, "P": 0.75})
 
 
+# Weights given for every customer, many more classes than a label has as a rule.
+GIVEN = {i: 1.0 / (1 + i % 97) for i in range(20_001)}
+
+
+@query("SELECT DISTINCT o_custkey AS class, round(1.0::DOUBLE / (1 + o_custkey % 97), 6) AS weight FROM orders")
+def class_weights_many(spark, d):
+    weights = trees.class_weights(table(spark, d, "orders"), "o_custkey", GIVEN)
+    return weights.withColumn("weight", rounded("weight"))
+
+
 def tree_items(spark, d):
     """Order lines with a nullable feature and a label two features explain."""
     return table(spark, d, "lineitem").select(
@@ -435,9 +485,55 @@ def gbt_score(spark, d):
 
 @query()
 def gbt_score_metrics(spark, d):
-    model = _best(spark, d)
-    scored = trees.tree_score(tree_items(spark, d), "pk1", model, "large")
-    return trees.score_metrics(scored, "large", model.classes)
+    return trees.tree_score_all(tree_items(spark, d), "pk1", _best(spark, d), "large").metrics
+
+
+@query()
+def gbt_score_curves(spark, d):
+    return trees.tree_score_all(tree_items(spark, d), "pk1", _best(spark, d), "large", points=100).curves
+
+
+# What the split alone settles in a grid: the points, the inputs and the tested rows of each class.
+TESTED_SQL = """
+    drawn AS (SELECT *, {uniform} AS u FROM {source}),
+    tested AS (
+        SELECT * FROM (SELECT *, row_number() OVER (ORDER BY u, {key}) AS rn FROM drawn WHERE u > 0.8)
+        WHERE rn <= (SELECT floor(count(*) * (1 - 0.8::DOUBLE)) FROM drawn))"""
+
+
+@query(
+    f"""
+    WITH items AS (
+        SELECT concat_ws('-', l_orderkey, l_linenumber, l_suppkey, l_partkey) AS pk1,
+               CAST(l_extendedprice + 1500 * l_quantity + 400000 * l_discount > 120000 AS INTEGER) AS large FROM lineitem),
+    {TESTED_SQL.format(uniform=UNIFORM_SQL.format(seed=42, key="pk1"), source="items", key="pk1")}
+    SELECT CAST(i AS INTEGER) AS params_indx, 'learning_rate=' || rate || ', max_depth=' || depth
+               || ', subsample=0.85, colsample_bytree=0.85, min_child_weight=10, n_estimators=4' AS params,
+           'discount,quantity,tax' AS features, 'discount' AS nullable, '0,1' AS classes,
+           (SELECT string_agg(n, ',' ORDER BY large) FROM (SELECT large, count(*) AS n FROM tested GROUP BY 1)) AS support
+    FROM (VALUES (1, '0.1', 2), (2, '0.1', 3), (3, '0.3', 2), (4, '0.3', 3)) v(i, rate, depth)
+    """
+)
+def gbt_grid_settings(spark, d):
+    found = trees.gbt_grid_search(tree_items(spark, d), "pk1", "large", grid=GRID).results
+    lists = ("features", "nullable", "classes", "support")
+    return found.select("params_indx", "params", *[F.array_join(F.col(c).cast("array<string>"), ",").alias(c) for c in lists])
+
+
+@query(
+    f"""
+    WITH {TESTED_SQL.format(uniform=UNIFORM_SQL.format(seed=42, key="o_orderkey"), source="orders", key="o_orderkey")},
+    said AS (SELECT o_custkey % 160 AS band, count(*) AS n FROM tested GROUP BY 1)
+    SELECT CAST(k AS VARCHAR) AS band, coalesce(n, 0) AS support
+    FROM (SELECT DISTINCT o_custkey % 160 AS k FROM drawn WHERE u <= 0.8) LEFT JOIN said ON band = k
+    """
+)
+def rf_grid_search_many_classes(spark, d):
+    orders = table(spark, d, "orders").select(
+        "o_orderkey", (F.col("o_custkey") % 160).alias("band"), "o_totalprice", F.dayofyear("o_orderdate").alias("day")
+    )
+    found = trees.rf_grid_search(orders, "o_orderkey", "band", grid={"max_depth": [3], "n_estimators": [2]}).results
+    return found.select(F.inline(F.arrays_zip(F.col("classes").alias("band"), "support")))
 
 
 @query()

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gradus.plans import build, runs, specs
+from gradus.plans.stored import StoredModel, read_back, save_tables
 
 
 @pytest.fixture(scope="module")
@@ -88,3 +89,25 @@ def test_build_model_end_to_end(spark, rows, tmp_path):
     assert result.rows.columns == ["pk1", "person_uid", "label", "x", "z"]
     assert result.runs["LR"].status == "DONE" and result.runs["XGBoost"].results.count() == 1
     assert result.notices == ["Unrecognized model name: SVM"]
+
+
+def test_models_score_the_same_after_storing(spark, rows, tmp_path):
+    run = runs.logistic_run(rows, "k", "c", ["y"], folds=2)
+    want = {r["k"]: r["pred_prob"] for r in runs.logistic_score(rows, "k", run).collect()}
+    run.stored().save(spark, f"{tmp_path}/logistic")
+    written = save_tables(run, f"{tmp_path}/out")
+    assert f"{tmp_path}/out_metrics" in written and read_back(spark, f"{tmp_path}/out_metrics").count() == 101
+    run.release()
+    again = StoredModel.load(spark, f"{tmp_path}/logistic")
+    assert len(again.models) == 2 and again.kind == "logistic"
+    assert {r["k"]: r["pred_prob"] for r in again.score(rows, "k").collect()} == want
+
+    run = runs.linear_run(rows, "k", "y", ["c"])
+    want = {r["k"]: r["prediction"] for r in runs.regression_score(rows, "k", run).collect()}
+    run.stored().save(spark, f"{tmp_path}/linear")
+    run.release()
+    again = StoredModel.load(spark, f"{tmp_path}/linear")
+    assert again.models[0].r2 == run.model.r2
+    assert {r["k"]: r["prediction"] for r in again.score(rows, "k").collect()} == want
+    with pytest.raises(ValueError, match="no model"):
+        StoredModel.of("regression", [], run.prepared.stats)

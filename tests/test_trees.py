@@ -45,6 +45,12 @@ def test_boosted_grid_finds_the_signal_and_uses_missing_values(spark, rows):
     assert evaluate.roc_auc(scored.withColumn("p", F.element_at("y_proba_predicted", 2)), "y", "p").first()[0] > 0.9
     metrics = trees.score_metrics(scored, "y", model.classes).collect()
     assert [r["class"] for r in metrics] == [0, 1] and metrics[0]["roc_auc"] == metrics[1]["roc_auc"]
+    every = trees.tree_score_all(rows, "id", model, "y", points=10)
+    listed = every.metrics.collect()
+    assert set(listed[0]["fnames"]) == {"x", "z"} and listed[0]["f_importances"] == found[1]["f_importances"]
+    assert sorted(every.curves.groupBy("class").count().collect()) == [(0, 10), (1, 10)] and every.rows.count() == rows.count()
+    blind = trees.tree_score_all(rows.drop("y"), "id", model)
+    assert blind.curves is None and blind.metrics.first()["recall"] == "NA" and blind.metrics.first()["fnames"]
     unlabelled = trees.tree_score(rows.drop("y"), "id", model)
     assert unlabelled.columns == ["id", "class_label_predicted", "class_label_proba_predicted"]
     assert trees.score_metrics(unlabelled, None, model.classes).first()["recall"] == "NA"

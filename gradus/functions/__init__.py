@@ -1,6 +1,7 @@
 from gradus.functions.arrays import array_length, dot, drop_at, keep_where, unnest_together
 from gradus.functions.scalars import (
     balanced_sum,
+    fixed_text,
     guarded_ratio,
     hash_uniform,
     normalize_id,
@@ -14,6 +15,7 @@ __all__ = [
     "balanced_sum",
     "dot",
     "drop_at",
+    "fixed_text",
     "guarded_ratio",
     "hash_uniform",
     "keep_where",

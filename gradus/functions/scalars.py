@@ -42,6 +42,11 @@ def guarded_ratio(numerator: Column, denominator: Column) -> Column:
     return numerator.cast("double") / safe
 
 
+def fixed_text(value: Column, places: int = 5) -> Column:
+    """A number as text with this many decimals, such as 0.50000."""
+    return F.round(value.cast("double"), places).cast(f"decimal(38,{places})").cast("string")
+
+
 def balanced_sum(terms: list[Column]) -> Column:
     """Sum of many columns as a balanced tree, which keeps plans shallow."""
     if not terms:

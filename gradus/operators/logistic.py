@@ -64,14 +64,15 @@ def logreg_train(
     label: str,
     constant: bool = True,
     max_iter: int = 20,
-    tol: float = 1e-10,
+    tol: float = 1e-7,
 ) -> LinearModel:
     """Logistic regression by Newton steps, with Wald p-values, for any number of columns.
 
     A step is one pass that adds up gradient and curvature. The first one also
     finds the means, which later steps subtract where there is a constant, so
     that large offsets lose no digits. A step that lowers the likelihood is
-    halved. Rows with a missing feature or label are left out.
+    halved. Steps shrink quadratically, so after one below ``tol`` the next would
+    be below its square. Rows with a missing feature or label are left out.
     """
     plain = sorted(f for f in features if f != CONSTANT_TERM)
     target = df.select(*plain, F.col(label).cast("double").alias("_y")).where(F.col("_y").isNotNull())

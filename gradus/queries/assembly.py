@@ -501,6 +501,56 @@ def grade_input(spark, d):
     return specs.build_input(specs.grade_spec(), _grade_tables(spark, d), ["netlog", "card"])
 
 
+# Feature tables of the grade input over all four sources. Fixed values.
+GRADE_FEATURE_TABLES = (
+    "features_course_schedule.course_size",
+    "features_demographics.application_tests",
+    "features_demographics.high_school",
+    "features_demographics.high_school_inst_gpa",
+    "features_demographics.high_school_core_gpa",
+    "features_demographics.acs_2015_hs_zip",
+    "features_demographics.same_high_school",
+    "features_grade.course_cdfw_rates",
+    "features_grade.person_semester_cdfw_rates",
+    "features_grade.in_subject_gpa",
+    "features_grade.hs_vs_own_gpa_diff",
+    "features_grade.repeat_course_ind",
+    "features_grade.prior_own_gpa",
+    "features_course_schedule.instructor_difficulty_experience",
+    "features_academic_study.num_sems_enrolled",
+    "features_academic_study.num_class_min_per_week",
+    "features_academic_study.schedule_types",
+    "features_academic_study.offering_course",
+    "features_grade.important_priors",
+    "features_learning_management.lms_db_msg_posted_asof_4_wk_past",
+    "features_learning_management.lms_gradebook_cnt_1st_view_asof_4_wk_past",
+    "ip.gradebook_features",
+    "features_card_service.board_plan_rectrac_buddies",
+    "features_card_service.weekly_rectrac_swipes",
+    "features_card_service.si_sessions",
+    "features_network.attendance_by_person_course",
+)
+
+
+@query(
+    f"""
+    WITH {ENROLMENTS_SQL},
+    spent AS (SELECT CAST(o_custkey AS VARCHAR) AS person_uid, count(*) AS n FROM orders GROUP BY 1)
+    SELECT e.*, {", ".join(f"n + {i} AS value_{i}" for i in range(len(GRADE_FEATURE_TABLES)))}
+    FROM enrolments e JOIN spent USING (person_uid)
+    """
+)
+def grade_input_all_groups(spark, d):
+    """Each table of the list brings one column; a table that is not joined leaves its column out."""
+    spent = table(spark, d, "orders").groupBy(F.col("o_custkey").cast("string").alias("person_uid")).agg(F.count("*").alias("n"))
+    spec = specs.grade_spec()
+    tables = {
+        name: spent.select("person_uid", (F.col("n") + i).alias(f"value_{i}"), F.lit(1).alias("puid"))
+        for i, name in enumerate(GRADE_FEATURE_TABLES)
+    }
+    return specs.build_input(spec, {spec.base: enrolments(spark, d), **tables}, ["sis", "lms", "card", "netlog"])
+
+
 def _build_log_of_spec(spark, d):
     """Builds of the at-risk tables, dated by the events of one type each."""
     spec = specs.AT_RISK_2017

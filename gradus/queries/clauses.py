@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from gradus.functions import (
     array_length,
     drop_at,
+    fixed_text,
     guarded_ratio,
     hash_uniform,
     keep_where,
@@ -19,8 +22,10 @@ from gradus.functions import (
 from gradus.operators.assemble import select_feature_columns
 from gradus.operators.ranking import global_row_number, running_totals
 from gradus.queries.registry import query, round_sql, rounded, table
-from gradus.session import broadcast_if_small, with_row
+from gradus.session import broadcast_if_small, shared_folder, with_row
 from gradus.sources import append_parts, last_builds
+from gradus.sources.tables import export_csv as write_csv
+from gradus.sources.tables import replace_table as write_table
 
 # ------------------------------------------------------------ scans, append
 
@@ -53,6 +58,41 @@ def append_rows(spark, d):
     return append_parts([customer, supplier])
 
 
+@query("SELECT c_custkey, c_mktsegment, c_acctbal FROM customer WHERE c_acctbal > 0")
+def replace_table(spark, d):
+    """Read back after a second write replaced the first."""
+    target = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
+    customer = table(spark, d, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
+    write_table(customer, target)
+    write_table(customer.where(F.col("c_acctbal") > 0), target)
+    return spark.read.parquet(target)
+
+
+@query("SELECT o_orderkey, o_orderpriority, o_totalprice FROM orders")
+def export_csv(spark, d):
+    """Read back from the files written."""
+    target = f"{shared_folder(spark)}/csv-{uuid.uuid4().hex}"
+    orders = table(spark, d, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
+    write_csv(orders, target)
+    return spark.read.schema(orders.schema).option("header", True).csv(target)
+
+
+@query(
+    """
+    SELECT l_orderkey, l_linenumber, CAST(CAST(round(l_extendedprice / 7, 2) AS DECIMAL(38, 5)) AS VARCHAR) AS price,
+           CAST(CAST(l_tax AS DECIMAL(38, 5)) AS VARCHAR) AS tax
+    FROM lineitem
+    """
+)
+def fixed_width_text(spark, d):
+    return table(spark, d, "lineitem").select(
+        "l_orderkey",
+        "l_linenumber",
+        fixed_text(rounded(F.col("l_extendedprice") / 7, 2)).alias("price"),
+        fixed_text(F.col("l_tax")).alias("tax"),
+    )
+
+
 @query(
     """
     SELECT n, count(*) AS line_items FROM (SELECT unnest(generate_series(1, l_linenumber)) AS n FROM lineitem)

@@ -44,6 +44,12 @@ def op6_lines(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_passages(spark: SparkSession, folder: str) -> DataFrame:
+    return lines.drop_repeated_passages(table(spark, folder, "documents")).select(
+        "doc_id", "n_chars", "n_units", "n_removed", F.sha2("text", 256).alias("text_sha256")
+    )
+
+
 def op7_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     found = predict_language(docs.select("doc_id", "text"), train_language_model(docs))
@@ -69,7 +75,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_html, op2_simhash, op3_toxicity, op4_mixing, op5_chat, op6_lines, op7_language, op8_personal_data,
-        op9_decontamination, op10_exact,
+        op9_decontamination, op10_exact, op6_passages,
     )
 }
 SQL = {

@@ -420,13 +420,12 @@ def class_weights_given(spark, d):
     return trees.class_weights(table(spark, d, "orders"), "o_orderstatus", {"F": 0.25, "O": 0.5, "P": 0.75})
 
 
-# Weights given for every customer, many more classes than a label has as a rule.
-GIVEN = {i: 1.0 / (1 + i % 97) for i in range(20_001)}
-
-
 @query("SELECT DISTINCT o_custkey AS class, round(1.0::DOUBLE / (1 + o_custkey % 97), 6) AS weight FROM orders")
 def class_weights_many(spark, d):
-    weights = trees.class_weights(table(spark, d, "orders"), "o_custkey", GIVEN)
+    """Weights given for every customer who orders, many more classes than a label has as a rule."""
+    orders = table(spark, d, "orders")
+    given = {r[0]: 1.0 / (1 + r[0] % 97) for r in orders.select("o_custkey").where("o_custkey IS NOT NULL").distinct().collect()}
+    weights = trees.class_weights(orders, "o_custkey", given)
     return weights.withColumn("weight", rounded("weight"))
 
 

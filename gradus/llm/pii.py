@@ -37,6 +37,9 @@ DIGIT = re.compile(r"[0-9]")
 # Documents with nodes that a training reads, at most so many.
 TRAINING_DOCUMENTS = 1500
 
+# Characters around its nodes that a training reads of a document at most.
+TRAINING_CHARACTERS = 20_000
+
 # A node joins a kind beyond the base patterns from this probability on.
 SURE = 0.9
 
@@ -253,29 +256,33 @@ def without_marks(text: str, spans: list[tuple[str, int, int]]) -> tuple[str, li
 def train_skip_chain(docs: DataFrame, documents: int = TRAINING_DOCUMENTS) -> SkipChain:
     """A field trained on documents that the base patterns label.
 
-    Reads about ``documents`` documents with a digit or an at sign, chosen by a hash of the
-    id; of each the windows around its nodes. The base spans are the labels.
+    Reads at most ``documents`` documents with a digit or an at sign, those with the least hash of
+    the id; of each the windows around its nodes, as many as ``TRAINING_CHARACTERS`` hold. The base
+    spans are the labels.
     """
-    total = docs.count()
-    # Documents with such a sign may be few, so more are looked at.
-    probe = docs.select("doc_id", "text").where(
-        draw(F.lit(5), F.col("doc_id")) * F.lit(float(max(total, 1))) < F.lit(float(20 * documents))
+    signed = docs.select("doc_id", "text").where(F.col("text").rlike("[0-9@]"))
+    total = signed.count()
+    # Twice as many are looked at, so that the least hashes are among them.
+    probe = signed.withColumn("place", draw(F.lit(5), F.col("doc_id"))).where(
+        F.col("place") * F.lit(float(total)) < F.lit(float(2 * documents))
     )
 
     def run(batch):
-        kept = [t for t in batch.column("text").to_pylist() if t and nodes(t)]
-        out = []
-        for t in kept:
+        out, order = [], []
+        for t, place in zip(batch.column("text").to_pylist(), batch.column("place").to_pylist()):
             places = nodes(t)
+            if not places:
+                continue
             pieces, at = [], 0
             for a, b in places:
                 pieces.append(t[max(at, a - 40) : b + 40])
                 at = b + 40
-            out.append("\n".join(pieces)[:20_000])
-        yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], ["text"])
+            out.append("\n".join(pieces)[:TRAINING_CHARACTERS])
+            order.append(place)
+        yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()), pa.array(order, pa.float64())], ["text", "place"])
 
-    found = map_batches(probe.where(F.col("text").rlike("[0-9@]")), run, "text string")
-    texts = sorted(r[0] for r in found.limit(documents).collect())
+    found = map_batches(probe.select("text", "place"), run, "text string, place double")
+    texts = sorted(r["text"] for r in found.orderBy("place", "text").limit(documents).collect())
     return fit([without_marks(t, base_spans(t)) for t in texts])
 
 

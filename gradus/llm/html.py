@@ -35,12 +35,15 @@ WORDS = re.compile(r"[a-z]+|[A-Z][a-z]*")
 BLOCKS = frozenset(
     "address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption "
     "figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol option p pre search section "
-    "select summary table tbody td tfoot th thead title tr ul br".split()
+    "math xmp select summary table tbody td tfoot th thead title tr ul br".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 
 # Elements whose content is not text of the page.
-RAW = frozenset("script style template iframe noframes textarea svg math object audio video canvas title xmp".split())
+RAW = frozenset("script style template iframe noframes textarea svg object audio video canvas title".split())
+
+# Those of them that reach to the end of the page without an end tag; after others a reader goes on.
+TO_THE_END = frozenset("script style textarea title".split())
 
 # What a start tag ends if it is open: elements that cannot hold each other.
 ENDS = {
@@ -83,6 +86,7 @@ def blocks(page: str | None) -> Iterator[Block]:
     stack: list[tuple[str, tuple[str, ...]]] = []
     text, linked, link = [], 0, 0
     at = 0
+    unclosed: set[str] = set()
 
     def flush():
         nonlocal linked
@@ -116,9 +120,17 @@ def blocks(page: str | None) -> Iterator[Block]:
         if tag == "a":
             link = 0 if closing else 1
         if tag in RAW and not closing:
-            if not attributes.endswith("/") or tag in ("script", "style", "title", "textarea"):
-                ending = re.compile(rf"</{tag}\b[^>]*>?", re.I).search(page, at)
-                at = ending.end() if ending else n
+            if not attributes.endswith("/") or tag in TO_THE_END:
+                ending = None
+                if tag not in unclosed:
+                    ending = re.compile(rf"</{tag}\b[^>]*>?", re.I).search(page, at)
+                if ending:
+                    at = ending.end()
+                elif tag in TO_THE_END:
+                    at = n
+                else:
+                    # one search to the end for all start tags without an end tag
+                    unclosed.add(tag)
             if tag == "title":
                 yield from flush()
             continue

@@ -6,13 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gradus.llm import sql
-from gradus.llm import chat, html, lines, pii, toxicity
+from gradus.llm import chat, html, licenses, lines, pii, toxicity
 from gradus.llm.base import held_out, table
 from gradus.llm.decontaminate import contamination
 from gradus.llm.exact import exact_groups
 from gradus.llm.langid import predict_language, train_language_model
 from gradus.llm.mixing import mix
+from gradus.llm.search import ranked
 from gradus.llm.simhash import near_groups
+from gradus.llm.whitening import whiten
 
 
 def op1_html(spark: SparkSession, folder: str) -> DataFrame:
@@ -71,11 +73,23 @@ def op10_exact(spark: SparkSession, folder: str) -> DataFrame:
     return exact_groups(table(spark, folder, "documents"))
 
 
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whiten(table(spark, folder, "embeddings"))
+
+
+def op12_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.find_licences(table(spark, folder, "documents"))
+
+
+def op13_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_html, op2_simhash, op3_toxicity, op4_mixing, op5_chat, op6_lines, op7_language, op8_personal_data,
-        op9_decontamination, op10_exact, op6_passages,
+        op9_decontamination, op10_exact, op6_passages, op11_whitening, op12_licenses, op13_search,
     )
 }
 SQL = {
@@ -84,4 +98,6 @@ SQL = {
     "op6_lines": sql.LINES,
     "op9_decontamination": sql.DECONTAMINATION,
     "op10_exact": sql.EXACT,
+    "op12_licenses": sql.LICENCES,
+    "op13_search": sql.SEARCH,
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from gradus.llm.licenses import NOTICES
 from gradus.llm.mixing import DIGITS, DIMENSIONS, MARKS, NONE, POWERS, SEED, SWEEPS
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -148,3 +149,58 @@ FROM rows LEFT JOIN fitted USING (source, lang, topic)
 
 
 MIXING = _mixing()
+
+
+SEARCH = rf"""
+WITH docs AS MATERIALIZED (SELECT rid, doc_id, {_WORDS} AS w FROM (SELECT row_number() OVER () AS rid, doc_id, text FROM documents)),
+sizes AS (SELECT rid, doc_id, len(w)::BIGINT AS n FROM docs WHERE len(w) > 0),
+corpus AS (SELECT count(*)::BIGINT AS N_docs, sum(n)::BIGINT AS L FROM sizes),
+wanted AS (SELECT item_id, term, count(*)::BIGINT AS times
+           FROM (SELECT item_id, unnest({_WORDS}) AS term FROM (SELECT DISTINCT item_id, text FROM benchmark)) GROUP BY ALL),
+counts AS (SELECT rid, term, count(*)::BIGINT AS tf
+           FROM (SELECT rid, unnest(w) AS term FROM docs) SEMI JOIN wanted USING (term) GROUP BY ALL),
+weights AS (SELECT term, floor(1000 * ln((2 * any_value(N_docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+            FROM counts, corpus GROUP BY term),
+parts AS (SELECT rid, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + ((75 * n * N_docs) // L)))) AS part
+          FROM counts JOIN sizes USING (rid) JOIN weights USING (term), corpus),
+scores AS (SELECT item_id, rid, doc_id, sum(times * part)::BIGINT AS score FROM wanted JOIN parts USING (term) GROUP BY ALL),
+placed AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id, rid)::INTEGER AS rank FROM scores WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM placed WHERE rank <= 10
+"""
+
+
+def _licences() -> str:
+    notices = [(k, n.label, n.base, w, at, (w, at) in n.mandatory) for k, n in enumerate(NOTICES) for w, at in n.words]
+    listed = ", ".join(f"({k}, '{label}', {base}, '{w}', {at}, {must})" for k, label, base, w, at, must in notices)
+    return rf"""
+WITH notices AS (SELECT * FROM (VALUES {listed}) t(k, label, base, word, off, must)),
+docs AS MATERIALIZED (SELECT rid, doc_id, {_WORDS} AS w FROM (SELECT row_number() OVER () AS rid, doc_id, text FROM documents)),
+places AS MATERIALIZED (
+    SELECT rid, word, i - 1 AS i FROM (SELECT rid, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM docs)
+    WHERE word IN (SELECT word FROM notices)
+), weights AS (
+    SELECT word, ln(((SELECT count(*) FROM docs) + 1)::DOUBLE / (count(DISTINCT rid) + 1)) AS weight
+    FROM (SELECT DISTINCT word FROM notices) LEFT JOIN places USING (word) GROUP BY word
+), found AS (
+    SELECT rid, k, any_value(label) AS label, any_value(base) AS base, i - off AS start
+    FROM places JOIN notices USING (word) WHERE i >= off AND must
+    GROUP BY rid, k, i - off HAVING count(*) = (SELECT count(*) FROM notices m WHERE m.k = notices.k AND must)
+), shares AS (
+    SELECT f.rid, f.k, sum(weight) / (SELECT sum(weight) FROM notices m JOIN weights USING (word) WHERE m.k = f.k) AS share
+    FROM (SELECT DISTINCT found.rid, found.k, n.word, n.off
+          FROM found JOIN notices n USING (k) JOIN places p ON p.rid = found.rid AND p.word = n.word AND p.i = found.start + n.off) f
+    JOIN weights USING (word) GROUP BY f.rid, f.k
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word,
+       last_word::BIGINT AS last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+       round(coalesce(score, 0), 9) AS score
+FROM docs LEFT JOIN (
+    SELECT rid, count(*) FILTER (base) AS n_base, min(start) FILTER (base) AS first_word, max(start) FILTER (base) AS last_word,
+           string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels,
+           string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+    FROM found GROUP BY rid) USING (rid)
+LEFT JOIN (SELECT rid, max(share) AS score FROM shares GROUP BY rid) USING (rid)
+"""
+
+
+LICENCES = _licences()

@@ -71,6 +71,32 @@ def word_pieces(data: bytes, size: int = 1 << 22) -> Iterator[list[bytes]]:
         start = end
 
 
+def text_mark(text: str = "text") -> Column:
+    """A hash of the text, which tells rows of one id apart; a null text is empty."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
+def columns_of(df: DataFrame) -> list[Column]:
+    """All columns, whatever characters their names have."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
+def unused_name(df: DataFrame, stem: str) -> str:
+    """A column name that the frame does not have."""
+    taken = {c.lower() for c in df.columns}
+    while stem.lower() in taken:
+        stem += "_"
+    return stem
+
+
+def without_rows(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows whose id and text are not listed in ``gone`` (doc_id, mark); ids may be null or repeated."""
+    names = unused_name(docs, "_gone_id"), unused_name(docs, "_gone_mark")
+    listed = gone.select(F.col("doc_id").alias(names[0]), F.col("mark").alias(names[1])).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col(names[0])) & (text_mark() == F.col(names[1]))
+    return docs.join(broadcast_if_small(materialise(listed)), same, "left_anti")
+
+
 def keep_matching(df: DataFrame, keys: DataFrame, on: str, how: str = "left_semi") -> DataFrame:
     """Rows with (``left_semi``) or without (``left_anti``) a partner in a list of keys.
 
@@ -80,6 +106,7 @@ def keep_matching(df: DataFrame, keys: DataFrame, on: str, how: str = "left_semi
 
 
 __all__ = [
-    "BATCH_ROWS", "DOCUMENT_COLUMNS", "broadcast_if_small", "draw", "fold", "held_out", "keep_matching", "map_batches",
-    "materialise", "prepare", "table", "trainable", "word_pieces",
+    "BATCH_ROWS", "DOCUMENT_COLUMNS", "broadcast_if_small", "columns_of", "draw", "fold", "held_out", "keep_matching",
+    "map_batches", "materialise", "prepare", "table", "text_mark", "trainable", "unused_name", "without_rows",
+    "word_pieces",
 ]

@@ -11,12 +11,11 @@ import re
 from collections.abc import Iterator
 
 import ahocorasick
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gradus.llm.base import keep_matching, map_batches, materialise, word_pieces
+from gradus.llm.base import map_batches, materialise, text_mark, without_rows, word_pieces
 
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -89,55 +88,63 @@ def _scan(docs: DataFrame, items: list[tuple], window: int) -> DataFrame:
     def run(batches):
         automaton = Automaton(shared.value, window)
         for batch in batches:
-            n_words, spans, who = [], [], []
+            n_words, spans, places, who = [], [], [], []
             for text in batch.column("text").to_pylist():
                 n, found, names = automaton.hits(text)
                 n_words.append(n)
                 spans.append([x for span in found for x in span])
+                places.append([x for place in offsets(text, spans[-1]) for x in place])
                 who.append(names)
             yield pa.RecordBatch.from_arrays(
                 [
                     *(batch.column(c) for c in batch.schema.names if c != "text"),
                     pa.array(n_words, pa.int64()),
                     pa.array(spans, pa.list_(pa.int64())),
+                    pa.array(places, pa.list_(pa.int64())),
                     pa.array(who, pa.list_(pa.string())),
                 ],
-                [*(c for c in batch.schema.names if c != "text"), "n_words", "spans", "items"],
+                [*(c for c in batch.schema.names if c != "text"), "n_words", "spans", "offsets", "items"],
             )
 
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text")
-    return docs.mapInArrow(run, f"{kept}, n_words long, spans array<bigint>, items array<string>")
+    return docs.mapInArrow(run, f"{kept}, n_words long, spans array<bigint>, offsets array<bigint>, items array<string>")
 
 
 def _merge(found: DataFrame) -> DataFrame:
     """Joins what several automata found in the same row."""
 
     def run(batch):
-        spans, who = [], []
-        for parts, names in zip(batch.column("parts").to_pylist(), batch.column("names").to_pylist()):
-            merged = []
-            for start, end in sorted((p[k], p[k + 1]) for p in parts for k in range(0, len(p), 2)):
+        spans, places, who = [], [], []
+        parts = zip(*(batch.column(c).to_pylist() for c in ("parts", "ranges", "names")))
+        for words_hit, ranges, names in parts:
+            # Words before their offsets, so that ranges that meet in words are joined in the text too.
+            ordered = sorted(
+                (p[k], p[k + 1], r[k], r[k + 1]) for p, r in zip(words_hit, ranges) for k in range(0, len(p), 2)
+            )
+            merged: list[list[int]] = []
+            for start, end, low, high in ordered:
                 if merged and merged[-1][1] >= start:
-                    merged[-1][1] = max(merged[-1][1], end)
+                    merged[-1][1], merged[-1][3] = max(merged[-1][1], end), max(merged[-1][3], high)
                 else:
-                    merged.append([start, end])
-            spans.append([x for span in merged for x in span])
+                    merged.append([start, end, low, high])
+            spans.append([x for m in merged for x in m[:2]])
+            places.append([x for m in merged for x in m[2:]])
             who.append(sorted({x for n in names for x in n}))
+        lists = (pa.array(x, pa.list_(pa.int64())) for x in (spans, places))
         yield pa.RecordBatch.from_arrays(
-            [
-                batch.column("doc_id"),
-                batch.column("n_words"),
-                pa.array(spans, pa.list_(pa.int64())),
-                pa.array(who, pa.list_(pa.string())),
-            ],
-            ["doc_id", "n_words", "spans", "items"],
+            [*(batch.column(c) for c in same), *lists, pa.array(who, pa.list_(pa.string()))],
+            [*same, "spans", "offsets", "items"],
         )
 
-    together = found.groupBy("row", "doc_id", "n_words").agg(
-        F.collect_list("spans").alias("parts"), F.collect_list("items").alias("names")
+    same = ["doc_id", "mark", "n_words"]
+    # Lists of one automaton stay side by side.
+    together = found.groupBy("row", *same).agg(F.collect_list(F.struct("spans", "offsets", "items")).alias("parts"))
+    together = together.select(
+        *same, F.col("parts.spans").alias("parts"), F.col("parts.offsets").alias("ranges"), F.col("parts.items").alias("names")
     )
     kind = found.schema["doc_id"].dataType.simpleString()
-    return map_batches(together, run, f"doc_id {kind}, n_words long, spans array<bigint>, items array<string>")
+    schema = f"doc_id {kind}, mark long, n_words long, spans array<bigint>, offsets array<bigint>, items array<string>"
+    return map_batches(together, run, schema)
 
 
 def contamination(
@@ -146,8 +153,9 @@ def contamination(
     """Words of each document that lie in an occurrence of a benchmark window.
 
     Returns one row per input row: doc_id, n_words, spans (starts and ends of the
-    hit word ranges, one after the other), items (names of the items whose windows
-    occur, sorted as text), n_hit, n_items, items_sha256 and contaminated.
+    hit word ranges, one after the other), offsets (the same ranges in code points of
+    the original text), items (names of the items whose windows occur, sorted as
+    text), n_hit, n_items, items_sha256 and contaminated.
 
     The benchmark is broadcast in parts of at most ``automaton_bytes`` (and one
     item) each, and every part is one automaton; one part is the usual case.
@@ -158,7 +166,12 @@ def contamination(
     answer. Further columns, also ones named like the result's, are not read.
     Empty tables give no rows or no hits.
     """
-    docs = docs.select("doc_id", "text")
+    return _contamination(docs, benchmark, window, automaton_bytes).drop("mark")
+
+
+def _contamination(docs: DataFrame, benchmark: DataFrame, window: int, automaton_bytes: int) -> DataFrame:
+    """The rows of ``contamination`` with the marks of their texts."""
+    docs = docs.select("doc_id", "text", text_mark().alias("mark"))
     wanted = benchmark.select("item_id", "text").where("text IS NOT NULL")
     size = wanted.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, -(-size // automaton_bytes))
@@ -179,8 +192,10 @@ def contamination(
     names = F.array_join("items", ",")
     return found.select(
         "doc_id",
+        "mark",
         "n_words",
         "spans",
+        "offsets",
         "items",
         ends.alias("n_hit"),
         F.size("items").cast("long").alias("n_items"),
@@ -190,16 +205,28 @@ def contamination(
 
 
 def offsets(text: str | None, spans: list[int]) -> list[tuple[int, int]]:
-    """Code point ranges in the original text of ranges of words."""
+    """Code point ranges in the original text of ranges of words, which ascend."""
+    found: list[int] = []
+    if not spans:
+        return []
     data = (text or "").encode()
-    places = [m.span() for m in WORD.finditer(data.translate(FOLD))]
-    at = np.cumsum([0, *((b & 0xC0) != 0x80 for b in data)])
-    return [
-        (int(at[places[spans[k]][0]]), int(at[places[spans[k + 1] - 1][1]])) for k in range(0, len(spans), 2)
-    ]
+    wanted = [spans[k] if k % 2 == 0 else spans[k] - 1 for k in range(len(spans))]
+    byte = points = 0
+    for number, m in enumerate(WORD.finditer(data.translate(FOLD))):
+        while len(found) < len(wanted) and wanted[len(found)] == number:
+            at = m.start() if len(found) % 2 == 0 else m.end()
+            points += len(data[byte:at].decode())
+            byte = at
+            found.append(points)
+        if len(found) == len(wanted):
+            break
+    return list(zip(found[::2], found[1::2]))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that are not contaminated; all columns stay, rows without an id too."""
-    gone = materialise(contamination(docs, benchmark).where("contaminated AND doc_id IS NOT NULL").select("doc_id"))
-    return keep_matching(docs, gone.distinct(), "doc_id", "left_anti")
+    """The documents that are not contaminated; all columns stay.
+
+    Nulls and edges: as ``contamination``; the verdict is that of the row, so ids may be null or repeated.
+    """
+    found = _contamination(docs, benchmark, WINDOW, AUTOMATON_BYTES)
+    return without_rows(docs, found.where("contaminated").select("doc_id", "mark"))

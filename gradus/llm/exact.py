@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gradus.llm.base import keep_matching, map_batches, materialise
+from gradus.llm.base import keep_matching, map_batches, materialise, text_mark, without_rows
 
 # Runs of white space that are not one plain space already.
 SPACE_RUN = re.compile(rb"[\t-\r][\t-\r ]*| [\t-\r ]+")
@@ -76,13 +76,21 @@ def _recipes(docs: DataFrame, hash_bits: int) -> DataFrame:
             size.append(len(data))
             recipe.append([number for number, _ in chunks(data, hash_bits)])
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(sha), pa.array(size, pa.int64()), pa.array(recipe, pa.list_(pa.int64()))],
-            ["doc_id", "text_sha256", "n_bytes", "recipe"],
+            [
+                batch.column("doc_id"),
+                batch.column("mark"),
+                pa.array(sha),
+                pa.array(size, pa.int64()),
+                pa.array(recipe, pa.list_(pa.int64())),
+            ],
+            ["doc_id", "mark", "text_sha256", "n_bytes", "recipe"],
         )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return map_batches(
-        docs.select("doc_id", "text"), run, f"doc_id {kind}, text_sha256 string, n_bytes long, recipe array<bigint>"
+        docs.select("doc_id", "text", text_mark().alias("mark")),
+        run,
+        f"doc_id {kind}, mark long, text_sha256 string, n_bytes long, recipe array<bigint>",
     )
 
 
@@ -138,6 +146,11 @@ def exact_groups(docs: DataFrame, hash_bits: int = HASH_BITS) -> DataFrame:
 
     ``hash_bits`` shortens the chunk hashes, for tests of the byte comparison.
     """
+    return _groups(docs, hash_bits).drop("mark")
+
+
+def _groups(docs: DataFrame, hash_bits: int) -> DataFrame:
+    """The rows of ``exact_groups`` with the marks of their texts."""
     recipes = materialise(_recipes(docs, hash_bits))
     repeated = materialise(
         recipes.groupBy("n_bytes", "recipe").agg(F.min("doc_id").alias("low"), F.count("*").alias("n")).where("n > 1")
@@ -176,6 +189,7 @@ def exact_groups(docs: DataFrame, hash_bits: int = HASH_BITS) -> DataFrame:
     found = named.join(groups, same, "left")
     return found.select(
         "doc_id",
+        "mark",
         F.when(F.col("n").isNull(), F.col("doc_id")).otherwise(F.col("low")).alias("keep_id"),
         F.coalesce("n", F.lit(1)).cast("long").alias("group_size"),
         (F.col("n").isNull() | F.col("doc_id").eqNullSafe(F.col("low"))).alias("kept"),
@@ -186,7 +200,8 @@ def exact_groups(docs: DataFrame, hash_bits: int = HASH_BITS) -> DataFrame:
 def drop_exact(docs: DataFrame, hash_bits: int = HASH_BITS) -> DataFrame:
     """The documents without the copies of an earlier text; all columns stay.
 
-    Rows with a null doc_id are only dropped by name and so stay.
+    Nulls and edges: as ``exact_groups``; the verdict is that of the row. So another text of a repeated
+    doc_id stays, rows that repeat id and text go or stay together, and a row without an id goes
+    where a row with an id has its text.
     """
-    gone = materialise(exact_groups(docs, hash_bits).where("NOT kept AND doc_id IS NOT NULL").select("doc_id"))
-    return keep_matching(docs, gone.distinct(), "doc_id", "left_anti")
+    return without_rows(docs, _groups(docs, hash_bits).where("NOT kept").select("doc_id", "mark"))

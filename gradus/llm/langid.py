@@ -259,11 +259,14 @@ def drop_unidentified(docs: DataFrame, model: LanguageModel, least_score: float
 
     The posterior says only which known language is nearest. A text in none of them, or of stray
     letters, is told by its mean log-probability per n-gram, see ``LanguageModel.fits``.
-    Works in one pass: the verdict comes with the row, so ids may be null or repeated.
+    Works in one pass: the verdict comes with the row, so ids may be null or repeated. Null, empty
+    and letterless texts go. Columns may have any names.
     """
-    names, fits = ("language found", "language score"), "language fits"
-    found = predict_language(docs, model, names, keep_text=True, fits=fits)
-    return found.where((F.col(names[0]) != UNKNOWN) & (F.col(names[1]) >= least_score) & F.col(fits)).select(*docs.columns)
+    # The columns go by their places meanwhile.
+    plain = [c if c == "text" else f"c{k}" for k, c in enumerate(docs.columns)]
+    found = predict_language(docs.toDF(*plain), model, keep_text=True, fits="fits")
+    known = (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score) & F.col("fits")
+    return found.where(known).select(*plain).toDF(*docs.columns)
 
 
 __all__ = ["LanguageModel", "drop_unidentified", "predict_language", "train_language_model"]

@@ -3,8 +3,8 @@
 A text is read once: the places of all words that any notice has. Over the corpus these
 words get an inverse document frequency. Each notice is looked up by its rarest words: a
 place of such a word, less the word's place in the notice, is a place where the notice may
-begin, and the rare words must agree on it. There the mandatory words are verified; the
-other words of the notice only count for the score.
+begin, and the rare words must agree on it. There the other mandatory words are verified,
+from rare to common; the rest of the notice only counts for the score.
 """
 
 from __future__ import annotations
@@ -28,10 +28,8 @@ BASE = (
 # Words of notices that are too common to be looked up; they only take up their place.
 COMMON = frozenset("a and any are for in is it of on or that the this to under with you".split())
 
-# Rarest words that a notice is looked up by.
-LOOKUPS = 3
-
-WORD = r"[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
+# What stands between words.
+GAP = r"[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
 
 
 @dataclass(frozen=True)
@@ -118,14 +116,16 @@ def licence_words(docs: DataFrame, names: list[str]) -> DataFrame:
     listed = ", ".join(f"'{w}'" for w in names)
     numbers = f"map({', '.join(f"'{w}', {k}" for k, w in enumerate(names))})"
     hit = f"lower(get(ws, i)) IN ({listed}) AND octet_length(get(ws, i)) = octet_length(lower(get(ws, i)))"
-    # One binding of the words, so that the text is cut once.
+    # A text that begins or ends with a gap has an empty part there.
+    first, last = "if(get(ws, 0) = '', 1, 0)", "if(size(ws) > 1 AND get(ws, size(ws) - 1) = '', 1, 0)"
     found = (
-        "if(size(ws) = 0, cast(array() AS array<struct<w: int, i: int>>), "
         f"transform(filter(sequence(0, size(ws) - 1), i -> {hit}), "
-        f"i -> struct({numbers}[lower(get(ws, i))] AS w, i AS i)))"
+        f"i -> struct({numbers}[lower(get(ws, i))] AS w, i - {first} AS i))"
     )
-    cut = f"regexp_extract_all(coalesce(text, ''), '{WORD}', 0)"
-    both = f"element_at(transform(array({cut}), ws -> struct(cast(size(ws) AS bigint) AS n_words, {found} AS hits)), 1)"
+    # One binding of the parts, so that the text is cut once.
+    cut = f"split(coalesce(text, ''), '{GAP}', -1)"
+    n_words = f"cast(size(ws) - {first} - {last} AS bigint)"
+    both = f"element_at(transform(array({cut}), ws -> struct({n_words} AS n_words, {found} AS hits)), 1)"
     return docs.select("doc_id", F.expr(both).alias("_r")).select("doc_id", "_r.n_words", "_r.hits")
 
 
@@ -137,20 +137,53 @@ def inverse_frequencies(rows: DataFrame, names: list[str]) -> list[float]:
     return [math.log((total + 1) / (held.get(k, 0) + 1)) for k in range(len(names))]
 
 
-def _starts(number: int, offset: int) -> Column:
-    """Places where a notice may begin that has the word at ``offset``."""
-    of_word = F.filter("hits", lambda h: h["w"] == number)
-    return F.filter(F.transform(of_word, lambda h: h["i"] - offset), lambda at: at >= 0)
+def _plan(notices: tuple[Notice, ...], names: list[str], weights: list[float]) -> str:
+    """SQL for the notices: mandatory words, the rarest first, then the others with their weights."""
+    number = {w: k for k, w in enumerate(names)}
+    rows = []
+    for one in notices:
+        by_rarity = sorted(one.words, key=lambda p: (-weights[number[p[0]]], p[1]))
+        must = [f"struct({number[w]} AS w, {k} AS o)" for w, k in by_rarity if (w, k) in one.mandatory]
+        more = [
+            f"struct({number[w]} AS w, {k} AS o, {weights[number[w]]!r}D AS weight)"
+            for w, k in by_rarity
+            if (w, k) not in one.mandatory
+        ]
+        total = sum(weights[number[w]] for w, _ in one.words)
+        sure = sum(weights[number[w]] for w, _ in one.mandatory)
+        listed = f"array({', '.join(more)})" if more else "cast(array() AS array<struct<w: int, o: int, weight: double>>)"
+        rows.append(
+            f"struct('{one.label}' AS label, {str(one.base).lower()} AS base, array({', '.join(must)}) AS must, "
+            f"{listed} AS more, {sure!r}D AS sure, {total!r}D AS total)"
+        )
+    return f"array({', '.join(rows)})"
+
+
+# Places of each licence word that the text has.
+_PLACES = (
+    "map_from_entries(transform(array_distinct(hits.w), "
+    "w -> struct(w, transform(filter(hits, h -> h.w = w), h -> h.i))))"
+)
+
+_NONE = "cast(array() AS array<int>)"
+
+
+def _starts(word: str) -> str:
+    """SQL for the places where a notice may begin that has the word."""
+    return f"transform(coalesce(places[{word}.w], {_NONE}), i -> i - {word}.o)"
+
+
+# The rarest words of a notice agree on its places; if they agree on none, no other word is looked up.
+_AGREED = (
+    f"aggregate(slice(t.must, 2, size(t.must)), filter({_starts('t.must[0]')}, i -> i >= 0), "
+    f"(found, p) -> if(size(found) = 0, found, array_intersect(found, {_starts('p')})))"
+)
 
 
-def _agreed(words: list[tuple[int, int]]) -> Column:
-    found = _starts(*words[0])
-    for word in words[1:]:
-        found = F.array_intersect(found, _starts(*word))
-    return found
+_FOUND = "array<struct<label: string, base: boolean, n: int, low: int, high: int, share: double>>"
 
 
-def find_licences(docs: DataFrame, notices: tuple[Notice, ...] = NOTICES, lookups: int = LOOKUPS) -> DataFrame:
+def find_licences(docs: DataFrame, notices: tuple[Notice, ...] = NOTICES) -> DataFrame:
     """Places of licence phrases in every document, and the licences they stand for.
 
     Returns one row per input row: doc_id, n_words, n_base (places of the base phrases),
@@ -164,58 +197,34 @@ def find_licences(docs: DataFrame, notices: tuple[Notice, ...] = NOTICES, lookup
     columns, also ones named like the result's, are not read. An empty table gives no rows.
     """
     names = vocabulary(notices)
-    number = {w: k for k, w in enumerate(names)}
     rows = materialise(licence_words(docs, names))
-    weights = inverse_frequencies(rows, names)
-
-    def numbered(words: tuple[tuple[str, int], ...]) -> list[tuple[int, int]]:
-        """Words by their numbers, the rarest first."""
-        own = [(number[w], k) for w, k in words]
-        return sorted(own, key=lambda p: (-weights[p[0]], p[1]))
-
-    empty = F.array().cast("array<int>")
-    places, completed = {}, {}
-    for k, one in enumerate(notices):
-        must = numbered(one.mandatory)
-        places[f"_c{k}"] = _agreed(must[:lookups])
-        # Where the rarest words agree on no place, nothing is left to verify.
-        rest = F.array_intersect(F.col(f"_c{k}"), _agreed(must[lookups:])) if must[lookups:] else F.col(f"_c{k}")
-        completed[f"_p{k}"] = F.when(F.size(f"_c{k}") > 0, rest).otherwise(empty)
-    found = rows.withColumns(places).withColumns(completed)
-
-    def share(k: int, one: Notice) -> Column:
-        total = sum(weights[number[w]] for w, _ in one.words)
-        sure = sum(weights[number[w]] for w, _ in one.mandatory)
-        optional = [p for p in numbered(one.words) if p not in set(numbered(one.mandatory))]
-        if not optional or total == 0:
-            value = F.lit(1.0)
-        else:
-            value = F.lit(sure)
-            for p in optional:
-                value = value + F.when(F.arrays_overlap(F.col(f"_p{k}"), _starts(*p)), weights[p[0]]).otherwise(0.0)
-            value = value / F.lit(total)
-        return F.when(F.size(f"_p{k}") > 0, value).otherwise(0.0)
-
-    base = [k for k, one in enumerate(notices) if one.base]
-    lowest = F.array(*(F.array_min(f"_p{k}") for k in base))
-    highest = F.array(*(F.array_max(f"_p{k}") for k in base))
-
-    def labels(wanted: list[int]) -> Column:
-        named = F.array(*(F.when(F.size(f"_p{k}") > 0, notices[k].label) for k in wanted))
-        return F.array_join(F.array_sort(F.array_distinct(F.array_compact(named))), ",")
-
-    n_base = F.lit(0).cast("long")
-    for k in base:
-        n_base = n_base + F.size(f"_p{k}")
-    return found.select(
+    plan = _plan(notices, names, inverse_frequencies(rows, names))
+    share = (
+        "if(t.total = 0 OR size(t.more) = 0, 1D, (t.sure + aggregate(t.more, 0D, "
+        f"(sum, p) -> sum + if(arrays_overlap(at, {_starts('p')}), p.weight, 0D))) / t.total)"
+    )
+    # Places of words and of notices are bound once each.
+    each = (
+        f"transform(filter(transform({plan}, t -> struct(t, {_AGREED} AS at)), f -> size(f.at) > 0), "
+        f"f -> element_at(transform(array(f.t), t -> element_at(transform(array(f.at), at -> struct(t.label AS label, "
+        f"t.base AS base, size(at) AS n, array_min(at) AS low, array_max(at) AS high, {share} AS share)), 1)), 1))"
+    )
+    found = f"if(size(hits) = 0, NULL, element_at(transform(array({_PLACES}), places -> {each}), 1))"
+    known = rows.withColumn("found", F.coalesce(F.expr(found), F.array().cast(_FOUND)))
+    known = known.withColumn("based", F.filter("found", lambda f: f["base"]))
+
+    def labels(column: str) -> Column:
+        return F.array_join(F.array_sort(F.array_distinct(F.col(f"{column}.label"))), ",")
+
+    return known.select(
         "doc_id",
         "n_words",
-        n_base.alias("n_base"),
-        F.array_min(lowest).cast("long").alias("first_word"),
-        F.array_max(highest).cast("long").alias("last_word"),
-        labels(base).alias("base_labels"),
-        labels(list(range(len(notices)))).alias("labels"),
-        F.round(F.array_max(F.array(*(share(k, one) for k, one in enumerate(notices)))), 9).alias("score"),
+        F.aggregate("based", F.lit(0).cast("long"), lambda n, f: n + f["n"]).alias("n_base"),
+        F.array_min("based.low").cast("long").alias("first_word"),
+        F.array_max("based.high").cast("long").alias("last_word"),
+        labels("based").alias("base_labels"),
+        labels("found").alias("labels"),
+        F.round(F.coalesce(F.array_max("found.share"), F.lit(0.0)), 9).alias("score"),
     )
 
 

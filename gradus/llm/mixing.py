@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gradus.functions.scalars import hash_uniform
-from gradus.llm.base import materialise
+from gradus.llm.base import columns_of, materialise
 
 DIMENSIONS = ("source", "lang", "topic")
 
@@ -139,7 +139,7 @@ def mix(docs: DataFrame, targets: dict[str, DataFrame] | None = None, rate: floa
     sample_weight and sampled. Without ``targets`` shares are tempered (``POWERS``).
 
     Nulls and edges: a null source or language counts as the value "(none)"; null and
-    empty texts are brief, have no tokens, and get probability 0; a null id draws
+    empty texts are brief and have no tokens, and a cell without tokens gets probability 0; a null id draws
     like an empty one, and rows that repeat an id draw alike. Further columns, also
     ones named like the result's, are not read. An empty table gives no rows.
     """
@@ -150,8 +150,12 @@ def mix(docs: DataFrame, targets: dict[str, DataFrame] | None = None, rate: floa
 
 
 def sample_mixed(docs: DataFrame, targets: dict[str, DataFrame] | None = None, rate: float = 1.0) -> DataFrame:
-    """The sampled documents with all columns and ``sample_weight``, which replaces a column of that name."""
-    columns = [c for c in docs.columns if c != "sample_weight"]
-    calibrated = calibrate(docs.select(*_places()), targets, rate)
-    rows = docs.select(F.struct(*columns).alias("row"), "doc_id", *_places())
+    """The sampled documents with all columns and ``sample_weight``, which replaces a column of that name.
+
+    Nulls and edges: as ``mix``. Columns may have any names.
+    The cells of the rows are worked out once and written beside them.
+    """
+    docs = docs.drop("sample_weight")
+    rows = materialise(docs.select(F.struct(*columns_of(docs)).alias("row"), "doc_id", *_places()))
+    calibrated = calibrate(rows.select(*DIMENSIONS, "tokens"), targets, rate)
     return _drawn(rows, calibrated).where("sampled").select("row.*", "sample_weight")

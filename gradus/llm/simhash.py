@@ -16,7 +16,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gradus.llm.base import broadcast_if_small, keep_matching, map_batches, materialise, word_pieces
+from gradus.llm.base import (
+    broadcast_if_small, keep_matching, map_batches, materialise, text_mark, without_rows, word_pieces,
+)
 
 # Lower-cases A-Z and makes tab to carriage return spaces.
 FOLD = bytes(b + 32 if 65 <= b <= 90 else 32 if 9 <= b <= 13 else b for b in range(256))
@@ -52,14 +54,17 @@ def fingerprint(text: str | None) -> int:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id and fingerprint (as a signed number) of every row."""
+    """doc_id, mark of the text and fingerprint (as a signed number) of every row."""
 
     def run(batch):
         found = np.array([fingerprint(t) for t in batch.column("text").to_pylist()], np.uint64)
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found.view(np.int64))], ["doc_id", "fp"])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), batch.column("mark"), pa.array(found.view(np.int64))], ["doc_id", "mark", "fp"]
+        )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return map_batches(docs.select("doc_id", "text"), run, f"doc_id {kind}, fp long")
+    marked = docs.select("doc_id", "text", text_mark().alias("mark"))
+    return map_batches(marked, run, f"doc_id {kind}, mark long, fp long")
 
 
 def _counts(half: Column) -> Column:
@@ -172,6 +177,13 @@ def near_groups(docs: DataFrame, crowd: int = CROWD, block: int = BLOCK) -> Data
     returned. Further columns, also ones named like the result's, are not read.
     An empty table gives no rows.
     """
+    return _near_rows(docs, crowd, block).select(
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
+    )
+
+
+def _near_rows(docs: DataFrame, crowd: int = CROWD, block: int = BLOCK) -> DataFrame:
+    """doc_id, mark, fp and component_id of every row."""
     rows = materialise(fingerprints(docs))
     prints = materialise(rows.groupBy("fp").agg(F.min("doc_id").alias("low")))
     stars = components(links(prints.select("fp"), crowd, block))
@@ -186,15 +198,15 @@ def near_groups(docs: DataFrame, crowd: int = CROWD, block: int = BLOCK) -> Data
     known = shared.join(lowest, "root").select("fp", "component_id").unionByName(
         rooted.where("r IS NULL").select("fp", F.col("low").alias("component_id"))
     )
-    return rows.join(materialise(known), "fp").select(
-        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
-    )
+    return rows.join(materialise(known), "fp").select("doc_id", "mark", "fp", "component_id")
 
 
 def drop_near(docs: DataFrame) -> DataFrame:
     """One document of each component, the one with the smallest id; all columns stay.
 
-    Rows with a null doc_id are only dropped by name and so stay.
+    Nulls and edges: as ``near_groups``; the verdict is that of the row. So another text of a repeated
+    doc_id stays unless it is in the component of a smaller id, rows that share the smallest id
+    all stay, a row without an id goes where its component has one, and stays otherwise.
     """
-    gone = near_groups(docs).where("doc_id IS NOT NULL AND doc_id <> component_id").select("doc_id")
-    return keep_matching(docs, materialise(gone.distinct()), "doc_id", "left_anti")
+    gone = _near_rows(docs).where("component_id IS NOT NULL AND NOT doc_id <=> component_id")
+    return without_rows(docs, gone.select("doc_id", "mark"))

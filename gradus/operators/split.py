@@ -10,6 +10,10 @@ from gradus.operators.ranking import global_row_number, running_totals
 from gradus.session import broadcast_if_small, materialise
 
 
+# Parts of the draws that are counted to find where a test side ends.
+DRAW_PARTS = 1 << 16
+
+
 def fold_draw(key: str, folds: int, sample: int, seed: int) -> Column:
     """Fold a row falls in when the given sample is drawn."""
     return F.floor(hash_uniform(f"{seed}-{sample}", F.col(key)) * folds)
@@ -89,8 +93,19 @@ def random_or_column_split(
         return train, labelled.where(F.col(split_col) == 0).drop(split_col)
     drawn = labelled.withColumn("_u", hash_uniform(seed, F.col(key)))
     train = drawn.where(F.col("_u") <= train_size).drop("_u")
-    cap = int(labelled.count() * min(1 - train_size, 0.2))
-    ranked = global_row_number(
-        drawn.where(F.col("_u") > train_size), [F.col("_u"), F.col(key)], "_rank"
-    )
-    return train, ranked.where(F.col("_rank") <= cap).drop("_u", "_rank")
+    rest = drawn.where(F.col("_u") > train_size)
+    # A histogram of the draws tells which of them is the last to be tested on; only those around it are ranked.
+    part = F.floor(F.col("_u") * DRAW_PARTS).cast("long")
+    sizes = drawn.select(F.when(F.col("_u") <= train_size, -1).otherwise(part).alias("p")).groupBy("p").count()
+    counted = {r["p"]: r["count"] for r in sizes.collect()}
+    cap = int(sum(counted.values()) * min(1 - train_size, 0.2))
+    below = 0
+    for last in sorted(p for p in counted if p >= 0):
+        if below + counted[last] > cap:
+            break
+        below += counted[last]
+    else:
+        return train, rest.drop("_u")
+    ranked = global_row_number(rest.where(part == last), [F.col("_u"), F.col(key)], "_rank")
+    tested = rest.where(part < last).unionByName(ranked.where(F.col("_rank") <= cap - below).drop("_rank"))
+    return train, tested.drop("_u")

@@ -11,19 +11,14 @@ from datetime import datetime, timezone
 from decimal import Decimal
 
 from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.ml.classification import (
-    GBTClassificationModel,
-    GBTClassifier,
-    OneVsRest,
-    OneVsRestModel,
-    RandomForestClassificationModel,
-    RandomForestClassifier,
-)
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gradus.operators.boost import BoostSettings, bin_rows, boost
+from gradus.operators.ensemble import NODE_SCHEMA, Ensemble, node_table_splits, score
 from gradus.operators.evaluate import class_metrics, roc_auc_per_class, roc_curve_per_class, roc_sample
 from gradus.operators.prep import as_double, feature_names
 from gradus.operators.split import random_or_column_split
@@ -67,21 +62,6 @@ def class_weights(df: DataFrame, label: str, user: Mapping | None = None) -> Dat
     return with_row(rare, norm).select("class", (F.col("_r") / F.col("_sum")).alias("weight"))
 
 
-def _gbt(params: Mapping, seed: int) -> GBTClassifier:
-    """Boosted trees from the usual parameter names."""
-    p = dict(params)
-    trainer = GBTClassifier(
-        featuresCol="_x", labelCol="_y", weightCol="_w", seed=seed,
-        stepSize=float(p.pop("learning_rate", 0.1)),
-        maxDepth=_depth(p.pop("max_depth", 3)),
-        subsamplingRate=float(p.pop("subsample", 1.0)),
-        featureSubsetStrategy=_share(p.pop("colsample_bytree", 1.0)),
-        minInstancesPerNode=max(1, round(float(p.pop("min_child_weight", 1)))),
-        maxIter=int(p.pop("n_estimators", 100)),
-    )
-    return _refuse_unknown(trainer, p)
-
-
 def _forest(params: Mapping, seed: int) -> RandomForestClassifier:
     p = dict(params)
     trainer = RandomForestClassifier(
@@ -105,13 +85,13 @@ def _depth(value) -> int:
     return int(value)
 
 
-def _share(value) -> str:
-    return "all" if float(value) >= 1.0 else str(float(value))
-
-
 @dataclass(frozen=True)
 class TreeModel:
-    """A fitted ensemble with the features and classes it was trained on, and the splits that use each feature."""
+    """A fitted ensemble with the features and classes it was trained on, and the splits that use each feature.
+
+    ``fitted`` is an ``Ensemble`` (boosted trees) or a model of the forest trainer, whose missing
+    values (in the features named in ``nullable``) become 0 beside an indicator.
+    """
 
     kind: str
     features: tuple[str, ...]
@@ -159,27 +139,15 @@ def _settled(df: DataFrame, key: str) -> DataFrame:
     return df.repartition(parts, F.xxhash64(key)).sortWithinPartitions(F.xxhash64(key), key)
 
 
-def _probabilities(scored: DataFrame, model: TreeModel) -> DataFrame:
-    """Class probabilities as an array; margins of one-against-rest runs are normalised."""
-    if isinstance(model.fitted, OneVsRestModel):
-        margin = F.transform(
-            vector_to_array("rawPrediction"), lambda r: F.lit(1.0) / (F.lit(1.0) + F.exp(-2.0 * r))
-        )
-        total = F.aggregate("_m", F.lit(0.0), lambda s, p: s + p)
-        shares = scored.withColumn("_m", margin)
-        return shares.withColumn("_probs", F.transform("_m", lambda p: p / total)).drop("_m")
-    return scored.withColumn("_probs", vector_to_array("probability"))
-
-
 def _class_of(index: Column, classes: Sequence) -> Column:
     return F.element_at(F.array(*[F.lit(c) for c in classes]), index.cast("int") + 1)
 
 
 def split_importance(spark: SparkSession, model: TreeModel, path: str) -> DataFrame:
     """How many splits of the saved ensemble use each feature, most first."""
-    binary = not isinstance(model.fitted, OneVsRestModel)
-    folders = [path] if binary else [f"{path}/model_{i}" for i in range(len(model.classes))]
-    nodes = spark.read.parquet(*[f"{f}/data" for f in folders]).select("nodeData.*")
+    if isinstance(model.fitted, Ensemble):
+        return node_table_splits(spark.read.schema(NODE_SCHEMA).parquet(path))
+    nodes = spark.read.parquet(f"{path}/data").select("nodeData.*")
     inputs = F.array(*[F.lit(n) for n in model.inputs()])
     used = nodes.where(F.col("leftChild") >= 0).select(
         F.element_at(inputs, F.col("split.featureIndex") + 1).alias("_input")
@@ -189,13 +157,12 @@ def split_importance(spark: SparkSession, model: TreeModel, path: str) -> DataFr
 
 
 def _gains(model: TreeModel) -> dict[str, float]:
-    """Gain importance per feature, indicators counted with their feature."""
-    parts = model.fitted.models if isinstance(model.fitted, OneVsRestModel) else [model.fitted]
+    """Share of each feature in the gain, indicators counted with their feature."""
+    if isinstance(model.fitted, Ensemble):
+        return model.fitted.gains()
     out = dict.fromkeys(model.features, 0.0)
-    for part in parts:
-        gains = part.featureImportances.toArray()
-        for name, gain in zip(model.inputs(), gains):
-            out[name.removesuffix(MISSING)] += float(gain) / len(parts)
+    for name, gain in zip(model.inputs(), model.fitted.featureImportances.toArray()):
+        out[name.removesuffix(MISSING)] += float(gain)
     return out
 
 
@@ -238,26 +205,40 @@ def _grid_search(
         raise ValueError("a classifier needs at least two classes in the training rows")
     weight_of = {r["class"]: r["weight"] for r in class_weights(train, label, weights).collect()}
 
-    # Trees sample rows by partition and place, so both are fixed by the ids.
-    coded = _settled(_coded(train, label, classes, weight_of), id_col)
-    fit_on = _vectors(coded, cols, nullable, [F.col("_y"), F.col("_w")]).persist(StorageLevel.MEMORY_AND_DISK)
-    test_on = _vectors(test, cols, nullable, [F.col(id_col), F.col(label)]).persist()
+    coded = _coded(train, label, classes, weight_of)
     root = f"{shared_folder(spark)}/trees-{uuid.uuid4().hex}"
-    make = _gbt if kind == "gbt" else _forest
+    points = list(enumerate(expand_grid(grid), start=1))
+    test = test.select(id_col, label, *cols).persist(StorageLevel.MEMORY_AND_DISK)
+    if kind == "gbt":
+        settings = [BoostSettings.of(params, seed) for _, params in points]
+        binned = bin_rows(coded, id_col, cols, F.col("_y"), F.col("_w"), len(classes))
+        held = [binned.blocks, test]
+
+        def train_point(index: int, params: dict) -> TreeModel:
+            model = boost(binned, settings[index - 1])
+            model.save(spark, f"{root}/{index}")
+            return TreeModel(kind, tuple(cols), tuple(nullable), classes, model)
+
+    else:
+        # Forests sample rows by partition and place, so both are fixed by the ids.
+        settled = _settled(coded, id_col)
+        fit_on = _vectors(settled, cols, nullable, [F.col("_y"), F.col("_w")]).persist(StorageLevel.MEMORY_AND_DISK)
+        held = [fit_on, test]
+
+        def train_point(index: int, params: dict) -> TreeModel:
+            fitted = _forest(params, seed).fit(fit_on)
+            fitted.write().save(f"{root}/{index}")
+            return TreeModel(kind, tuple(cols), tuple(nullable), classes, fitted)
 
     def fit(point: tuple[int, dict]) -> tuple:
         index, params = point
-        trainer = make(params, seed)
-        if kind == "gbt" and len(classes) != 2:
-            trainer = OneVsRest(classifier=trainer, featuresCol="_x", labelCol="_y", weightCol="_w")
-        model = TreeModel(kind, tuple(cols), tuple(nullable), classes, trainer.fit(fit_on))
-        path = f"{root}/{index}"
-        model.fitted.write().save(path)
-        said = model.fitted.transform(test_on).select(
-            label, _class_of(F.col("prediction"), classes).alias("_said")
-        )
-        rated = {r["class"]: r for r in class_metrics(said, label, "_said").collect()}
-        splits = [tuple(r) for r in split_importance(spark, model, path).collect()]
+        model, path = train_point(index, params), f"{root}/{index}"
+        said = tree_score(test, id_col, model, label)
+        rated = {r["class"]: r for r in class_metrics(said, label, f"{label}_predicted").collect()}
+        if kind == "gbt":
+            splits = sorted(model.fitted.splits().items(), key=lambda p: (-p[1], p[0]))
+        else:
+            splits = [tuple(r) for r in split_importance(spark, model, path).collect()]
         model = replace(model, splits=tuple((f, float(n)) for f, n in splits))
         gains = _gains(model)
 
@@ -273,15 +254,14 @@ def _grid_search(
         )
         return index, model, row
 
-    points = list(enumerate(expand_grid(grid), start=1))
     with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(points)))) as pool:
         done = list(pool.map(inheritable_thread_target(spark)(fit), points))
     rows = [row for _, _, row in done]
     return GridRun(
         spark.createDataFrame(rows, RESULT_SCHEMA),
         {index: model for index, model, _ in done},
-        test_on.select(id_col),
-        [fit_on, test_on],
+        test.select(id_col),
+        held,
     )
 
 
@@ -290,7 +270,10 @@ def gbt_grid_search(
     weights: Mapping | None = None, train_size: float = 0.8, split_col: str | None = None,
     seed: int = 42, parallelism: int = 4, name: str = "gbt",
 ) -> GridRun:
-    """Boosted trees at every grid point, fitted side by side on one cached frame."""
+    """Boosted trees at every grid point, fitted side by side on one frame of binned rows.
+
+    Parameters are those of ``BoostSettings``. Missing values go to the side that a split has learned.
+    """
     return _grid_search("gbt", df, id_col, label, exclude, grid or {}, weights, train_size, split_col, seed, parallelism, name)
 
 
@@ -313,24 +296,27 @@ def load_model(results: DataFrame, where: Column) -> TreeModel:
     if row is None:
         raise ValueError("no grid row passes the filter")
     classes = tuple(_CLASS_READERS[row["class_type"]](c) for c in row["classes"])
+    splits = tuple(zip(row["fnames"], row["f_importances"]))
     if row["kind"] == "rf":
-        reader = RandomForestClassificationModel
+        fitted = RandomForestClassificationModel.load(row["model_path"])
     else:
-        reader = GBTClassificationModel if len(classes) == 2 else OneVsRestModel
-    splits = tuple(zip(row["fnames"], row["f_importances"]))
-    return TreeModel(
-        row["kind"], tuple(row["features"]), tuple(row["nullable"]), classes, reader.load(row["model_path"]), splits
-    )
+        fitted = Ensemble.load(results.sparkSession, row["model_path"], row["features"], len(classes))
+    return TreeModel(row["kind"], tuple(row["features"]), tuple(row["nullable"]), classes, fitted, splits)
 
 
 def tree_score(df: DataFrame, id_col: str, model: TreeModel, label: str | None = None) -> DataFrame:
     """Rows (id, predicted class, class probabilities), with the label if there is one."""
     stem = label or "class_label"
     keep = [F.col(id_col), *([F.col(label)] if label else [])]
-    scored = _probabilities(model.fitted.transform(_vectors(df, model.features, model.nullable, keep)), model)
+    if isinstance(model.fitted, Ensemble):
+        scored, at = score(df, model.fitted, keep), F.col("_at")
+    else:
+        scored = model.fitted.transform(_vectors(df, model.features, model.nullable, keep))
+        scored, at = scored.withColumn("_probs", vector_to_array("probability")), F.col("prediction")
     return scored.select(
-        *keep,
-        _class_of(F.col("prediction"), model.classes).alias(f"{stem}_predicted"),
+        id_col,
+        *([label] if label else []),
+        _class_of(at, model.classes).alias(f"{stem}_predicted"),
         F.col("_probs").alias(f"{stem}_proba_predicted"),
     )
 

@@ -57,19 +57,32 @@ def materialise(df: DataFrame) -> DataFrame:
     read by column, and lets later joins see its real size. The copy survives
     the loss of executors.
     """
+    return materialise_at(df)[0]
+
+
+def materialise_at(df: DataFrame) -> tuple[DataFrame, str]:
+    """As ``materialise``, with the folder of the copy, for ``drop_path``."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/gradus-{uuid.uuid4().hex}"
     df.write.parquet(path)
     _written.setdefault(spark.sparkContext.applicationId, []).append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete one written copy that is no longer read."""
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
+    known = _written.get(context.applicationId, [])
+    if path in known:
+        known.remove(path)
 
 
 def drop_copies(spark: SparkSession) -> None:
     """Delete the copies that ``materialise`` wrote in this application, once their results are no longer read."""
-    context = spark.sparkContext
-    for path in _written.pop(context.applicationId, []):
-        place = context._jvm.org.apache.hadoop.fs.Path(path)
-        place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
+    for path in list(_written.get(spark.sparkContext.applicationId, [])):
+        drop_path(spark, path)
 
 
 def hold(df: DataFrame) -> DataFrame:

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Generator, Iterator, Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -21,34 +23,70 @@ FLAT = 1e-12
 HALVINGS = 10
 
 
-def _newton_sums(rows: DataFrame, k: int, tasks: int, coef: np.ndarray, shift: np.ndarray):
-    """Rows, positives, log likelihood, gradient and curvature at the coefficients, in one pass.
+@dataclass(frozen=True)
+class LogisticFit:
+    """One fit among several on the same rows: its features and the rows it reads (all if none is named)."""
 
-    Coefficients travel with the task function and not in the plan, so that every
-    pass has the same plan and generated code.
+    features: tuple[str, ...]
+    flag: str | None = None
+    constant: bool = True
+
+
+@dataclass(frozen=True)
+class _Sums:
+    """Rows, positives, log likelihood, gradient and curvature at some coefficients."""
+
+    n: float
+    positives: float
+    likelihood: float
+    slope: np.ndarray
+    bend: np.ndarray
+
+
+def _newton_sums(rows: DataFrame, k: int, flags: int, tasks: int, asked: list[tuple]) -> list[_Sums]:
+    """The sums of several fits in one pass; each asks by (columns, flag, coefficients, shift).
+
+    ``rows`` has k columns, the label and the flags. Coefficients travel with the task function
+    and not in the plan, so that every pass has the same plan and generated code.
     """
-    upper = np.triu_indices(k + 1)
+    uppers = [np.triu_indices(len(at) + 1) for at, *_ in asked]
+    sizes = [3 + len(at) + 1 + len(upper[0]) for (at, *_), upper in zip(asked, uppers)]
 
     def part(batches: Iterator[pa.RecordBatch]) -> np.ndarray | None:
-        head, slope, bend = np.zeros(3), np.zeros(k + 1), np.zeros((k + 1, k + 1))
+        total, any_row = [np.zeros(size) for size in sizes], False
         for batch in batches:
             if not batch.num_rows:
                 continue
+            any_row = True
             columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(k + 1)]
-            x = np.empty((batch.num_rows, k + 1))
-            x[:, 0] = 1.0
-            x[:, 1:] = np.column_stack(columns[:k]) - shift
-            y, at = columns[k], x @ coef
-            p = 1.0 / (1.0 + np.exp(-np.clip(at, -700.0, 700.0)))
-            head += len(y), y.sum(), (y * at - np.logaddexp(0.0, at)).sum()
-            slope += x.T @ (y - p)
-            bend += x.T @ (x * (p * (1.0 - p))[:, None])
-        return np.concatenate([head, slope, bend[upper]]) if head[0] else None
-
-    sums = sum_of_parts(rows, part, 3 + k + 1 + len(upper[0]), tasks)
-    bend = np.zeros((k + 1, k + 1))
-    bend[upper] = sums[4 + k :]
-    return sums[0], sums[1], sums[2], sums[3 : 4 + k], bend + np.triu(bend, 1).T
+            every = np.column_stack(columns[:k]) if k else np.zeros((batch.num_rows, 0))
+            lacking, label = np.isnan(every), columns[k]
+            marks = [batch.column(k + 1 + f).to_numpy(zero_copy_only=False).astype(bool) for f in range(flags)]
+            for place, (at, flag, coef, shift) in enumerate(asked):
+                whole = len(at) == k and flag is None and not lacking.any()
+                inside = slice(None)
+                if not whole:
+                    inside = ~lacking[:, at].any(axis=1)
+                    if flag is not None:
+                        inside &= marks[flag]
+                values, y = every[inside] if whole else every[np.ix_(inside, at)], label[inside]
+                x = np.empty((len(y), len(at) + 1))
+                x[:, 0] = 1.0
+                x[:, 1:] = values - shift
+                score = x @ coef
+                p = 1.0 / (1.0 + np.exp(-np.clip(score, -700.0, 700.0)))
+                likelihood = (y * score - np.logaddexp(0.0, score)).sum()
+                bend = x.T @ (x * (p * (1.0 - p))[:, None])
+                total[place] += np.concatenate([[len(y), y.sum(), likelihood], x.T @ (y - p), bend[uppers[place]]])
+        return np.concatenate(total) if any_row else None
+
+    cells, found, start = sum_of_parts(rows, part, sum(sizes), tasks), [], 0
+    for (at, *_), upper, size in zip(asked, uppers, sizes):
+        own, start, m = cells[start : start + size], start + size, len(at)
+        bend = np.zeros((m + 1, m + 1))
+        bend[upper] = own[4 + m :]
+        found.append(_Sums(own[0], own[1], own[2], own[3 : 4 + m], bend + np.triu(bend, 1).T))
+    return found
 
 
 def _inverse(bend: np.ndarray) -> np.ndarray:
@@ -58,52 +96,31 @@ def _inverse(bend: np.ndarray) -> np.ndarray:
     return np.linalg.pinv(bend / np.outer(scale, scale), rcond=FLAT, hermitian=True) / np.outer(scale, scale)
 
 
-def logreg_train(
-    df: DataFrame,
-    features: Sequence[str],
-    label: str,
-    constant: bool = True,
-    max_iter: int = 20,
-    tol: float = 1e-7,
-) -> LinearModel:
-    """Logistic regression by Newton steps, with Wald p-values, for any number of columns.
-
-    A step is one pass that adds up gradient and curvature. The first one also
-    finds the means, which later steps subtract where there is a constant, so
-    that large offsets lose no digits. A step that lowers the likelihood is
-    halved. Steps shrink quadratically, so after one below ``tol`` the next would
-    be below its square. Rows with a missing feature or label are left out.
-    """
-    plain = sorted(f for f in features if f != CONSTANT_TERM)
-    target = df.select(*plain, F.col(label).cast("double").alias("_y")).where(F.col("_y").isNotNull())
-    if not plain:
-        return _intercept_only(target)
+def _newton(plain: Sequence[str], constant: bool, max_iter: int, tol: float) -> Generator[tuple, _Sums, LinearModel]:
+    """The steps of one fit: asks for sums at (coefficients, shift), is sent them, and returns the model."""
     k = len(plain)
-    rows = target.select(*[F.col(f).cast("double").alias(f"x{i}") for i, f in enumerate(plain)], "_y").dropna()
-    tasks = rows.rdd.getNumPartitions()
     used = slice(None) if constant else slice(1, None)
     at, shift = np.zeros(k + 1), np.zeros(k)
-    n, positives, likelihood, slope, bend = _newton_sums(rows, k, tasks, at, shift)
-    if not 0 < positives < n:
+    now = yield at, shift
+    if not 0 < now.positives < now.n:
         raise ValueError("logistic regression needs both classes")
-    mean = bend[0, 1:] / bend[0, 0]
+    mean = now.bend[0, 1:] / now.bend[0, 0]
     for _ in range(max_iter):
         step = np.zeros(k + 1)
-        step[used] = _inverse(bend[used, used]) @ slope[used]
+        step[used] = _inverse(now.bend[used, used]) @ now.slope[used]
         if constant and shift is not mean:
             at[0], step[0] = at[0] + at[1:] @ mean, step[0] + step[1:] @ mean
             shift = mean
         for _ in range(HALVINGS):
-            found = _newton_sums(rows, k, tasks, at + step, shift)
-            if found[2] >= likelihood - 1e-12 * abs(likelihood):
+            found = yield at + step, shift
+            if found.likelihood >= now.likelihood - 1e-12 * abs(now.likelihood):
                 break
             step = step / 2
-        at = at + step
-        _, _, likelihood, slope, bend = found
+        at, now = at + step, found
         if np.abs(step).max() <= tol * max(1.0, np.abs(at).max()):
             break
     covariance = np.zeros((k + 1, k + 1))
-    covariance[used, used] = _inverse(bend[used, used])
+    covariance[used, used] = _inverse(now.bend[used, used])
     spread = np.diag(covariance).copy()
     if constant:
         back = np.concatenate([[1.0], -shift])
@@ -117,6 +134,67 @@ def logreg_train(
     return LinearModel(names, tuple(fitted[f][0] for f in names), p_values)
 
 
+def logreg_train_many(
+    df: DataFrame, fits: Sequence[LogisticFit], label: str, max_iter: int = 20, tol: float = 1e-7
+) -> list[LinearModel]:
+    """Logistic regressions on several samples and feature sets of the same rows, as ``logreg_train`` does each.
+
+    All fits take their next step in the same pass, so there are as many passes as the longest
+    fit has steps, however many fits there are. A fit whose ``flag`` names a boolean column reads
+    the rows where it is true; rows that lack one of its features or the label are left out.
+    """
+    plain = [sorted(f for f in fit.features if f != CONSTANT_TERM) for fit in fits]
+    if any(not names and not fit.constant for names, fit in zip(plain, fits)):
+        raise ValueError("a fit without a constant needs a feature")
+    every = sorted({f for names in plain for f in names})
+    flags = sorted({fit.flag for fit in fits if fit.flag})
+    rows = df.select(
+        *[F.col(f).cast("double").alias(f"x{i}") for i, f in enumerate(every)],
+        F.col(label).cast("double").alias("_y"),
+        *[F.coalesce(F.col(f), F.lit(False)).alias(f"s{i}") for i, f in enumerate(flags)],
+    ).where(F.col("_y").isNotNull())
+    if flags and all(fit.flag for fit in fits):
+        rows = rows.where(reduce(lambda a, b: a | b, [F.col(f"s{i}") for i in range(len(flags))]))
+    tasks = rows.rdd.getNumPartitions()
+    running = {n: _newton(names, fit.constant, max_iter, tol) for n, (names, fit) in enumerate(zip(plain, fits))}
+    asked = {n: next(fit) for n, fit in running.items()}
+    done: dict[int, LinearModel] = {}
+    while asked:
+        order = sorted(asked)
+        wanted = [
+            (np.array([every.index(f) for f in plain[n]], int), flags.index(fits[n].flag) if fits[n].flag else None, *asked[n])
+            for n in order
+        ]
+        for n, sums in zip(order, _newton_sums(rows, len(every), len(flags), tasks, wanted)):
+            try:
+                asked[n] = running[n].send(sums)
+            except StopIteration as end:
+                done[n] = end.value
+                del asked[n]
+    return [done[n] for n in range(len(fits))]
+
+
+def logreg_train(
+    df: DataFrame,
+    features: Sequence[str],
+    label: str,
+    constant: bool = True,
+    max_iter: int = 20,
+    tol: float = 1e-7,
+) -> LinearModel:
+    """Logistic regression by Newton steps, with Wald p-values, for any number of columns.
+
+    A step is one pass that adds up gradient and curvature. The first one also
+    finds the means, which later steps subtract where there is a constant, so
+    that large offsets lose no digits. A step that lowers the likelihood is
+    halved. Steps shrink quadratically, so after one below ``tol`` the next would
+    be below its square. Rows with a missing feature or label are left out.
+    """
+    if not set(features) - {CONSTANT_TERM}:
+        return _intercept_only(df.select(F.col(label).cast("double").alias("_y")).where(F.col("_y").isNotNull()))
+    return logreg_train_many(df, [LogisticFit(tuple(features), None, constant)], label, max_iter, tol)[0]
+
+
 def _intercept_only(target: DataFrame) -> LinearModel:
     n, mean = target.agg(F.count("_y"), F.avg("_y")).first()
     if not n or mean in (0.0, 1.0):

@@ -10,8 +10,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gradus.operators.gram import Moments, masked_moments
+
 CONSTANT_TERM = "constant_term"
 
+STATS_SCHEMA = "column_name string, avg double, stddev double"
+
+# Types that a hash aggregate keeps in place, so that no rows are sorted.
+FIXED_WIDTH = (T.IntegralType, T.FractionalType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
 def drop_duplicate_keys(df: DataFrame, key: str) -> DataFrame:
     """Remove every row of a duplicated key; rows with a null key stay.
 
@@ -19,18 +27,21 @@ def drop_duplicate_keys(df: DataFrame, key: str) -> DataFrame:
     key collapse before the shuffle to one row per map task. A group of one
     holds the very row it came from, hence no join back is needed. A row with a
     null key is a group of its own by its place, so the input is read once and
-    many such rows spread over all tasks.
+    many such rows spread over all tasks. Rows of numbers, flags and dates are
+    grouped by hash; texts and lists, which such a table can't hold, are carried
+    as one value in a sorted aggregate.
     """
     rest = [c for c in df.columns if c != key]
-    carried = F.first(F.struct(*rest)) if rest else F.first(F.lit(1))
     alone = F.when(F.col(key).isNull(), F.monotonically_increasing_id())
-    return (
-        df.withColumn("_alone", alone)
-        .groupBy(key, "_alone")
-        .agg(F.count("*").alias("_copies"), carried.alias("_row"))
-        .where(F.col("_copies") == 1)
-        .select(*[F.col(key) if c == key else F.col("_row")[c].alias(c) for c in df.columns])
-    )
+    groups = df.withColumn("_alone", alone).groupBy(key, "_alone")
+    if all(isinstance(df.schema[c].dataType, FIXED_WIDTH) for c in rest):
+        carried = [F.first(c).alias(f"_c{k}") for k, c in enumerate(rest)]
+        names = {c: F.col(f"_c{k}").alias(c) for k, c in enumerate(rest)}
+    else:
+        carried = [F.first(F.struct(*rest)).alias("_row")]
+        names = {c: F.col("_row")[c].alias(c) for c in rest}
+    single = groups.agg(F.count("*").alias("_copies"), *carried).where(F.col("_copies") == 1)
+    return single.select(*[F.col(key) if c == key else names[c] for c in df.columns])
 
 
 def duplicate_row_count(df: DataFrame, key: str) -> DataFrame:
@@ -69,20 +80,12 @@ def as_double(df: DataFrame, name: str) -> Column:
 def column_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Rows (column_name, avg, stddev), nulls skipped.
 
-    Every row yields one number per column and tasks add these up by column, so any
-    number of columns takes one pass and a short plan. What is shuffled is one row
-    per task and column.
+    Tasks add up Arrow batches, so any number of columns takes one pass and a short plan,
+    and what moves is three numbers per task and column.
     """
     if not cols:
-        return df.sparkSession.createDataFrame([], "column_name string, avg double, stddev double")
-    numbers = F.array(*[as_double(df, c) for c in cols])
-    names = F.array(*[F.lit(c) for c in cols])
-    return (
-        df.select(F.posexplode(numbers).alias("_at", "_value"))
-        .groupBy("_at")
-        .agg(F.avg("_value").alias("avg"), F.stddev_samp("_value").alias("stddev"))
-        .select(F.element_at(names, F.col("_at") + 1).alias("column_name"), "avg", "stddev")
-    )
+        return df.sparkSession.createDataFrame([], STATS_SCHEMA)
+    return FeatureStats.rows(df.sparkSession, masked_moments(df, [(c, as_double(df, c)) for c in cols], products=False))
 
 
 def nonzero_variance(stats: DataFrame) -> DataFrame:
@@ -102,13 +105,23 @@ class FeatureStats:
     def fit(cls, df: DataFrame, cols: Sequence[str]) -> "FeatureStats":
         if not cols:
             raise ValueError("no feature columns left after the exclusions")
-        rows = nonzero_variance(column_stats(df, cols)).collect()
-        kept = sorted((r["column_name"], r["avg"], r["stddev"]) for r in rows)
+        return cls.of(masked_moments(df, [(c, as_double(df, c)) for c in cols], products=False))
+
+    @classmethod
+    def of(cls, moments: Moments) -> "FeatureStats":
+        """The features that vary, in name order."""
+        rows = sorted(zip(moments.names, moments.mean.tolist(), moments.deviation().tolist()))
+        kept = [r for r in rows if r[2] > 0]
         if not kept:
             raise ValueError("no feature column varies")
-        return cls(
-            tuple(k[0] for k in kept), tuple(k[1] for k in kept), tuple(k[2] for k in kept)
-        )
+        return cls(*(tuple(k[i] for k in kept) for i in range(3)))
+
+    @staticmethod
+    def rows(spark: SparkSession, moments: Moments) -> DataFrame:
+        """Rows (column_name, avg, stddev) of all columns; null where there are too few values."""
+        found = zip(moments.names, moments.mean.tolist(), moments.deviation().tolist(), moments.count.tolist())
+        shown = [(n, avg if count else None, sd if count > 1 else None) for n, avg, sd, count in found]
+        return spark.createDataFrame(shown, STATS_SCHEMA)
 
     def normalised(self, df: DataFrame) -> dict[str, Column]:
         """Imputed and normalised expression of every feature."""
@@ -119,10 +132,7 @@ class FeatureStats:
         return out
 
     def to_df(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame(
-            list(zip(self.names, self.avg, self.stddev)),
-            "column_name string, avg double, stddev double",
-        )
+        return spark.createDataFrame(list(zip(self.names, self.avg, self.stddev)), STATS_SCHEMA)
 
 
 def normalise_wide(df: DataFrame, stats: FeatureStats, keep: Sequence[str]) -> DataFrame:

@@ -9,26 +9,25 @@ column, one cross-product matrix and coefficients.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gradus.functions import balanced_sum, hash_uniform
 from gradus.operators import evaluate
-from gradus.operators.gram import gram_matrix
+from gradus.operators.gram import masked_moments
 from gradus.operators.linear import LinearModel, elastic_net_train, linreg_train
-from gradus.operators.logistic import logreg_train
+from gradus.operators.logistic import LogisticFit, logreg_train, logreg_train_many
 from gradus.operators.prep import (
     CONSTANT_TERM,
     FeatureStats,
+    as_double,
     drop_duplicate_keys,
     feature_names,
     normalise_wide,
 )
-from gradus.operators.split import fold_draw, random_split
+from gradus.operators.split import fold_draw
 from gradus.operators.vif import steps_to_df, vif_mask, vif_steps
 from gradus.plans.stored import LOGISTIC, REGRESSION, StoredModel
 from gradus.session import hold
@@ -42,9 +41,10 @@ DRAW, FOLD = "_draw", "_fold_"
 
 @dataclass
 class Prepared:
-    """Normalised rows, the statistics behind them and the collinearity steps."""
+    """Normalised rows, the held ones they come from, the statistics behind them and the collinearity steps."""
 
     rows: DataFrame
+    held: DataFrame
     stats: FeatureStats
     steps: list
     features: list[str]
@@ -56,13 +56,14 @@ class Prepared:
         known = self.rows.where(F.col(self.label).isNotNull())
         return known.where(F.col(DRAW) <= self.train_fraction), known.where(F.col(DRAW) > self.train_fraction)
 
-    def samples(self, folds: int) -> list[DataFrame]:
-        """Training samples, each without about one fold."""
-        train = self.train_and_test()[0]
-        return [train.where(F.col(f"{FOLD}{i}") != i - 1) for i in range(1, folds + 1)]
+    def with_samples(self, folds: int) -> tuple[DataFrame, list[str]]:
+        """Training rows, and the names of flags that leave about one fold out of each sample."""
+        flags = [f"_sample_{i}" for i in range(1, folds + 1)]
+        kept = {flag: F.col(f"{FOLD}{i}") != i - 1 for i, flag in enumerate(flags, start=1)}
+        return self.train_and_test()[0].withColumns(kept), flags
 
     def release(self) -> None:
-        self.rows.unpersist()
+        self.held.unpersist()
 
 
 def prepare(
@@ -81,25 +82,25 @@ def prepare(
     Statistics and collinearity use all rows, test rows included, unless
     ``fit_on='train'`` restricts them to the training side of the split. The
     draws of the split and of the samples are hashed once and held with the
-    rows, because every pass of a fit filters on them.
+    rows, because every pass of a fit filters on them. One pass over the held rows
+    gives the statistics and, missing values accounted for, the cross products of the
+    normalised columns; these are a projection of the held rows and never written.
     """
     cols = feature_names(df, [*exclude, key, label])
-    clean = hold(drop_duplicate_keys(df.select(key, label, *cols), key))
-
-    def basis(frame: DataFrame) -> DataFrame:
-        if fit_on == "all":
-            return frame
-        return random_split(frame, key, label, train_fraction, seed)[0]
-
-    stats = FeatureStats.fit(basis(clean), cols)
-    rows = normalise_wide(clean, stats, [key, label])
-    steps = vif_steps(gram_matrix(basis(rows), stats.names), stats.names, VIF_THRESHOLD, vif_step_limit)
-    kept = [f for f, m in zip(stats.names, vif_mask(stats.names, steps)) if m]
+    if not cols:
+        raise ValueError("no feature columns left after the exclusions")
     draws = {DRAW: hash_uniform(seed, F.col(key))}
     draws |= {f"{FOLD}{i}": fold_draw(key, folds, i, seed).cast("int") for i in range(1, folds + 1)}
-    rows = hold(rows.select(key, label, *kept).withColumns(draws))
-    clean.unpersist()
-    return Prepared(rows, stats, steps, kept, label, train_fraction)
+    clean = hold(drop_duplicate_keys(df.select(key, label, *cols), key).withColumns(draws))
+    basis = clean
+    if fit_on != "all":
+        basis = clean.where(F.col(label).isNotNull() & (F.col(DRAW) <= train_fraction))
+    moments = masked_moments(basis, [(c, as_double(df, c)) for c in cols])
+    stats = FeatureStats.of(moments)
+    steps = vif_steps(moments.scaled(stats.names), stats.names, VIF_THRESHOLD, vif_step_limit)
+    kept = [f for f, m in zip(stats.names, vif_mask(stats.names, steps)) if m]
+    rows = normalise_wide(clean, stats, [key, label, *draws]).select(key, label, *kept, *draws)
+    return Prepared(rows, clean, stats, steps, kept, label, train_fraction)
 
 
 @dataclass
@@ -229,11 +230,10 @@ def logistic_run(
     pos_class_weight: float = 1.0,
     seed: int = 42,
     fit_on: str = "all",
-    parallelism: int = 4,
 ) -> LogisticRun:
     """Logistic ensemble over leave-fold samples, evaluated, then refitted on all rows.
 
-    Samples are filters on one held frame and are fitted side by side. A sample
+    Samples are flags on one held frame, and all are fitted in the same passes. A sample
     without a significant feature is skipped; without any the run is aborted.
     """
     if folds < 2:
@@ -242,15 +242,11 @@ def logistic_run(
     prepared = prepare(df, key, label, exclude, vif_step_limit, fit_on, train_fraction, seed, folds)
     test = prepared.train_and_test()[1]
 
-    def fit_sample(sample: DataFrame) -> LinearModel | None:
-        chosen = logreg_train(sample, prepared.features, label).significant()
-        if not chosen:
-            return None
-        return logreg_train(sample, chosen, label, constant=CONSTANT_TERM in chosen)
-
-    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, folds))) as pool:
-        fitted = list(pool.map(inheritable_thread_target(spark)(fit_sample), prepared.samples(folds)))
-    kept = [(i, m) for i, m in enumerate(fitted, start=1) if m is not None]
+    train, flags = prepared.with_samples(folds)
+    first = logreg_train_many(train, [LogisticFit(tuple(prepared.features), flag) for flag in flags], label)
+    chosen = [(i, m.significant()) for i, m in enumerate(first, start=1) if m.significant()]
+    again = [LogisticFit(names, flags[i - 1], CONSTANT_TERM in names) for i, names in chosen]
+    kept = [(i, m) for (i, _), m in zip(chosen, logreg_train_many(train, again, label) if again else [])]
     run = LogisticRun(ABORTED, prepared, [m for _, m in kept])
     # A model whose significant features include only the constant ranks nothing.
     selected = sorted({f for _, m in kept for f in m.significant() if f != CONSTANT_TERM})

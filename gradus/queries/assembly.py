@@ -6,6 +6,7 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
+from gradus.operators.intervals import interval_join
 from gradus.operators.assemble import (
     FeatureRules,
     admitted_cohort,
@@ -57,6 +58,48 @@ def interval_lookup(spark, d):
     return term_of(items, F.col("l_shipdate"), calendar(spark, d)).drop("l_shipdate")
 
 
+# Windows of minutes to days: errors open one of their user, as long as their value says.
+WINDOWS_SQL = """
+    windows AS (
+        SELECT event_id AS error_id, user_id, ts AS opened,
+               ts + to_minutes(CAST(if(value > 15, 3000, floor(value * 10)) AS BIGINT)) AS closed
+        FROM events WHERE event_type = 'error')"""
+
+
+def _windows(spark, d):
+    minutes = F.when(F.col("value") > 15, 3000).otherwise(F.floor(F.col("value") * 10)).cast("int")
+    closed = F.col("ts") + F.make_dt_interval(mins=minutes)
+    errors = table(spark, d, "events").where("event_type = 'error'")
+    return errors.select(F.col("event_id").alias("error_id"), "user_id", F.col("ts").alias("opened"), closed.alias("closed"))
+
+
+@query(
+    f"""
+    WITH {WINDOWS_SQL}
+    SELECT e.event_id, e.user_id, e.ts, error_id, opened, closed
+    FROM events e LEFT JOIN windows w ON e.user_id = w.user_id AND e.ts BETWEEN opened AND closed
+    """
+)
+def interval_lookup_times(spark, d):
+    """Events beside the error windows of their user that they fall in, or alone."""
+    events = table(spark, d, "events").select("event_id", "user_id", "ts")
+    return interval_join(events, _windows(spark, d), "ts", "opened", "closed", on=["user_id"], how="left")
+
+
+@query(
+    f"""
+    WITH {WINDOWS_SQL}
+    SELECT error_id, count(*) AS n, count(DISTINCT e.user_id) AS users
+    FROM events e JOIN windows w ON e.ts >= opened AND e.ts < closed GROUP BY error_id
+    """
+)
+def interval_counts(spark, d):
+    """Events of all users during each error window, its end left out."""
+    events = table(spark, d, "events").select("event_id", F.col("user_id").alias("who"), "ts")
+    found = interval_join(events, _windows(spark, d), "ts", "opened", "closed", closed=False)
+    return found.groupBy("error_id").agg(F.count("*").alias("n"), F.count_distinct("who").alias("users"))
+
+
 @query(
     f"""
     WITH {CALENDAR_SQL}

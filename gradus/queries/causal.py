@@ -74,6 +74,58 @@ def match_nearest(spark, d):
     return found.withColumn("distance", rounded("distance"))
 
 
+CLOSE_SQL = """
+    near AS (
+        SELECT o_orderkey, CAST(o_orderpriority = '1-URGENT' AS INTEGER) AS urgent,
+               o_custkey + (o_orderkey * 7919 % 1000) * 1e-10::DOUBLE AS x
+        FROM orders WHERE o_orderdate < TIMESTAMP '1996-01-01')"""
+
+
+@query(
+    f"""
+    WITH {CLOSE_SQL}, pairs AS (
+        SELECT t.o_orderkey, k.o_orderkey AS matched_id, (t.x - k.x) * (t.x - k.x) AS square
+        FROM near t JOIN near k ON t.urgent = 1 AND k.urgent = 0 AND k.x BETWEEN t.x - 200 AND t.x + 200)
+    SELECT o_orderkey, matched_id
+    FROM pairs QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDER BY square, matched_id) = 1
+    """
+)
+def match_nearest_close(spark, d):
+    """Distances that differ by a ten-billionth still decide."""
+    x = F.col("o_custkey") + (F.col("o_orderkey") * 7919 % 1000) * F.lit(1e-10)
+    early = table(spark, d, "orders").where(F.col("o_orderdate") < F.lit("1996-01-01").cast("timestamp"))
+    rows = early.select("o_orderkey", (F.col("o_orderpriority") == "1-URGENT").cast("int").alias("urgent"), x.alias("x"))
+    return match.match_nearest(rows, "o_orderkey", "urgent", ["x"]).select("o_orderkey", "matched_id")
+
+
+FRONTIER_SQL = f"""
+    WITH {STUDY_SQL}, sums AS (SELECT sum(treated) AS t, sum(1 - treated) AS k FROM coded),
+    cells AS (SELECT nation, sum(treated) AS t, sum(1 - treated) AS k FROM coded GROUP BY nation),
+    numbered AS (
+        SELECT c_custkey, nation, c.k * s.t - c.t * s.k - (row_number() OVER (PARTITION BY nation ORDER BY c_custkey) - 1) * s.t AS level
+        FROM coded JOIN cells c USING (nation), sums s WHERE treated = 0),
+    pruned AS (SELECT row_number() OVER (ORDER BY level DESC, nation, c_custkey) AS step, * FROM numbered WHERE level > 0),
+    steps AS (SELECT 0 AS step UNION ALL SELECT step FROM pruned),
+    gone AS (SELECT p.step, c.nation, count(*) FILTER (q.nation = c.nation) AS n
+             FROM steps p CROSS JOIN cells c LEFT JOIN pruned q ON q.step <= p.step GROUP BY ALL),
+    worth AS (
+        SELECT g.step, sum(abs(c.t / s.t::DOUBLE - (c.k - g.n) / (s.k - g.step)::DOUBLE)) / 2 AS imbalance, any_value(s.k) - g.step AS controls_left
+        FROM gone g JOIN cells c USING (nation), sums s GROUP BY g.step)"""
+
+
+@query(
+    f"""
+    {FRONTIER_SQL}
+    SELECT w.step::BIGINT AS step, c_custkey, controls_left::BIGINT AS controls_left, {round_sql("imbalance", 9)} AS imbalance
+    FROM worth w LEFT JOIN pruned USING (step)
+    """
+)
+def matching_frontier(spark, d):
+    """Controls in the order in which they are pruned, with the imbalance after each."""
+    found = match.matching_frontier(coded(spark, d), "c_custkey", "treated", ["nation"])
+    return found.withColumn("imbalance", rounded("imbalance", 9))
+
+
 CELLS_SQL = f"""
     WITH {STUDY_SQL}, numbered AS (
         SELECT *, row_number() OVER (PARTITION BY nation, treated ORDER BY c_custkey) AS rn FROM coded)"""

@@ -50,7 +50,73 @@ def test_boxes_cover_space_and_hold_their_points():
     assert set(where) == set(range(len(boxes.low)))
     assert (points > boxes.low[where] - 1e-12).all() and (points <= boxes.high[where]).all()
     for p, w in zip(points, where):
-        assert boxes.distances(p)[w] == 0
+        assert boxes.distances(p[None], np.array([w]))[0] == 0
+    reach = np.random.default_rng(2).random(500) * 2
+    who, box, far = boxes.within(points, reach)
+    every = np.array([[boxes.distances(p[None], np.array([b]))[0] for b in range(len(boxes.low))] for p in points])
+    assert sorted(zip(who, box)) == [tuple(x) for x in np.argwhere(every <= reach[:, None])]
+    assert np.allclose(far, every[who, box])
+
+
+@pytest.mark.parametrize("k", [3, 4, 6])
+def test_many_columns_against_brute_force(spark, monkeypatch, k):
+    monkeypatch.setattr(matching, "POINTS_PER_BOX", 12)
+    monkeypatch.setattr(matching, "NEXT_BOXES", 3)
+    pick = np.random.default_rng(k)
+    x = pick.integers(0, 9, size=(700, k)).astype(float) + np.where(pick.random((700, k)) < 0.3, 1e-9, 0.0)
+    arm = (pick.random(700) < 0.3).astype(int)
+    names = [f"c{j}" for j in range(k)]
+    rows = [(i, int(a), *map(float, v)) for i, (a, v) in enumerate(zip(arm, x))]
+    df = spark.createDataFrame(rows, "id int, t int, " + ", ".join(f"{n} double" for n in names)).repartition(5)
+    found = {r["id"]: (r["matched_id"], r["distance"]) for r in matching.match_nearest(df, "id", "t", names).collect()}
+    inverse = np.linalg.inv(np.cov(x.T))
+    controls = np.flatnonzero(arm == 0)
+    assert len(found) == arm.sum()
+    for i in np.flatnonzero(arm):
+        gap = x[controls] - x[i]
+        d = np.sqrt(np.einsum("ij,jk,ik->i", gap, inverse, gap))
+        chosen = int(np.flatnonzero(controls == found[i][0])[0])
+        assert d[chosen] <= d.min() * (1 + 1e-12) + 1e-12 and found[i][1] == pytest.approx(d.min(), rel=1e-7, abs=1e-9)
+
+
+def test_group_sizes_do_not_change_close_matches(spark, monkeypatch):
+    rows = [(k, int(k % 4 == 0), 1 + (k * 37 % 101) * 1e-10, float(k % 3)) for k in range(600)]
+    df = spark.createDataFrame(rows, "id int, t int, x double, y double")
+    whole = {tuple(r) for r in matching.match_nearest(df, "id", "t", ["x", "y"]).collect()}
+    monkeypatch.setattr(matching, "CONTROLS_PER_GROUP", 7)
+    monkeypatch.setattr(matching, "POINTS_PER_BOX", 20)
+    assert {tuple(r) for r in matching.match_nearest(df, "id", "t", ["x", "y"]).collect()} == whole
+    near = spark.createDataFrame([(0, 1, 0.0), (1, 0, 1 + 4e-10), (2, 0, 1.0), (3, 0, 50.0)], "id int, t int, x double")
+    assert matching.match_nearest(near, "id", "t", ["x"]).first()["matched_id"] == 2
+
+
+def test_frontier_against_pruning_one_by_one(spark):
+    rng = random.Random(9)
+    for seed in range(3):
+        rows = [(i, int(rng.random() < 0.3), rng.choice("aaab"), rng.randrange(4)) for i in range(60 + 40 * seed)] + [(999, 1, "only", 1), (998, None, "a", 1)]
+        df = spark.createDataFrame(rows, "id int, t int, cell string, band int").repartition(4)
+        rows = [r for r in rows if r[1] is not None]
+        treated, left = [r for r in rows if r[1] == 1], sorted(r for r in rows if r[1] == 0)
+        n_t, n_k = len(treated), len(left)
+        cells = sorted({r[2:] for r in rows})
+
+        def count(of):
+            return {c: sum(r[2:] == c for r in of) for c in cells}
+
+        t, want = count(treated), []
+        while True:
+            k = count(left)
+            want.append((len(want), len(left), sum(abs(t[c] / n_t - k[c] / len(left)) for c in cells) / 2))
+            excess = {c: k[c] * n_t - t[c] * n_k for c in cells}
+            worst = min(cells, key=lambda c: (-excess[c], c))
+            if excess[worst] <= 0:
+                break
+            left.remove(next(r for r in left if r[2:] == worst))
+        found = matching.matching_frontier(df, "id", "t", ["cell", "band"]).orderBy("step").collect()
+        assert [(r["step"], r["controls_left"]) for r in found] == [w[:2] for w in want]
+        assert [r["imbalance"] for r in found] == pytest.approx([w[2] for w in want], abs=1e-12)
+        assert len({r["id"] for r in found}) == len(found) and {r["id"] for r in found[1:]}.isdisjoint({r[0] for r in left})
+    assert matching.matching_frontier(df.where("t = 1"), "id", "t", ["cell"]).count() == 0
 
 
 def test_no_controls_and_collinear_columns(spark):

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
 import itertools
 import uuid
 from collections.abc import Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from decimal import Decimal
 
@@ -23,6 +24,7 @@ from gradus.operators.evaluate import class_metrics, roc_auc_per_class, roc_curv
 from gradus.operators.prep import as_double, feature_names
 from gradus.operators.split import random_or_column_split
 from gradus.session import ROWS_PER_TASK, broadcast_if_small, materialise, shared_folder, with_row
+from gradus.sources.ledger import Ledger
 
 # Deepest tree the trainer accepts. Fixed value.
 DEEPEST = 30
@@ -168,18 +170,35 @@ def _gains(model: TreeModel) -> dict[str, float]:
 
 @dataclass
 class GridRun:
-    """Result rows of a grid, the models behind them, and the ids tested on."""
+    """Result rows of a grid, as they are stored, and the ids tested on.
+
+    No model stays on the driver: ``model`` reads the one of a grid point back.
+    """
 
     results: DataFrame
-    models: dict[int, TreeModel]
     test_ids: DataFrame
     held: list[DataFrame] = field(default_factory=list)
 
+    def model(self, index: int) -> TreeModel:
+        return load_model(self.results, F.col("params_indx") == index)
+
     def release(self) -> None:
         for frame in self.held:
             frame.unpersist()
 
 
+def _said(params: Mapping) -> str:
+    """The settings of a grid point as result rows show them."""
+    return ", ".join(f"{k}={v}" for k, v in params.items())
+
+
+def _basis(df: DataFrame, id_col: str, label: str, *rest: object) -> str:
+    """A digest of the ids and labels of the rows and of what else decides a fit beside the settings."""
+    both = F.xxhash64(F.col(id_col), F.col(label).cast("string"))
+    n, mixed = df.agg(F.count("*"), F.sum(both.cast("decimal(38,0)"))).first()
+    return hashlib.md5(repr((n, str(mixed), *(str(r) for r in rest))).encode()).hexdigest()
+
+
 def _grid_search(
     kind: str,
     df: DataFrame,
@@ -193,8 +212,10 @@ def _grid_search(
     seed: int,
     parallelism: int,
     name: str,
+    ledger: str | None,
 ) -> GridRun:
     spark = df.sparkSession
+    points = list(enumerate(expand_grid(grid), start=1))
     train, test = random_or_column_split(df, id_col, label, train_size, split_col, seed)
     cols = feature_names(train, [*exclude, id_col, label])
     present = train.agg(F.count("*").alias("_rows"), *[F.count(c).alias(c) for c in cols]).first()
@@ -206,8 +227,16 @@ def _grid_search(
     weight_of = {r["class"]: r["weight"] for r in class_weights(train, label, weights).collect()}
 
     coded = _coded(train, label, classes, weight_of)
-    root = f"{shared_folder(spark)}/trees-{uuid.uuid4().hex}"
-    points = list(enumerate(expand_grid(grid), start=1))
+    book = Ledger(spark, ledger or f"{shared_folder(spark)}/grids-{uuid.uuid4().hex}")
+    root = f"{book.folder}/models-{uuid.uuid4().hex}"
+    known = {p: book.part(name, p).first() for p in book.finished(name)}
+    # A stored point counts if it is this grid's: the same settings, rows, features and classes.
+    facts = (kind, cols, [str(c) for c in classes], _basis(df, id_col, label, train_size, split_col, seed, weights))
+    done = {
+        index
+        for index, params in points
+        if index in known and (_said(params), *facts) == tuple(known[index][c] for c in ("params", "kind", "features", "classes", "basis"))
+    }
     test = test.select(id_col, label, *cols).persist(StorageLevel.MEMORY_AND_DISK)
     if kind == "gbt":
         settings = [BoostSettings.of(params, seed) for _, params in points]
@@ -230,7 +259,7 @@ def _grid_search(
             fitted.write().save(f"{root}/{index}")
             return TreeModel(kind, tuple(cols), tuple(nullable), classes, fitted)
 
-    def fit(point: tuple[int, dict]) -> tuple:
+    def fit(point: tuple[int, dict]) -> None:
         index, params = point
         model, path = train_point(index, params), f"{root}/{index}"
         said = tree_score(test, id_col, model, label)
@@ -239,7 +268,6 @@ def _grid_search(
             splits = sorted(model.fitted.splits().items(), key=lambda p: (-p[1], p[0]))
         else:
             splits = [tuple(r) for r in split_importance(spark, model, path).collect()]
-        model = replace(model, splits=tuple((f, float(n)) for f, n in splits))
         gains = _gains(model)
 
         def metric(column: str, cast=float) -> list:
@@ -247,43 +275,42 @@ def _grid_search(
 
         row = (
             datetime.now(timezone.utc).replace(tzinfo=None), name, kind, index,
-            ", ".join(f"{k}={v}" for k, v in params.items()), list(cols), list(nullable),
+            _said(params), list(cols), list(nullable),
             [str(c) for c in classes], type(classes[0]).__name__,
             metric("precision"), metric("recall"), metric("fscore"), metric("support", int),
-            [s[0] for s in splits], [float(s[1]) for s in splits], [gains[s[0]] for s in splits], path,
+            [s[0] for s in splits], [float(s[1]) for s in splits], [gains[s[0]] for s in splits], path, facts[-1],
         )
-        return index, model, row
-
-    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(points)))) as pool:
-        done = list(pool.map(inheritable_thread_target(spark)(fit), points))
-    rows = [row for _, _, row in done]
-    return GridRun(
-        spark.createDataFrame(rows, RESULT_SCHEMA),
-        {index: model for index, model, _ in done},
-        test.select(id_col),
-        held,
-    )
+        book.append(name, index, spark.createDataFrame([row], f"{RESULT_SCHEMA}, basis string").coalesce(1))
+
+    left = [point for point in points if point[0] not in done]
+    if left:
+        with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(left)))) as pool:
+            list(pool.map(inheritable_thread_target(spark)(fit), left))
+    stored = spark.read.schema(f"{RESULT_SCHEMA}, basis string").parquet(*[book.place(name, index) for index, _ in points])
+    return GridRun(stored.drop("basis"), test.select(id_col), held)
 
 
 def gbt_grid_search(
     df: DataFrame, id_col: str, label: str, exclude: Iterable[str] = (), grid: Mapping | None = None,
     weights: Mapping | None = None, train_size: float = 0.8, split_col: str | None = None,
-    seed: int = 42, parallelism: int = 4, name: str = "gbt",
+    seed: int = 42, parallelism: int = 4, name: str = "gbt", ledger: str | None = None,
 ) -> GridRun:
     """Boosted trees at every grid point, fitted side by side on one frame of binned rows.
 
     Parameters are those of ``BoostSettings``. Missing values go to the side that a split has learned.
+    Each point is stored as it ends, with its model; with a ``ledger`` folder, a grid of the same
+    ``name`` and rows that runs again skips the points that are stored there.
     """
-    return _grid_search("gbt", df, id_col, label, exclude, grid or {}, weights, train_size, split_col, seed, parallelism, name)
+    return _grid_search("gbt", df, id_col, label, exclude, grid or {}, weights, train_size, split_col, seed, parallelism, name, ledger)
 
 
 def rf_grid_search(
     df: DataFrame, id_col: str, label: str, exclude: Iterable[str] = (), grid: Mapping | None = None,
     weights: Mapping | None = None, train_size: float = 0.8, split_col: str | None = None,
-    seed: int = 42, parallelism: int = 4, name: str = "rf",
+    seed: int = 42, parallelism: int = 4, name: str = "rf", ledger: str | None = None,
 ) -> GridRun:
     """Random forests at every grid point; same result rows."""
-    return _grid_search("rf", df, id_col, label, exclude, grid or {}, weights, train_size, split_col, seed, parallelism, name)
+    return _grid_search("rf", df, id_col, label, exclude, grid or {}, weights, train_size, split_col, seed, parallelism, name, ledger)
 
 
 # Readers of a stored class list, by the name of its Python type.

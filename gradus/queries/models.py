@@ -474,7 +474,7 @@ def rf_grid_search(spark, d):
 
 def _best(spark, d):
     run = trees.gbt_grid_search(tree_items(spark, d), "pk1", "large", grid={k: v[-1] for k, v in GRID.items()})
-    return run.models[1]
+    return run.model(1)
 
 
 @query()
@@ -538,4 +538,4 @@ def rf_grid_search_many_classes(spark, d):
 @query()
 def split_importance(spark, d):
     run = trees.gbt_grid_search(tree_items(spark, d), "pk1", "large", grid={k: v[-1] for k, v in GRID.items()})
-    return trees.split_importance(spark, run.models[1], run.results.first()["model_path"])
+    return trees.split_importance(spark, run.model(1), run.results.first()["model_path"])

@@ -189,7 +189,7 @@ def gbt_stump_score(spark, d):
 @query(f"WITH {STUMP_SQL} SELECT feature, CAST(1 AS BIGINT) AS splits FROM stump")
 def split_importance_stump(spark, d):
     run = _stump(spark, d)
-    return trees.split_importance(spark, run.models[1], run.results.first()["model_path"])
+    return trees.split_importance(spark, run.model(1), run.results.first()["model_path"])
 
 
 # ----------------------------------------------------- a node table written by hand

@@ -69,3 +69,20 @@ def test_unknown_terms_never_refresh(spark, builds):
     assert [(r["table_name"], r["last_term"], r["current_term"]) for r in changed.collect()] == [("a", "201610", "201630")]
     assert sources.term_changed_tables(builds, dt.date(2020, 1, 1), calendar).count() == 0
     assert sources.current_term(calendar, dt.date(2016, 6, 1)).first()[0] == "201630"
+
+
+def test_ledger_replaces_one_part_alone(spark, tmp_path):
+    from gradus.sources.ledger import Ledger
+
+    book = Ledger(spark, str(tmp_path / "book"))
+    assert book.finished("a run") == [] and book.rows("a run") is None
+    for part in (1, 2, 11):
+        book.append("a run", part, spark.range(part).selectExpr("id", "'first' AS said"))
+    book.append("other/run", 1, spark.range(5))
+    book.append("a run", 2, spark.range(1).selectExpr("id", "'second' AS said"))
+    assert book.finished("a run") == [1, 2, 11] and book.finished("other/run") == [1]
+    found = book.rows("a run").groupBy("part", "said").count().collect()
+    assert sorted(map(tuple, found)) == [(1, "first", 1), (2, "second", 1), (11, "first", 11)]
+    (tmp_path / "book" / "run=a%20run" / "part=2" / "_SUCCESS").unlink()
+    assert book.finished("a run") == [1, 11] and book.rows("a run").count() == 12
+    assert book.part("other/run", 1).count() == 5

@@ -107,3 +107,33 @@ def test_fits_do_not_depend_on_partitions(spark, rows):
         trees.gbt_grid_search(rows.repartition(n), "id", "y", ["band", "split"], grid).results.first() for n in (2, 9)
     ]
     assert two[0]["gains"] == two[1]["gains"] and two[0]["f_importances"] == two[1]["f_importances"]
+
+
+def test_a_stopped_grid_goes_on(spark, rows, tmp_path, monkeypatch):
+    grid = {"max_depth": [1, 2, 3], "n_estimators": 2}
+    whole = trees.gbt_grid_search(rows, "id", "y", ["band", "split"], grid).results.drop("mdl_train_ts", "model_path")
+    fitted, boost = [], trees.boost
+
+    def counted(binned, settings):
+        if len(fitted) == 2:
+            raise RuntimeError("stopped")
+        fitted.append(settings.max_depth)
+        return boost(binned, settings)
+
+    monkeypatch.setattr(trees, "boost", counted)
+    asked = dict(id_col="id", label="y", exclude=["band", "split"], grid=grid, parallelism=1, ledger=str(tmp_path))
+    with pytest.raises(RuntimeError, match="stopped"):
+        trees.gbt_grid_search(rows, **asked)
+    assert fitted == [1, 2]
+    fitted[:] = [0]
+    run = trees.gbt_grid_search(rows, **asked)
+    assert fitted == [0, 3]
+    assert sorted(run.results.drop("mdl_train_ts", "model_path").collect(), key=str) == sorted(whole.collect(), key=str)
+    assert run.model(2).fitted.n_classes == 2
+    fitted[:] = []
+    # Other rows, or other settings at the same place, are fitted anew.
+    monkeypatch.setattr(trees, "boost", lambda binned, settings: fitted.append(settings.max_depth) or boost(binned, settings))
+    trees.gbt_grid_search(rows, **{**asked, "grid": {"max_depth": [1, 5], "n_estimators": 2}})
+    assert fitted == [5]
+    trees.gbt_grid_search(rows.where("id > 5"), **{**asked, "grid": {"max_depth": 1, "n_estimators": 2}})
+    assert fitted == [5, 1]

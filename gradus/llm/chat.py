@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql.pandas.types import to_arrow_type
 
 from gradus.llm.base import map_batches
 
@@ -128,6 +129,11 @@ def read_back(turns: DataFrame) -> DataFrame:
     A digest needs the turns of a conversation in order, so they are brought to one
     task, sorted, and streamed: a task holds one turn at a time, however long the
     conversation is.
+
+    Returns one row per conversation: conv_id, n_turns, turns_sha256, loss_chars, loss_sha256
+    and formatted_chars. Nulls and edges: turns without a conv_id are one conversation; turns of
+    equal number go by their formatted text, and repeated ones count each; ids may have any
+    plain type. Further columns are not read. An empty table gives no rows.
     """
     placed = turns.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "formatted")
 
@@ -155,7 +161,7 @@ def read_back(turns: DataFrame) -> DataFrame:
             yield digests([state])
 
     kind = turns.schema["conv_id"].dataType
-    arrow = pa.int64() if kind.simpleString() == "bigint" else None
+    arrow = to_arrow_type(kind)
 
     def digests(states):
         return pa.RecordBatch.from_arrays(

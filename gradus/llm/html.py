@@ -39,8 +39,11 @@ BLOCKS = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 
+# Elements that a page may hide until it is loaded; their text counts all the same.
+WHOLE = frozenset("html body main article".split())
+
 # Elements whose content is not text of the page.
-RAW = frozenset("script style template iframe noframes textarea svg object audio video canvas title".split())
+RAW = frozenset("script style template iframe noframes noscript textarea svg object audio video canvas title".split())
 
 # Those of them that reach to the end of the page without an end tag; after others a reader goes on.
 TO_THE_END = frozenset("script style textarea title".split())
@@ -76,7 +79,7 @@ def _names(tag: str, attributes: str) -> tuple[str, ...]:
         for m in ATTRIBUTE.finditer(attributes)
         for w in WORDS.findall(m.group(2) or m.group(3) or m.group(4) or "")
     }
-    hidden = ["hidden!"] if HIDDEN.search(attributes) else []
+    hidden = ["hidden!"] if HIDDEN.search(attributes) and tag not in WHOLE else []
     return (tag, *hidden, *sorted("." + w for w in words))
 
 
@@ -439,8 +442,8 @@ def train_page_model(pages: DataFrame, n_pages: int = TRAINING_PAGES, text_pages
 
 
 def extract(page: str | None, model: PageModel) -> str:
-    """The main text: kept blocks, one a line."""
-    found = list(blocks(page))
+    """The main text: kept blocks, one a line. Blocks that a page hides are no part of it."""
+    found = [b for b in blocks(page) if "hidden!" not in b.path]
     return "\n".join(b.text for b, kept in zip(found, model.decode(found)) if kept)
 
 

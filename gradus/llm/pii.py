@@ -296,8 +296,13 @@ def added_spans(text: str, base: list[tuple[str, int, int]], model: SkipChain) -
     covered = labels_of(places, base)
     found: list[list] = []
     last = None
+    # Nodes and base spans both ascend. Spans of different kinds may overlap, so the furthest end so far counts.
+    passed, reach = 0, 0
     for k, (a, b) in enumerate(places):
-        if label[k] and sure[k] >= SURE and not covered[k] and not any(s[1] < b and a < s[2] for s in base):
+        while passed < len(base) and base[passed][1] < b:
+            reach = max(reach, base[passed][2])
+            passed += 1
+        if label[k] and sure[k] >= SURE and not covered[k] and a >= reach:
             kind = KINDS[label[k] - 1]
             if found and last == k - 1 and found[-1][0] == kind and a - found[-1][2] <= 2:
                 found[-1][2] = b

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gradus.llm.base import draw, map_batches, trainable
+from gradus.llm.base import draw, map_batches, materialise, trainable
 
 WORD = re.compile(r"[^\W\d_]+")
 BEGINNINGS = (3, 4, 5, 6)
@@ -189,7 +189,8 @@ def train_toxicity(
     total = known.count()
     chosen = known.where(draw(F.lit(3), F.col("doc_id")) * F.lit(float(total or 1)) < F.lit(float(rows)))
     # the labels are bounded by ``rows``, so they may be broadcast
-    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    # and the rows that have them are written once, as three steps read them
+    sample = materialise(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"))
 
     def count(batches):
         found: dict[str, list[int]] = {}
@@ -246,7 +247,7 @@ def train_toxicity(
     coded = map_batches(
         sample.select("doc_id", "text", F.col("toxic").cast("int").alias("toxic")),
         encode,
-        "doc_id long, active array<int>, marks array<int>, toxic int",
+        f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, active array<int>, marks array<int>, toxic int",
     ).toPandas().sort_values("doc_id")
     given = coded["toxic"].to_numpy(float)
     n, width = len(coded), len(numbers) + len(PATTERNS)

@@ -11,7 +11,7 @@ from gradus.session import broadcast_if_small, materialise
 
 
 # Parts of the draws that are counted to find where a test side ends.
-DRAW_PARTS = 1 << 16
+DRAW_PARTS = 1 << 12
 
 
 def fold_draw(key: str, folds: int, sample: int, seed: int) -> Column:
@@ -80,9 +80,12 @@ def random_or_column_split(
     train_size: float = 0.8,
     split_col: str | None = None,
     seed: int = 42,
+    draw: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Split by a 1/0 column, or at random when no column is named.
 
+    ``draw`` names a column that already has the rows' hashed draws; it is not part of the result.
+
     The random test set holds at most a fifth of the rows, so that runs with
     different training sizes are tested on equally many. The split column is
     not part of the result.
@@ -91,7 +94,10 @@ def random_or_column_split(
     if split_col:
         train = labelled.where(F.col(split_col) == 1).drop(split_col)
         return train, labelled.where(F.col(split_col) == 0).drop(split_col)
-    drawn = labelled.withColumn("_u", hash_uniform(seed, F.col(key)))
+    if draw:
+        drawn = labelled.withColumnRenamed(draw, "_u")
+    else:
+        drawn = labelled.withColumn("_u", hash_uniform(seed, F.col(key)))
     train = drawn.where(F.col("_u") <= train_size).drop("_u")
     rest = drawn.where(F.col("_u") > train_size)
     # A histogram of the draws tells which of them is the last to be tested on; only those around it are ranked.

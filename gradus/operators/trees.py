@@ -18,14 +18,18 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gradus.functions import hash_uniform
 from gradus.operators.boost import BoostSettings, bin_rows, boost
 from gradus.operators.ensemble import NODE_SCHEMA, Ensemble, node_table_splits, score
 from gradus.operators.evaluate import class_metrics, roc_auc_per_class, roc_curve_per_class, roc_sample
 from gradus.operators.prep import as_double, feature_names
 from gradus.operators.split import random_or_column_split
-from gradus.session import ROWS_PER_TASK, broadcast_if_small, materialise, shared_folder, with_row
+from gradus.session import BROADCAST_ROW_LIMIT, ROWS_PER_TASK, hold, materialise, shared_folder, with_row
 from gradus.sources.ledger import Ledger
 
+# Column that holds the draw of the split.
+DRAW = "_draw"
+
 # Deepest tree the trainer accepts. Fixed value.
 DEEPEST = 30
 
@@ -119,11 +123,6 @@ def _vectors(df: DataFrame, features: Sequence[str], nullable: Sequence[str], ke
     return VectorAssembler(inputCols=names, outputCol="_x").transform(wide).drop(*names)
 
 
-def _class_list(df: DataFrame, label: str) -> tuple:
-    """The classes in order; a model keeps one entry for each."""
-    return tuple(sorted(r[0] for r in df.select(label).distinct().collect()))
-
-
 def _coded(df: DataFrame, label: str, classes: Sequence, weight_of: Mapping) -> DataFrame:
     """Adds the class index, with the classes as metadata, and the class weight."""
     kind = df.schema[label].dataType.simpleString()
@@ -131,7 +130,8 @@ def _coded(df: DataFrame, label: str, classes: Sequence, weight_of: Mapping) ->
         [(c, float(i), float(weight_of[c])) for i, c in enumerate(classes)], f"_class {kind}, _y double, _w double"
     )
     nominal = {"ml_attr": {"type": "nominal", "name": "_y", "vals": [str(c) for c in classes]}}
-    joined = df.join(broadcast_if_small(codes), df[label] == codes["_class"]).drop("_class")
+    codes = F.broadcast(codes) if len(classes) <= BROADCAST_ROW_LIMIT else codes
+    joined = df.join(codes, df[label] == codes["_class"]).drop("_class")
     return joined.withMetadata("_y", nominal)
 
 
@@ -216,12 +216,18 @@ def _grid_search(
 ) -> GridRun:
     spark = df.sparkSession
     points = list(enumerate(expand_grid(grid), start=1))
-    train, test = random_or_column_split(df, id_col, label, train_size, split_col, seed)
-    cols = feature_names(train, [*exclude, id_col, label])
-    present = train.agg(F.count("*").alias("_rows"), *[F.count(c).alias(c) for c in cols]).first()
-    cols = [c for c in cols if present[c] > 0]
-    nullable = [c for c in cols if present[c] < present["_rows"]]
-    classes = _class_list(train, label)
+    cols = feature_names(df.drop(split_col) if split_col else df, [*exclude, id_col, label])
+    # The source is read once; all that follows reads the held rows.
+    side = F.col(split_col) if split_col else hash_uniform(seed, F.col(id_col)).alias(DRAW)
+    rows = hold(df.select(id_col, label, *cols, side).where(F.col(label).isNotNull()))
+    train, test = random_or_column_split(rows, id_col, label, train_size, split_col, seed, None if split_col else DRAW)
+    by_class = train.groupBy(F.col(label).alias("_class")).agg(
+        F.count("*").alias("_rows"), *[F.count(c).alias(f"_n{k}") for k, c in enumerate(cols)]
+    ).collect()
+    n_rows, present = sum(r["_rows"] for r in by_class), [sum(r[f"_n{k}"] for r in by_class) for k in range(len(cols))]
+    nullable = [c for c, n in zip(cols, present) if 0 < n < n_rows]
+    cols = [c for c, n in zip(cols, present) if n > 0]
+    classes = tuple(sorted(r["_class"] for r in by_class))
     if len(classes) < 2:
         raise ValueError("a classifier needs at least two classes in the training rows")
     weight_of = {r["class"]: r["weight"] for r in class_weights(train, label, weights).collect()}
@@ -231,17 +237,17 @@ def _grid_search(
     root = f"{book.folder}/models-{uuid.uuid4().hex}"
     known = {p: book.part(name, p).first() for p in book.finished(name)}
     # A stored point counts if it is this grid's: the same settings, rows, features and classes.
-    facts = (kind, cols, [str(c) for c in classes], _basis(df, id_col, label, train_size, split_col, seed, weights))
+    facts = (kind, cols, [str(c) for c in classes], _basis(rows, id_col, label, train_size, split_col, seed, weights))
     done = {
         index
         for index, params in points
         if index in known and (_said(params), *facts) == tuple(known[index][c] for c in ("params", "kind", "features", "classes", "basis"))
     }
-    test = test.select(id_col, label, *cols).persist(StorageLevel.MEMORY_AND_DISK)
+    test = test.select(id_col, label, *cols)
     if kind == "gbt":
         settings = [BoostSettings.of(params, seed) for _, params in points]
         binned = bin_rows(coded, id_col, cols, F.col("_y"), F.col("_w"), len(classes))
-        held = [binned.blocks, test]
+        held = [binned.blocks, rows]
 
         def train_point(index: int, params: dict) -> TreeModel:
             model = boost(binned, settings[index - 1])
@@ -252,7 +258,7 @@ def _grid_search(
         # Forests sample rows by partition and place, so both are fixed by the ids.
         settled = _settled(coded, id_col)
         fit_on = _vectors(settled, cols, nullable, [F.col("_y"), F.col("_w")]).persist(StorageLevel.MEMORY_AND_DISK)
-        held = [fit_on, test]
+        held = [fit_on, rows]
 
         def train_point(index: int, params: dict) -> TreeModel:
             fitted = _forest(params, seed).fit(fit_on)

@@ -154,6 +154,24 @@ def assemble_features(
     return assembled.select(*base.columns, *[c for _, _, chosen in planned for c in chosen])
 
 
+def assemble_stored(base: DataFrame, feature_tables: Sequence[DataFrame], key: str = "person_uid") -> DataFrame:
+    """Base columns plus those of every feature table, for tables stored clustered on ``key``.
+
+    Tables written by ``store_clustered`` on the key, with equal numbers of buckets, are joined
+    where they lie: no table moves, however many there are. Feature tables have one row for a
+    key and share no column but the key. Null keys find no features.
+    """
+    names = [c for t in feature_tables for c in t.columns if c != key]
+    clash = sorted({c for c in names if names.count(c) > 1 or c in base.columns})
+    if clash:
+        raise ValueError(f"columns of several tables: {clash}")
+    rows = base
+    for table in feature_tables:
+        # No table is sent to all tasks, as the rows of a key already lie side by side.
+        rows = rows.hint("merge").join(table, key, "left")
+    return rows.select(*base.columns, *names)
+
+
 # Filters that define an admitted applicant, apart from the terms asked for.
 # Fixed values.
 ADMITTED = {

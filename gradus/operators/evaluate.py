@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
+from pyspark.sql.types import BooleanType, NumericType
 
 from gradus.functions import guarded_ratio, normalize_id, unnest_together
 from gradus.operators.prep import CONSTANT_TERM
@@ -469,13 +469,12 @@ def column_summary(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def dataset_compare(a: DataFrame, b: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
     """Per-column summary of two tables side by side and the difference of the means.
 
-    Compares the columns that are numbers in both tables; others are left out.
-    Without such a column the result is empty.
+    Compares the columns that are numbers or flags in both tables, flags as 0 and 1; others
+    are left out. Without such a column the result is empty.
     """
-    numbers = {f.name for f in b.schema if isinstance(f.dataType, NumericType)}
-    shared = [
-        f.name for f in a.schema if isinstance(f.dataType, NumericType) and f.name in numbers and f.name not in set(exclude)
-    ]
+    usable, left_out = (NumericType, BooleanType), set(exclude)
+    known = {f.name for f in b.schema if isinstance(f.dataType, usable)}
+    shared = [f.name for f in a.schema if isinstance(f.dataType, usable) and f.name in known and f.name not in left_out]
     names = ["count", "nulls", "mean", "stddev", "min", "max"]
     left = column_summary(a, shared).select("col_name", *[F.col(n).alias(f"{n}_a") for n in names])
     right = column_summary(b, shared).select("col_name", *[F.col(n).alias(f"{n}_b") for n in names])

@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 
 from pyspark.sql import functions as F
 
-from gradus.operators.intervals import interval_join
 from gradus.operators.assemble import (
     FeatureRules,
     admitted_cohort,
     assemble_features as assemble,
+    assemble_stored as join_stored,
     grade_subset as large_courses,
     join_year_level as year_join,
     label_subset as labelled_rows,
     term_split as split_by_term,
 )
+from gradus.operators.intervals import interval_join
 from gradus.plans import specs
 from gradus.plans.build import build_model as build
 from gradus.plans.build import due_tables
@@ -25,6 +27,7 @@ from gradus.sources import current_term as term_today
 from gradus.sources import stale_tables as find_stale
 from gradus.sources import term_changed_tables as find_changed
 from gradus.sources import term_of
+from gradus.sources.tables import buckets_of, store_clustered
 
 # --------------------------------------------------------------- calendars
 
@@ -58,6 +61,41 @@ def interval_lookup(spark, d):
     return term_of(items, F.col("l_shipdate"), calendar(spark, d)).drop("l_shipdate")
 
 
+# Features of customers in tables of their own: name, aggregate in SQL, source.
+STORED = (
+    ("spend", "sum(o_totalprice)", "orders"),
+    ("orders_placed", "count(*)", "orders"),
+    ("last_order", "max(o_orderdate)", "orders"),
+    ("urgent", "count(CASE WHEN o_orderpriority = '1-URGENT' THEN 1 END)", "orders"),
+    ("finished", "count(CASE WHEN o_orderstatus = 'F' THEN 1 END)", "orders"),
+    ("largest", "max(o_totalprice)", "orders"),
+)
+
+
+def stored_customers(spark, d):
+    """Customers and six feature tables, clustered on the customer under names of this run alone."""
+    orders = table(spark, d, "orders").withColumnRenamed("o_custkey", "c_custkey")
+    base = table(spark, d, "customer").select("c_custkey", "c_mktsegment")
+    buckets, run = max(4, buckets_of(base)), uuid.uuid4().hex[:12]
+    features = [
+        store_clustered(orders.groupBy("c_custkey").agg(F.expr(sql).alias(name)), f"gradus_{name}_{run}", "c_custkey", buckets)
+        for name, sql, _ in STORED
+    ]
+    return store_clustered(base, f"gradus_customer_{run}", "c_custkey", buckets), features
+
+
+@query(
+    "SELECT c_custkey, c_mktsegment, "
+    + ", ".join(name for name, _, _ in STORED)
+    + " FROM customer LEFT JOIN (SELECT o_custkey, "
+    + ", ".join(f"{sql} AS {name}" for name, sql, _ in STORED)
+    + " FROM orders GROUP BY 1) ON o_custkey = c_custkey"
+)
+def assemble_stored(spark, d):
+    """Tables clustered on their key, joined without moving again."""
+    return join_stored(*stored_customers(spark, d), "c_custkey")
+
+
 # Windows of minutes to days: errors open one of their user, as long as their value says.
 WINDOWS_SQL = """
     windows AS (

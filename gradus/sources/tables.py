@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,6 +44,24 @@ def replace_table(df: DataFrame, target: str, cluster_by: str | None = None, fil
         writer.saveAsTable(target)
 
 
+def store_clustered(df: DataFrame, name: str, key: str | Sequence[str], buckets: int) -> DataFrame:
+    """Write a table whose rows of one key lie in one sorted file, and read it back.
+
+    Rows move once, here. Tables stored on the same key with the same number of buckets are
+    joined and grouped on it later without moving again. Rows of one key go to one task, so
+    a key should not hold much more than a bucket's share; rows with a null key are one key.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    placed = df.repartition(buckets, *keys)
+    placed.write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
+def buckets_of(df: DataFrame, rows_per_bucket: int = 2_000_000) -> int:
+    """A number of buckets for a table, from a count of its rows."""
+    return max(1, -(-df.count() // rows_per_bucket))
+
+
 def export_csv(df: DataFrame, folder: str, single_file: bool = False) -> None:
     """CSV with a header. One file only on request: it means one writing task."""
     (df.coalesce(1) if single_file else df).write.mode("overwrite").option("header", True).csv(folder)

@@ -1,6 +1,7 @@
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from gradus.functions.scalars import dated_name
 from gradus.operators import assemble
@@ -62,3 +63,23 @@ def test_term_split_leaves_out_unknown_terms(spark):
     df = spark.createDataFrame([("201510",), ("201710",), ("201810",), (None,)], "term string")
     train, score = assemble.term_split(df, 201710, ["201710"], "term")
     assert [r[0] for r in train.collect()] == ["201510"] and [r[0] for r in score.collect()] == ["201710"]
+
+
+def test_clustered_tables_are_joined_where_they_lie(spark):
+    from gradus.operators.assemble import assemble_features, assemble_stored
+    from gradus.sources.tables import store_clustered
+
+    base = spark.range(5000).select((F.col("id") % 4000).alias("person_uid"), F.col("id").alias("pk1"))
+    base = base.unionByName(spark.createDataFrame([(None, -1)], base.schema))
+    plain = [
+        spark.range(0, 4000, k + 1).select(F.col("id").alias("person_uid"), (F.col("id") * k).alias(f"f{k}"))
+        for k in range(6)
+    ]
+    stored = [store_clustered(t, f"clustered_{k}", "person_uid", 4) for k, t in enumerate(plain)]
+    together = assemble_stored(store_clustered(base, "clustered_base", "person_uid", 4), stored)
+    plan = together._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and plan.count("SortMergeJoin") == 6
+    want = assemble_features(base, {f"s.t{k}": t for k, t in enumerate(plain)}).select(together.columns)
+    assert together.exceptAll(want).count() == 0 and want.exceptAll(together).count() == 0 and want.count() == 5001
+    with pytest.raises(ValueError, match="several tables"):
+        assemble_stored(base, [plain[1], plain[1]])

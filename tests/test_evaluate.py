@@ -127,3 +127,12 @@ def test_top_coefficients_use_the_unrounded_sign(spark):
 def test_residual_ratio_ignores_bias(spark):
     df = spark.createDataFrame([(i, float(i), i + 100.0) for i in range(5)], "id int, y double, p double")
     assert {r["r_square"] for r in evaluate.residual_report(df, "id", "y", "p").collect()} == {1.0}
+
+
+def test_flags_are_compared_as_numbers(spark):
+    a = spark.createDataFrame([(True, 1.0, "x", True), (False, 2.0, "y", None)], "f boolean, g double, t string, h boolean")
+    b = spark.createDataFrame([(True, True, "x", 5)], "f boolean, g boolean, t string, h int")
+    found = {r["col_name"]: r for r in evaluate.dataset_compare(a, b).collect()}
+    assert set(found) == {"f", "g", "h"}
+    assert (found["f"]["mean_a"], found["f"]["mean_b"], found["f"]["mean_diff"]) == (0.5, 1.0, 0.5)
+    assert (found["h"]["nulls_a"], found["h"]["max_b"]) == (1, 5.0)

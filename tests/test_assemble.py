@@ -1,3 +1,4 @@
+import uuid
 from datetime import date
 
 import pytest
@@ -75,11 +76,15 @@ def test_clustered_tables_are_joined_where_they_lie(spark):
         spark.range(0, 4000, k + 1).select(F.col("id").alias("person_uid"), (F.col("id") * k).alias(f"f{k}"))
         for k in range(6)
     ]
-    stored = [store_clustered(t, f"clustered_{k}", "person_uid", 4) for k, t in enumerate(plain)]
-    together = assemble_stored(store_clustered(base, "clustered_base", "person_uid", 4), stored)
+    run = uuid.uuid4().hex[:12]
+    stored = [store_clustered(t, f"clustered_{k}_{run}", "person_uid", 4) for k, t in enumerate(plain)]
+    together = assemble_stored(store_clustered(base, f"clustered_base_{run}", "person_uid", 4), stored)
     plan = together._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and plan.count("SortMergeJoin") == 6
-    want = assemble_features(base, {f"s.t{k}": t for k, t in enumerate(plain)}).select(together.columns)
+    rules = assemble.FeatureRules(exclude=("person_uid",))
+    want = assemble_features(base, {f"s.t{k}": t for k, t in enumerate(plain)}, rules).select(together.columns)
     assert together.exceptAll(want).count() == 0 and want.exceptAll(together).count() == 0 and want.count() == 5001
     with pytest.raises(ValueError, match="several tables"):
         assemble_stored(base, [plain[1], plain[1]])
+    for name in (*range(6), "base"):
+        spark.sql(f"DROP TABLE clustered_{name}_{run}")

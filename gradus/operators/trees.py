@@ -24,7 +24,7 @@ from gradus.operators.ensemble import NODE_SCHEMA, Ensemble, node_table_splits,
 from gradus.operators.evaluate import class_metrics, roc_auc_per_class, roc_curve_per_class, roc_sample
 from gradus.operators.prep import as_double, feature_names
 from gradus.operators.split import random_or_column_split
-from gradus.session import BROADCAST_ROW_LIMIT, ROWS_PER_TASK, hold, materialise, shared_folder, with_row
+from gradus.session import BROADCAST_ROW_LIMIT, ROWS_PER_TASK, broadcast_if_small, hold, materialise, shared_folder, with_row
 from gradus.sources.ledger import Ledger
 
 # Column that holds the draw of the split.
@@ -50,18 +50,26 @@ def expand_grid(params: Mapping[str, object]) -> list[dict[str, object]]:
     return [dict(zip(params, combo)) for combo in itertools.product(*values)]
 
 
-def class_weights(df: DataFrame, label: str, user: Mapping | None = None) -> DataFrame:
-    """Rows (class, weight): rarer classes weigh more, weights sum to one."""
+def class_weights(df: DataFrame, label: str, user: Mapping | DataFrame | None = None) -> DataFrame:
+    """Rows (class, weight): rarer classes weigh more, weights sum to one.
+
+    ``user`` gives the weights instead, as a mapping or, for any number of classes, as a frame
+    with the columns class and weight. A class without one is an error.
+    """
     counts = df.where(F.col(label).isNotNull()).groupBy(F.col(label).alias("class")).agg(F.count("*").alias("n"))
     if user is not None:
         kind = df.schema[label].dataType.simpleString()
-        given = df.sparkSession.createDataFrame(
-            [(c, float(w)) for c, w in user.items()], f"class {kind}, weight double"
-        )
-        missing = [r["class"] for r in counts.join(F.broadcast(given), "class", "left_anti").limit(20).collect()]
+        if isinstance(user, DataFrame):
+            given = user.select(F.col("class").cast(kind), F.col("weight").cast("double"))
+        else:
+            given = df.sparkSession.createDataFrame(
+                [(c, float(w)) for c, w in user.items()], f"class {kind}, weight double"
+            )
+        given = broadcast_if_small(given)
+        missing = [r["class"] for r in counts.join(given, "class", "left_anti").limit(20).collect()]
         if missing:
             raise ValueError(f"no weight given for the classes {missing}")
-        return counts.join(F.broadcast(given), "class").select("class", "weight")
+        return counts.join(given, "class").select("class", "weight")
     totals = counts.agg(F.sum("n").alias("_all"))
     rare = with_row(counts, totals).select("class", (F.col("_all") / F.col("n")).alias("_r"))
     norm = rare.agg(F.sum("_r").alias("_sum"))

@@ -647,23 +647,16 @@ def _build_log_of_spec(spark, d):
     """
     SELECT table_name FROM (
         SELECT table_name, max(ts) AS last FROM (
-            SELECT unnest(CASE event_type {cases} END) AS table_name, ts FROM events WHERE value >= 250)
+            SELECT unnest(CASE event_type
+                WHEN 'click' THEN ['features_dependent_variables.at_risk_dep_var', 'features_demographics.high_school', 'features_demographics.acs_2015_hs_zip']
+                WHEN 'error' THEN ['features_demographics.application_demos', 'features_demographics.high_school_inst_gpa', 'features_demographics.decision_count']
+                WHEN 'purchase' THEN ['features_demographics.application_tests', 'features_demographics.high_school_core_gpa', 'features_demographics.feats_from_person_detail_table']
+                WHEN 'signup' THEN ['features_demographics.admission_attributes', 'features_demographics.high_school_driving_time', 'features_demographics.admitted_college']
+                WHEN 'view' THEN ['features_demographics.admission_decision', 'features_demographics.high_school_to_regional_rep_dist', 'features_demographics.feats_from_profile_table']
+                END) AS table_name, ts FROM events WHERE value >= 250)
         GROUP BY table_name)
-    WHERE (table_name <> '{profile}' AND date_diff('day', CAST(last AS DATE), DATE '2024-02-15') > 17)
-    """.format(
-        profile=specs.PROFILE,
-        cases=" ".join(
-            "WHEN '{}' THEN [{}]".format(
-                kind,
-                ", ".join(
-                    f"'{n}'"
-                    for i, n in enumerate((*specs.AT_RISK_2017.daily, *specs.AT_RISK_2017.census))
-                    if i % 5 == k
-                ),
-            )
-            for k, kind in enumerate(["click", "error", "purchase", "signup", "view"])
-        ),
-    )
+    WHERE table_name <> 'features_demographics.feats_from_profile_table' AND date_diff('day', CAST(last AS DATE), DATE '2024-02-15') > 17
+    """
 )
 def tables_due(spark, d):
     """Daily tables by age; the census table's term has not turned."""

@@ -53,7 +53,11 @@ SCORES_SQL = f"""
                sum(score) FILTER (test IN ('A01', 'A03')) AS acter
         FROM tests GROUP BY 1, 2),
     pivoted AS (
-        SELECT t.person_uid, {", ".join(f"max(CASE test WHEN '{code}' THEN score END) AS {name}" for name, code in roster.BEST_SCORES.items())},
+        SELECT t.person_uid, max(score) FILTER (test = 'S02') AS satm, max(score) FILTER (test = 'S01') AS satv,
+               max(score) FILTER (test = 'S07') AS satw, max(score) FILTER (test = 'A01') AS acte,
+               max(score) FILTER (test = 'A02') AS actm, max(score) FILTER (test = 'A05') AS act_comp,
+               max(score) FILTER (test = 'A03') AS actr, max(score) FILTER (test = 'A07') AS actew,
+               max(score) FILTER (test = 'TIBT') AS toefl,
                {round_sql("max(sattot)", 4)} AS sat_total, {round_sql("max(acter)", 4)} AS acter
         FROM tests t LEFT JOIN days ON t.person_uid = days.person_uid GROUP BY 1)"""
 

@@ -424,7 +424,8 @@ def class_weights_given(spark, d):
 def class_weights_many(spark, d):
     """Weights given for every customer who orders, many more classes than a label has as a rule."""
     orders = table(spark, d, "orders")
-    given = {r[0]: 1.0 / (1 + r[0] % 97) for r in orders.select("o_custkey").where("o_custkey IS NOT NULL").distinct().collect()}
+    keys = orders.select(F.col("o_custkey").alias("class")).where("class IS NOT NULL").distinct()
+    given = keys.withColumn("weight", 1.0 / (1 + F.col("class") % 97))
     weights = trees.class_weights(orders, "o_custkey", given)
     return weights.withColumn("weight", rounded("weight"))
 

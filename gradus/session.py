@@ -45,9 +45,19 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder named by ``spark.checkpoint.dir``; if unset, one in the warehouse, which executors share too."""
+    """Folder named by ``spark.checkpoint.dir``; if unset, one in the warehouse.
+
+    Executors must see it, so without the setting a warehouse on the driver's own disk is
+    refused, unless the executors are on the same machine.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return named.rstrip("/") if named else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/gradus-copies"
+    if named:
+        return named.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    own_disk = warehouse.startswith(("file:", "/"))
+    if own_disk and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors see")
+    return f"{warehouse}/gradus-copies"
 
 
 def materialise(df: DataFrame) -> DataFrame:
@@ -79,9 +89,14 @@ def drop_path(spark: SparkSession, path: str) -> None:
         known.remove(path)
 
 
+def written_copies(spark: SparkSession) -> list[str]:
+    """Folders of the copies that this application has written and not deleted."""
+    return list(_written.get(spark.sparkContext.applicationId, []))
+
+
 def drop_copies(spark: SparkSession) -> None:
     """Delete the copies that ``materialise`` wrote in this application, once their results are no longer read."""
-    for path in list(_written.get(spark.sparkContext.applicationId, [])):
+    for path in written_copies(spark):
         drop_path(spark, path)
 
 

@@ -221,3 +221,57 @@ def test_elastic_net_of_two_columns_meets_its_conditions(spark):
             assert slope == pytest.approx(0.3 * (0.6 * np.sign(b) + 0.4 * b), abs=1e-8)
         else:
             assert abs(slope) <= 0.18 + 1e-9
+
+
+def test_moments_of_columns_with_missing_values(spark):
+    from gradus.operators import gram
+
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(2000, 5)) * [1, 1e-3, 50, 1, 1] + [1e6, 0, -3, 7, 0]
+    x[:, 3] = 7.5  # does not vary
+    x[:, 4] += x[:, 0] - 1e6
+    lost = rng.random((2000, 5)) < [0, 0.2, 0.5, 0.1, 0.3]
+    lost[:, 1] |= rng.random(2000) < 0.1
+    rows = [tuple(None if m else float(v) for v, m in zip(*r)) for r in zip(x, lost)] + [(None,) * 5]
+    names = list("abcde")
+    df = spark.createDataFrame(rows, ", ".join(f"{n} double" for n in names)).repartition(7)
+    found = gram.masked_moments(df, [(n, F.col(n)) for n in names])
+    held = np.where(lost, np.nan, x)
+    assert found.n == 2001 and found.count.tolist() == (~lost).sum(0).tolist()
+    assert np.allclose(found.mean, np.nanmean(held, 0), rtol=1e-12)
+    assert np.allclose(found.deviation(), np.nanstd(held, 0, ddof=1), rtol=1e-9) and found.deviation()[3] == 0
+    scaled = np.nan_to_num((held - np.nanmean(held, 0)) / np.nanstd(held, 0, ddof=1))[:, [0, 1, 2, 4]]
+    assert np.allclose(found.scaled(["a", "b", "c", "e"]).cross, scaled.T @ scaled, rtol=1e-8, atol=1e-7)
+    plain = gram.masked_moments(df, [(n, F.col(n)) for n in names], products=False)
+    assert np.allclose(plain.mean, found.mean) and np.allclose(plain.squares, found.squares) and plain.products is None
+    # A first value far off the others costs a second pass, not digits.
+    far = spark.createDataFrame([(1e9,)] + [(float(k % 2) * 1e-3,) for k in range(3000)], "a double").coalesce(1)
+    want = np.std([1e9] + [float(k % 2) * 1e-3 for k in range(3000)], ddof=1)
+    assert gram.masked_moments(far, [("a", F.col("a"))]).deviation()[0] == pytest.approx(want, rel=1e-9)
+
+
+def test_many_logistic_fits_share_their_passes(spark, monkeypatch):
+    from gradus.operators import logistic
+
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(1500, 3))
+    y = (x @ [1.0, -0.5, 0.0] + rng.logistic(size=1500) > 0.3).astype(int)
+    rows = [(*map(float, v), int(c), bool(k % 3), bool(k % 4 == 0)) for k, (v, c) in enumerate(zip(x, y))]
+    rows[5] = (None, *rows[5][1:])
+    df = spark.createDataFrame(rows, "a double, b double, c double, y int, s boolean, t boolean").repartition(4).persist()
+    fits = [
+        logistic.LogisticFit(("a", "b", "c"), "s"), logistic.LogisticFit(("a", "c"), "t"), logistic.LogisticFit(("b",), None),
+        logistic.LogisticFit(("a", "b"), "s", constant=False), logistic.LogisticFit(("constant_term",), "t"),
+    ]
+    passes, sums = [], logistic._newton_sums
+    monkeypatch.setattr(logistic, "_newton_sums", lambda *a: passes.append(len(a[-1])) or sums(*a))
+    together = logistic.logreg_train_many(df, fits, "y")
+    shared = len(passes)
+    alone = []
+    for fit in fits:
+        passes.clear()
+        alone.append((logistic.logreg_train(df.where(fit.flag) if fit.flag else df, fit.features, "y", fit.constant), len(passes)))
+    assert shared == max(n for _, n in alone)
+    for got, (want, _) in zip(together, alone):
+        assert got.names == want.names and got.coef == pytest.approx(want.coef, abs=1e-8)
+        assert got.p_values == pytest.approx(want.p_values, abs=1e-8)

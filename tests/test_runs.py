@@ -111,3 +111,18 @@ def test_models_score_the_same_after_storing(spark, rows, tmp_path):
     assert {r["k"]: r["prediction"] for r in again.score(rows, "k").collect()} == want
     with pytest.raises(ValueError, match="no model"):
         StoredModel.of("regression", [], run.prepared.stats)
+
+
+def test_one_pass_from_held_rows_to_collinearity(rows, monkeypatch):
+    from gradus.operators import gram, logistic
+
+    passes, add = [], gram.sum_of_parts
+    monkeypatch.setattr(gram, "sum_of_parts", lambda *a, **b: passes.append(1) or add(*a, **b))
+    prepared = runs.prepare(rows, "k", "y", ["c"], None)
+    assert len(passes) == 1 and prepared.steps
+    prepared.release()
+    steps, sums = [], logistic._newton_sums
+    monkeypatch.setattr(logistic, "_newton_sums", lambda *a: steps.append(len(a[-1])) or sums(*a))
+    runs.logistic_run(rows, "k", "c", ["y"], folds=4).release()
+    # Passes are the steps of the longest fit, of the samples, of their refits and of the last fit.
+    assert len(steps) < 3 * 12 and max(steps) == 4

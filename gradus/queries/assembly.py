@@ -22,6 +22,8 @@ from gradus.plans import specs
 from gradus.plans.build import build_model as build
 from gradus.plans.build import due_tables
 from gradus.queries.clauses import BUILD_LOG_SQL, build_log
+from gradus.queries.models import TESTED_SQL
+from gradus.queries.preparation import UNIFORM_SQL
 from gradus.queries.registry import query, rounded, table
 from gradus.sources import current_term as term_today
 from gradus.sources import stale_tables as find_stale
@@ -679,3 +681,40 @@ def build_model_assemble_only(spark, d):
     return result.rows
 
 
+
+
+# A label that the grade explains in part.
+PASSED = "CAST(course_gpa + CAST(split_part(pk1, '-', 1) AS BIGINT) * 7919 % 40 > 45 AS INTEGER)"
+
+
+@query(
+    f"""
+    WITH built AS (SELECT pk1, {PASSED} AS passed FROM ({ASSEMBLED_SQL})),
+    {TESTED_SQL.format(uniform=UNIFORM_SQL.format(seed=42, key="pk1"), source="built", key="pk1")},
+    single AS (SELECT * FROM drawn QUALIFY count(*) OVER (PARTITION BY pk1) = 1)
+    SELECT 'LR' AS model, CAST(passed AS VARCHAR) AS class, count(*) AS tested FROM single WHERE u > 0.8 GROUP BY passed
+    UNION ALL SELECT 'XGBoost', CAST(passed AS VARCHAR), count(*) FROM tested GROUP BY passed
+    UNION ALL SELECT 'nothing', 'Unrecognized model name: nothing', 0
+    """
+)
+def build_model_runs(spark, d):
+    """From feature tables to a logistic and a boosted model in one call: the rows that each is tested on."""
+    spec = specs.template_spec(
+        "base", {"sis": ["persons", "terms"], "lms": ["courses"], "card": ["aid"]}, year_level=("aid",)
+    )
+    tables = _tables(spark, d)
+    tables["base"] = tables["base"].withColumn("passed", F.expr(PASSED))
+    result = build(
+        spec, tables, per_customer_builds(spark, d), calendar(spark, d), date(2001, 7, 1), "pk1", "passed",
+        models=["", "LR", "XGBoost", "nothing"], logistic={"folds": 2},
+        boosted={"grid": {"max_depth": 2, "n_estimators": 2}},
+    )
+    label = F.col("passed").cast("string").alias("class")
+    scored = result.runs["LR"].probabilities.groupBy(label).agg(F.count("*").alias("tested"))
+    boosted = result.runs["XGBoost"].results.select(F.inline(F.arrays_zip(F.col("classes").alias("class"), F.col("support").alias("tested"))))
+    unknown = spark.createDataFrame([("nothing", n, 0) for n in result.notices], "model string, class string, tested long")
+    return (
+        scored.select(F.lit("LR").alias("model"), "class", "tested")
+        .unionByName(boosted.select(F.lit("XGBoost").alias("model"), "class", "tested"))
+        .unionByName(unknown)
+    )

@@ -3,7 +3,8 @@ from datetime import datetime, timedelta
 
 import pytest
 
-from gradus.operators.intervals import interval_join
+from gradus.operators import intervals
+from gradus.operators.intervals import interval_counts, interval_join
 
 
 def brute(points, spans, closed, keyed):
@@ -67,3 +68,32 @@ def test_a_long_interval_is_not_unfolded(spark):
     s = spark.createDataFrame([(1, 0, 1 << 60)], "sid int, low long, high long")
     p = spark.range(1000).selectExpr("id as pid", "id * 1000003 as at")
     assert interval_join(p, s, "at", "low", "high").count() == 1000
+
+
+@pytest.mark.parametrize("closed", [True, False])
+def test_counts_without_pairs(spark, closed, monkeypatch):
+    monkeypatch.setattr(intervals, "CHUNK_BITS", 4)
+    rng = random.Random(8)
+    points = [(rng.choice([None, *range(9)]), rng.randrange(300)) for _ in range(500)] + [(1, None)]
+    spans = [(g, a, a + rng.choice([0, 1, 5, 40, 200])) for g in range(60) for a in [rng.randrange(-20, 310)]]
+    spans += [(g, a, a + 30) for g in (None, 3, 90, 91) for a in (10, 20, 20, 150)] + [(92, 5, None), (93, 9, 3), (94, 7, 250), (94, 7, 250), (95, 900, 950)]
+    want = {}
+    for g, a, b in spans:
+        for who, t in points:
+            if b is not None and t is not None and a <= t and (t <= b if closed else t < b):
+                n, users = want.setdefault(g, [0, set()])
+                want[g][0] += 1
+                users |= {who} - {None}
+    p = spark.createDataFrame(points, "who int, at long").repartition(5)
+    s = spark.createDataFrame(spans, "sid int, low long, high long").repartition(4)
+    found = interval_counts(p, s, "at", "low", "high", "sid", "who", closed=closed).collect()
+    assert len(found) == len(want)
+    assert {r["sid"]: (r["n"], r["users"]) for r in found} == {g: (n, len(u)) for g, (n, u) in want.items()}
+
+
+def test_counts_grow_with_the_rows_not_the_pairs(spark):
+    """Two hundred million pairs, which a join would list."""
+    p = spark.range(20_000).selectExpr("id % 50 as who", "id as at")
+    s = spark.range(10_000).selectExpr("id as sid", "0L as low", "1000000L + id as high")
+    found = interval_counts(p, s, "at", "low", "high", "sid", "who")
+    assert [tuple(r) for r in found.groupBy("n", "users").count().collect()] == [(20_000, 50, 10_000)]

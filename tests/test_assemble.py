@@ -88,3 +88,24 @@ def test_clustered_tables_are_joined_where_they_lie(spark):
         assemble_stored(base, [plain[1], plain[1]])
     for name in (*range(6), "base"):
         spark.sql(f"DROP TABLE clustered_{name}_{run}")
+
+
+def test_a_task_sorts_for_few_joins_of_bounded_size(spark, monkeypatch):
+    base = spark.range(3000).select((F.col("id") % 2000).alias("person_uid"), F.col("id").alias("pk1"))
+    base = base.unionByName(spark.createDataFrame([(None, -1)], base.schema))
+    tables = {f"t{k}": spark.range(0, 2000, k + 1).select(F.col("id").alias("person_uid"), (F.col("id") * k).alias(f"f{k}")) for k in range(6)}
+    rules = assemble.FeatureRules(exclude=("person_uid",))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plain = assemble.assemble_features(base, tables, rules)
+        want = sorted(map(str, plain.collect()))
+        monkeypatch.setattr(assemble, "TASK_BYTES", 1 << 16)
+        monkeypatch.setattr(assemble, "BROADCAST_ROW_LIMIT", 100)
+        found = assemble.assemble_features(base, tables, rules)
+        assert sorted(map(str, found.collect())) == want and found.rdd.getNumPartitions() > 8
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # The fifth join sorts the rows anew; of large tables, every side has its number of partitions.
+    assert plain._jdf.queryExecution().optimizedPlan().toString().count("RepartitionByExpression") == 1
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("RepartitionByExpression") == 8
+    assert found.count() == 3001

@@ -183,3 +183,19 @@ def test_sketch_of_a_frame(spark):
     assert abs(found[0].rank(0, 500.0) - 0.5) < 0.05 and found[0].estimated().sum() == pytest.approx(100_000, rel=0.1)
     exact = sketch.sketch_columns(df.limit(100), [F.col("x")], key, F.col("w"), 100, 200.0, rows=2000)
     assert exact.standard_error() == 0 and exact.rank(0, 50.0) == pytest.approx(0.5) and exact.cuts(0, 1000).size == 99
+
+
+def test_partitions_of_blocks_stay_small(spark, monkeypatch):
+    """One partition of many blocks is dealt out, so that no task gets them all as one batch; the trees are the same."""
+    monkeypatch.setattr(boost, "BLOCK", 64)
+    df = spark.range(4000).selectExpr("id", "(id * 37 % 101) / 7D as a", "cast(id % 13 as double) as b", "cast(id * 37 % 101 > 50 as int) as y")
+    settings = boost.BoostSettings(n_estimators=3, max_depth=2)
+    one = boost.bin_rows(df.coalesce(1), "id", ["a", "b"], F.col("y"), F.lit(1.0), 2)
+    whole = boost.boost(one, settings, checkpoint_rounds=2).rows(spark).collect()
+    monkeypatch.setattr(boost, "TASK_BYTES", 8000)
+    many = boost.bin_rows(df.coalesce(1), "id", ["a", "b"], F.col("y"), F.lit(1.0), 2)
+    sizes = [r[0] for r in many.blocks.groupBy(F.spark_partition_id()).agg(F.sum("n")).select("sum(n)").collect()]
+    assert sum(sizes) == 4000 and many.tasks >= 16 and max(sizes) <= 4000 / 8
+    assert boost.boost(many, settings, checkpoint_rounds=2).rows(spark).collect() == whole
+    one.release()
+    many.release()

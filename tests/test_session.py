@@ -29,3 +29,17 @@ def test_copies_are_deleted_one_by_one(spark):
     assert len(set(session.written_copies(spark)) - before) == 2 and one.count() == 3
     session.drop_path(spark, path)
     assert path not in session.written_copies(spark) and two.count() == 4
+
+
+def test_scans_are_split_unless_they_are_split_finer(spark):
+    from gradus import session
+
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    try:
+        for given, kept in (("128m", session.SCAN_BYTES), ("134217728b", session.SCAN_BYTES), ("1g", session.SCAN_BYTES), ("1m", 1 << 20)):
+            spark.conf.set(name, given)
+            session.configure(spark)
+            assert session._plain_bytes(spark.conf.get(name)) == kept
+    finally:
+        spark.conf.set(name, before)

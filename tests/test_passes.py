@@ -76,3 +76,25 @@ def test_a_run_refits_from_its_first_fits(spark, monkeypatch):
     # One of two equal columns leaves no single best point to start from.
     assert not logistic.logreg_train(df.withColumn("d", F.col("a")), ["a", "d"], "y").settled
     run.release()
+
+
+def test_shorter_keys_use_the_order_of_longer_ones(spark, monkeypatch):
+    base = spark.range(600).select(
+        F.col("id").alias("pk1"), (F.col("id") % 200).alias("person_uid"), (F.col("id") % 3).alias("academic_period")
+    )
+    terms = base.select("person_uid", "academic_period", F.col("pk1").alias("g"))
+    persons = spark.range(0, 200, 2).select(F.col("id").alias("person_uid"), (F.col("id") * 3).alias("f"))
+    rules = assemble.FeatureRules(exclude=("person_uid", "academic_period"))
+    monkeypatch.setattr(assemble, "TASK_BYTES", 1 << 14)
+    monkeypatch.setattr(assemble, "BROADCAST_ROW_LIMIT", 50)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = assemble.assemble_features(base, {"p": persons, "t": terms}, rules)
+        text = found._jdf.queryExecution().executedPlan().toString()
+        rows = found.collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # Both tables are sorted, the base once for the two joins.
+    assert text.count("SortMergeJoin") == 2 and text.count("Sort [") == 3
+    assert found.columns == ["pk1", "person_uid", "academic_period", "f", "g"] and len(rows) == 600
+    assert all(r["g"] == r["pk1"] and r["f"] == (None if r["person_uid"] % 2 else 3 * r["person_uid"]) for r in rows)
